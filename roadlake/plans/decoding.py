@@ -341,7 +341,7 @@ _RESOLVED_SQL = """
       FROM raw r LEFT JOIN known k ON k.session=r.session AND k.device=r.device),
   res2 AS (SELECT *, CASE WHEN session='proto-live' THEN 'default' WHEN no_dbc IS NULL THEN CASE WHEN sn%7 IN (0,3) THEN 'alpha' ELSE 'beta' END END AS dbc,
       length(data_hex)//2 AS nb FROM res),
-  outc AS (SELECT *, CASE WHEN dbc='default' AND can_id=513 THEN 2 WHEN dbc='alpha' THEN CASE can_id WHEN 513 THEN 8 WHEN 514 THEN 8 WHEN 515 THEN 6 WHEN 516 THEN 8 WHEN 517 THEN 9 WHEN 518 THEN 4 END
+  outc AS (SELECT *, CASE WHEN dbc='default' AND can_id=513 THEN 2 WHEN dbc='alpha' THEN CASE can_id WHEN 513 THEN 8 WHEN 514 THEN 8 WHEN 515 THEN 6 WHEN 516 THEN 8 WHEN 517 THEN 9 WHEN 518 THEN 3 END
       WHEN dbc='beta' THEN CASE can_id WHEN 513 THEN 2 WHEN 519 THEN 8 END END AS need FROM res2)"""
 
 

@@ -75,13 +75,15 @@ def v_can(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def v_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Vehicle state rows on a one-second grid, with holes: 37 sessions that grow with the events table."""
     e = F.col("event_id")
-    return events(spark, sf).select(
+    t = F.lit(1_700_000_000_000_000) + F.floor(e / 37) * 1_000_000
+    return events(spark, sf).where(e % 29 != 5).withColumn("t_us", t).select(
         "event_id",
-        F.concat(F.lit("u"), "user_id").alias("session"),
-        F.concat(F.lit("d"), F.col("user_id") % 10).alias("device"),
-        F.col("t_us"),
-        (F.col("t_us") - F.pmod("t_us", F.lit(3_600_000_000))).alias("frame_base_us"),
+        F.concat(F.lit("s"), e % 37).alias("session"),
+        F.concat(F.lit("d"), e % 37 % 5).alias("device"),
+        "t_us",
+        (F.col("t_us") - F.pmod("t_us", F.lit(2_000_000))).alias("frame_base_us"),
         F.when(e % 17 != 0, F.when(e % 4 == 0, F.lit(0.0)).otherwise(F.col("value"))).alias("speed_kph"),
         F.when(e % 19 != 0, F.lit(800.0) + F.col("value") * 40.0).alias("rpm"),
         F.when(e % 5 != 0, e % 100).cast("double").alias("throttle_pct"),
@@ -92,18 +94,16 @@ def v_state(spark: SparkSession, sf: str) -> DataFrame:
         F.when(e % 9 != 0, e / F.lit(100.0)).alias("odometer_km"),
         F.when(e % 7 != 0, (e % 90).cast("double")).alias("coolant_c"),
         F.when(e % 11 != 0, (e % 120).cast("double")).alias("oil_temp_c"),
-        F.when(e % 10 < 7, "D").when(e % 10 == 7, "P").when(e % 10 == 8, "R").alias("prndl"),
+        F.when(e % 37 % 3 != 0, F.when(e % 10 < 7, "D").when(e % 10 == 7, "P").when(e % 10 == 8, "R")).alias("prndl"),
         F.when(e % 12 != 0, F.lit(40.0) + (e * 37 % 1000) / F.lit(1e5)).alias("lat"),
         F.when(e % 12 != 0, F.lit(-111.0) + (e * 91 % 1000) / F.lit(1e5)).alias("lon"),
         F.when(e % 3 != 0, F.col("value") * 0.5).alias("gps_speed_kph"),
         (e % 3).alias("gps_fixes"),
-        F.when(e % 14 != 0, e % 40).cast("double").alias("gyro_x"),
-        F.when(e % 14 != 0, e % 23).cast("double").alias("gyro_y"),
-        F.when(e % 14 != 0, e % 11).cast("double").alias("gyro_z"),
-        F.when(e % 15 != 0, e % 5).cast("long").alias("imu_filled_in_frame"),
+        F.when(e % 14 != 0, F.struct(*[(e % m).cast("double").alias(a) for a, m in zip("xyz", (40, 23, 11))])).alias("gyro_mean"),
+        F.when(e % 15 != 0, e % 5).alias("imu_filled_in_frame"),
         (e % 21 != 0).alias("complete"),
-        F.when(e % 16 != 0, F.col("t_us") + e % 1000 * 10_000 + 3_600_000_000).alias("received_us"),
-        F.when(e % 18 != 0, F.col("t_us") + e % 1000 * 12_000 + 3_600_000_000).alias("written_us"),
+        F.when(e % 16 != 0, F.col("t_us") + e % 1000 * 10_000 + 3_600_000).alias("received_us"),
+        F.when(e % 18 != 0, F.col("t_us") + e % 1000 * 12_000 + 5_600_000).alias("written_us"),
     )
 
 
@@ -129,8 +129,7 @@ _SQL = {
         ||printf('%04x', CAST(round(l_quantity*100) AS BIGINT) % 65536)||printf('%04x', CAST(l_linenumber AS BIGINT)) AS data_hex,
         's'||(l_orderkey % 97) AS session, 'd'||(l_orderkey % 10) AS device,
         CAST(trunc(l_extendedprice*100) AS BIGINT) AS seq FROM lineitem""",
-    "v_state": """SELECT event_id, 'u'||user_id AS session, 'd'||(user_id % 10) AS device, epoch_us(ts) AS t_us,
-        epoch_us(ts) - epoch_us(ts) % 3600000000 AS frame_base_us,
+    "v_state": """SELECT event_id, 's'||(event_id%37) AS session, 'd'||(event_id%37%5) AS device, t_us, t_us - t_us%2000000 AS frame_base_us,
         CASE WHEN event_id%17<>0 THEN CASE WHEN event_id%4=0 THEN 0.0e0 ELSE value END END AS speed_kph,
         CASE WHEN event_id%19<>0 THEN 800.0e0 + value*40.0e0 END AS rpm,
         CAST(CASE WHEN event_id%5<>0 THEN event_id%100 END AS DOUBLE) AS throttle_pct,
@@ -141,7 +140,7 @@ _SQL = {
         CASE WHEN event_id%9<>0 THEN event_id/100.0e0 END AS odometer_km,
         CAST(CASE WHEN event_id%7<>0 THEN event_id%90 END AS DOUBLE) AS coolant_c,
         CAST(CASE WHEN event_id%11<>0 THEN event_id%120 END AS DOUBLE) AS oil_temp_c,
-        CASE WHEN event_id%10<7 THEN 'D' WHEN event_id%10=7 THEN 'P' WHEN event_id%10=8 THEN 'R' END AS prndl,
+        CASE WHEN event_id%37%3<>0 THEN CASE WHEN event_id%10<7 THEN 'D' WHEN event_id%10=7 THEN 'P' WHEN event_id%10=8 THEN 'R' END END AS prndl,
         CASE WHEN event_id%12<>0 THEN 40.0e0 + (event_id*37 % 1000)/1e5 END AS lat,
         CASE WHEN event_id%12<>0 THEN -111.0e0 + (event_id*91 % 1000)/1e5 END AS lon,
         CASE WHEN event_id%3<>0 THEN value*0.5e0 END AS gps_speed_kph,
@@ -151,9 +150,9 @@ _SQL = {
         CAST(CASE WHEN event_id%14<>0 THEN event_id%11 END AS DOUBLE) AS gyro_z,
         CASE WHEN event_id%15<>0 THEN event_id%5 END AS imu_filled_in_frame,
         event_id%21<>0 AS complete,
-        CASE WHEN event_id%16<>0 THEN epoch_us(ts) + event_id%1000*10000 + 3600000000 END AS received_us,
-        CASE WHEN event_id%18<>0 THEN epoch_us(ts) + event_id%1000*12000 + 3600000000 END AS written_us
-        FROM events""",
+        CASE WHEN event_id%16<>0 THEN t_us + event_id%1000*10000 + 3600000 END AS received_us,
+        CASE WHEN event_id%18<>0 THEN t_us + event_id%1000*12000 + 5600000 END AS written_us
+        FROM (SELECT *, 1700000000000000 + (event_id//37)*1000000 AS t_us FROM events) WHERE event_id%29<>5""",
     "v_track": "SELECT * FROM (VALUES " + ", ".join(
         f"({i}, {a[0]!r}e0, {a[1]!r}e0, {b[0]!r}e0, {b[1]!r}e0)" for i, (a, b) in enumerate(zip(TRACK_POINTS, TRACK_POINTS[1:]))
     ) + ") t(seq, lat1, lon1, lat2, lon2)",
