@@ -153,9 +153,43 @@ def scan(
     )
 
 
-def islands(df: DataFrame, keys: list[str], order: list[str], starts: Column, out: str, chunk: int = HOUR_US) -> DataFrame:
-    """Number runs of rows: the running count of rows where `starts` is true."""
-    return scan(df, keys, order, {out: running_sum(starts.cast("long"))}, chunk)
+def number_runs(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: Column,
+    starts: Callable[[Column, Column], Column],
+    out: str,
+    chunk: int = HOUR_US,
+) -> DataFrame:
+    """Number runs of rows from 1 and add the previous row's `value` as `<out>_prev`.
+
+    `starts(previous, current)` says whether a row opens a new run. Within a chunk the neighbours are a window; the
+    chunk's first row is judged on the summaries, against the last row of the chunk before."""
+    chunked = with_chunk(df, order[0], chunk).withColumn("_v", F.struct(value.alias("v")))
+    ordered = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    local = chunked.withColumn("_p", F.lag("_v").over(ordered))
+    local = local.withColumn(
+        "_n", F.sum(F.coalesce(starts(F.col("_p.v"), F.col("_v.v")) & F.col("_p").isNotNull(), F.lit(False)).cast("long")).over(
+            ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    position = F.struct(*order)
+    summary = local.groupBy(*keys, CHUNK).agg(
+        F.min_by("_v", position).alias("_first"), F.max_by("_v", position).alias("_last"), F.max("_n").alias("_inside")
+    )
+    chunks = Window.partitionBy(*keys).orderBy(CHUNK)
+    judged = summary.withColumn("_before", F.lag("_last").over(chunks)).withColumn(
+        "_opens", F.when(F.col("_before").isNull(), 1).otherwise(
+            F.coalesce(starts(F.col("_before.v"), F.col("_first.v")), F.lit(False)).cast("long"))
+    )
+    based = judged.select(
+        *keys, CHUNK, "_before",
+        (F.sum("_opens").over(chunks.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+         + F.coalesce(F.sum("_inside").over(chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_base"),
+    )
+    return local.join(based, [*keys, CHUNK]).select(
+        *df.columns, (F.col("_n") + F.col("_base")).alias(out), F.coalesce("_p", "_before")["v"].alias(f"{out}_prev")
+    )
 
 
 def chunked_fold(
