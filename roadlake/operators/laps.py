@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlake.functions.rounding import half_even
 from roadlake.operators.ordered import HOUR_US, next_, number_runs, scan
 from roadlake.session import cut_lineage
 
@@ -89,8 +90,8 @@ def delta_trace(elapsed: DataFrame, pairs: DataFrame) -> DataFrame:
     cmp_ = elapsed.select(F.col("session").alias("cmp_session"), F.col("lap").alias("cmp_lap"), "target_m", F.col("elapsed_s").alias("cmp_s"))
     both = ref.join(pairs, ["ref_session", "ref_lap"]).join(cmp_, ["cmp_session", "cmp_lap", "target_m"])
     return both.select(
-        *pairs.columns, F.bround("target_m", 3).alias("s_m"), F.bround("ref_s", 3).alias("reference_elapsed_s"),
-        F.bround("cmp_s", 3).alias("comparison_elapsed_s"), F.bround(F.col("cmp_s") - F.col("ref_s"), 3).alias("delta_s"),
+        *pairs.columns, half_even(F.col("target_m"), 3).alias("s_m"), half_even(F.col("ref_s"), 3).alias("reference_elapsed_s"),
+        half_even(F.col("cmp_s"), 3).alias("comparison_elapsed_s"), half_even(F.col("cmp_s") - F.col("ref_s"), 3).alias("delta_s"),
     )
 
 
@@ -124,9 +125,9 @@ def segment_stats(
     ).groupBy(*keys, "lap", "g").agg(F.min("speed").alias("low"), F.avg("speed").alias("mean"), F.max("speed").alias("high"))
     return timed.join(inside, [*keys, "lap", "g"], "left").select(
         *keys, "lap", F.col("g.name").alias("name"), F.col("g.a").alias("s_start_m"), F.col("g.b").alias("s_end_m"),
-        F.bround(F.col("exit.elapsed_s") - F.col("entry.elapsed_s"), 3).alias("duration_s"),
-        F.bround("entry.speed", 3).alias("entry_speed_kph"), F.bround("exit.speed", 3).alias("exit_speed_kph"),
-        F.bround("low", 3).alias("min_speed_kph"), F.bround("mean", 3).alias("mean_speed_kph"), F.bround("high", 3).alias("max_speed_kph"),
+        half_even(F.col("exit.elapsed_s") - F.col("entry.elapsed_s"), 3).alias("duration_s"),
+        half_even(F.col("entry.speed"), 3).alias("entry_speed_kph"), half_even(F.col("exit.speed"), 3).alias("exit_speed_kph"),
+        half_even(F.col("low"), 3).alias("min_speed_kph"), half_even(F.col("mean"), 3).alias("mean_speed_kph"), half_even(F.col("high"), 3).alias("max_speed_kph"),
     )
 
 

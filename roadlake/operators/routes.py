@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlake.functions.rounding import half_even
 from roadlake.functions.geo import haversine_km
 from roadlake.functions.units import KM_PER_MILE
 from roadlake.operators.ordered import HOUR_US, number_runs, prev, scan
@@ -26,12 +27,12 @@ def route_rows(states: DataFrame) -> DataFrame:
     first = states.groupBy(*KEYS).agg(F.min("t_us").alias("_t0"))
 
     def one(name: str) -> Column:
-        return F.bround(name, 1).alias(name)
+        return half_even(F.col(name), 1).alias(name)
 
     located = states.join(first, KEYS).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     return located.select(
-        *KEYS, "t_us", "event_id", F.bround((F.col("t_us") - F.col("_t0")) / F.lit(1e6), 1).alias("s"), "lat", "lon",
-        F.bround(F.coalesce("speed_kph", "gps_speed_kph"), 1).alias("speed_kph"), one("rpm"), one("throttle_pct"), "brake_on", one("gear"), "prndl", one("brake_kpa"),
+        *KEYS, "t_us", "event_id", half_even((F.col("t_us") - F.col("_t0")) / F.lit(1e6), 1).alias("s"), "lat", "lon",
+        half_even(F.coalesce("speed_kph", "gps_speed_kph"), 1).alias("speed_kph"), one("rpm"), one("throttle_pct"), "brake_on", one("gear"), "prndl", one("brake_kpa"),
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlake.functions.rounding import half_even
+
 KEYS = ["session", "device"]
 MINUTE_US = 60_000_000
 
@@ -62,7 +64,7 @@ def known_tracks(sessions: DataFrame, tracks: DataFrame) -> DataFrame:
 def completeness_pct() -> Column:
     """Share of the expected frames received, capped at 100; 100 when none were expected, null when unknown."""
     expected, got = F.col("frames_expected"), F.col("frames_received")
-    share = F.bround(F.least(got, expected) * F.lit(100.0) / F.nullif(expected, F.lit(0)), 1)
+    share = half_even(F.least(got, expected) * F.lit(100.0) / F.nullif(expected, F.lit(0)), 1)
     return F.when(expected == 0, 100.0).otherwise(share)
 
 

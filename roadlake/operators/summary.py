@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlake.functions.rounding import half_even
 from roadlake.functions.geo import haversine_km
 from roadlake.functions.units import GRAVITY
 from roadlake.operators.decode import ROLE_COLUMNS
@@ -96,7 +99,7 @@ def event_runs(motion: DataFrame, order: list[str], chunk: int = HOUR_US) -> Dat
 def _span(column: str, order: list[str]) -> Column:
     known = F.when(F.col(column).isNotNull(), F.struct(*order))
     values = F.struct(
-        F.bround(F.min_by(column, known), 1).alias("start"), F.bround(F.max(column), 1).alias("max"), F.bround(F.max_by(column, known), 1).alias("end")
+        half_even(F.min_by(column, known), 1).alias("start"), half_even(F.max(column), 1).alias("max"), half_even(F.max_by(column, known), 1).alias("end")
     )
     return F.when(F.count(column) > 0, values)
 
@@ -115,7 +118,7 @@ def frame_quality(rows: DataFrame, order: list[str]) -> DataFrame:
 def _seconds_by(rows: DataFrame, key: Column, out: str) -> DataFrame:
     """Seconds per value of a column as a map; the small number of values is counted before it is gathered."""
     counted = rows.where(key.isNotNull()).groupBy(*KEYS, key.alias("k")).agg(F.count("*").alias("n"), F.max("interval_s").alias("i"))
-    entries = F.array_sort(F.collect_list(F.struct("k", F.bround(F.col("n") * F.col("i"), 1).alias("s"))))
+    entries = F.array_sort(F.collect_list(F.struct("k", half_even(F.col("n") * F.col("i"), 1).alias("s"))))
     return counted.groupBy(*KEYS).agg(F.map_from_entries(entries).alias(out))
 
 
@@ -130,23 +133,23 @@ def summarise(rows: DataFrame, order: list[str] | None = None, chunk: int = HOUR
     shift_any = F.col("gear").isNotNull() & F.col("gear_before").isNotNull() & (F.col("gear") != F.col("gear_before"))
     main = motion.groupBy(*KEYS).agg(
         F.count("*").alias("rows"), step.alias("interval_s"), F.min("t_us").alias("started_us"),
-        F.bround((F.max("t_us") - F.min("t_us")) / F.lit(1e6) + step, 1).alias("duration_s"),
-        F.bround(F.count_if("moving") * step, 1).alias("moving_s"),
-        F.bround(F.count_if(~F.col("moving") & (rpm != 0)) * step, 1).alias("idle_s"),
+        half_even((F.max("t_us") - F.min("t_us")) / F.lit(1e6) + step, 1).alias("duration_s"),
+        half_even(F.count_if("moving") * step, 1).alias("moving_s"),
+        half_even(F.count_if(~F.col("moving") & (rpm != 0)) * step, 1).alias("idle_s"),
         F.count_if(F.col("was_moving") & ~F.col("moving")).alias("stops"),
-        F.bround(F.coalesce(F.sum("gps_step_km"), F.lit(0.0)), 3).alias("distance_gps_km"),
-        F.bround(F.sum("speed_kph") * step / 3600, 3).alias("distance_can_km"),
-        F.bround(F.max("odometer_km") - F.min("odometer_km"), 3).alias("distance_odometer_km"),
-        F.bround(F.avg(F.when(F.col("moving"), speed)), 1).alias("avg_moving_kph"),
-        F.bround(F.max("speed_kph"), 1).alias("max_can_kph"), F.bround(F.max("gps_speed_kph"), 1).alias("max_gps_kph"),
-        F.bround(F.max("rpm"), 0).alias("max_rpm"), F.bround(F.avg(F.when(F.col("moving"), rpm)), 0).alias("avg_rpm_moving"),
-        F.bround(F.count_if(rpm > HIGH_RPM) * step, 1).alias("seconds_above_4000"),
+        half_even(F.coalesce(F.sum("gps_step_km"), F.lit(0.0)), 3).alias("distance_gps_km"),
+        half_even(F.sum("speed_kph") * step / 3600, 3).alias("distance_can_km"),
+        half_even(F.max("odometer_km") - F.min("odometer_km"), 3).alias("distance_odometer_km"),
+        half_even(F.avg(F.when(F.col("moving"), speed)), 1).alias("avg_moving_kph"),
+        half_even(F.max("speed_kph"), 1).alias("max_can_kph"), half_even(F.max("gps_speed_kph"), 1).alias("max_gps_kph"),
+        half_even(F.max("rpm"), 0).alias("max_rpm"), half_even(F.avg(F.when(F.col("moving"), rpm)), 0).alias("avg_rpm_moving"),
+        half_even(F.count_if(rpm > HIGH_RPM) * step, 1).alias("seconds_above_4000"),
         (F.count("prndl") > 0).alias("has_selector"),
         F.count_if(shift_d).alias("shifts_in_drive"), F.count_if(shift_any).alias("shifts_any"),
         F.count_if(F.col("braking") & ~F.coalesce("was_braking", F.lit(False))).alias("brake_applications"),
-        F.bround(F.count_if("braking") * step, 1).alias("brake_s"), F.bround(F.max("brake_kpa"), 0).alias("max_brake_kpa"),
-        F.bround(F.min("lon_g"), 3).alias("peak_braking_g"), F.bround(F.max("lon_g"), 3).alias("peak_acceleration_g"),
-        F.bround(F.max("lat_g"), 3).alias("peak_lateral_g"),
+        half_even(F.count_if("braking") * step, 1).alias("brake_s"), half_even(F.max("brake_kpa"), 0).alias("max_brake_kpa"),
+        half_even(F.min("lon_g"), 3).alias("peak_braking_g"), half_even(F.max("lon_g"), 3).alias("peak_acceleration_g"),
+        half_even(F.max("lat_g"), 3).alias("peak_lateral_g"),
         _span("coolant_c", order).alias("coolant_c"), _span("oil_temp_c", order).alias("oil_temp_c"),
         F.count_if(F.coalesce("gps_fixes", F.lit(0)) == 0).alias("intervals_without_gps"),
         *[F.count(c).alias(f"_n_{c}") for c in ROLE_COLUMNS],
@@ -169,23 +172,26 @@ def summarise(rows: DataFrame, order: list[str] | None = None, chunk: int = HOUR
     return out
 
 
-def nearest_rank(values: DataFrame, keys: list[str], value: str, ranks: dict[str, float], bucket: int) -> DataFrame:
-    """Exact nearest-rank quantiles of a LONG column per key. Equal values are counted first and the counts are
-    accumulated in value buckets, so a key with most of the rows is never gathered in one task."""
+def nearest_rank(values: DataFrame, keys: list[str], value: str, ranks: dict[str, Callable[[Column], Column]], bucket: int) -> DataFrame:
+    """Exact order statistics of a LONG column per key: `ranks` gives each one's rank from the number of values. Equal
+    values are counted first and the counts accumulated in value buckets, so a key with most of the rows is never
+    gathered in one task."""
     counted = values.groupBy(*keys, value).agg(F.count("*").alias("n"))
     cumulative = scan(counted, keys, [value], {"upto": running_sum(F.col("n"))}, bucket)
     total = counted.groupBy(*keys).agg(F.sum("n").alias("total"))
     placed = cumulative.join(total, keys)
     return placed.groupBy(*keys).agg(
         F.max("total").alias("n"),
-        *[
-            F.min(F.when(F.col("upto") >= F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("total"))), F.col(value))).alias(name)
-            for name, p in ranks.items()
-        ],
+        *[F.min(F.when(F.col("upto") >= rank(F.col("total")), F.col(value))).alias(name) for name, rank in ranks.items()],
         F.max(value).alias("max"),
     )
 
 
+def at_share(p: float) -> Callable[[Column], Column]:
+    """Nearest rank of a share: the smallest rank at or above p * n, at least one."""
+    return lambda n: F.greatest(F.lit(1), F.ceil(F.lit(p) * n))
+
+
 def frame_lags(rows: DataFrame, order: list[str], keys: list[str] = KEYS) -> DataFrame:
     """Per frame, from its last row that has both times: upload lag (received minus the frame's end) and pipeline lag
     (written minus received), in microseconds."""
@@ -201,11 +207,11 @@ def frame_lags(rows: DataFrame, order: list[str], keys: list[str] = KEYS) -> Dat
 def processing(rows: DataFrame, order: list[str], bucket_us: int = 1_000_000) -> DataFrame:
     """p50, p95 and max of both lags per session, in seconds."""
     lags = frame_lags(rows, order)
-    ranks = {"p50": 0.5, "p95": 0.95}
+    ranks = {"p50": at_share(0.5), "p95": at_share(0.95)}
     out = None
     for name in ("upload", "pipeline"):
         q = nearest_rank(lags, KEYS, f"{name}_us", ranks, bucket_us)
         q = q.select(*KEYS, F.col("n").alias("frames_timed") if out is None else F.col("n").alias("_n"),
-                     *[F.bround(F.col(c) / F.lit(1e6), 1).alias(f"{name}_{c}_s") for c in ("p50", "p95", "max")])
+                     *[half_even(F.col(c) / F.lit(1e6), 1).alias(f"{name}_{c}_s") for c in ("p50", "p95", "max")])
         out = q if out is None else out.join(q.drop("_n"), KEYS)
     return out

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.functions.geo import METRES_PER_DEGREE, haversine_km, planar_m, project_on_segment
-from roadlake.functions.rounding import half_up
+from roadlake.functions.rounding import half_even, half_up
 from roadlake.session import broadcast_if_bounded
 
 MAX_DISTANCE_M = 75.0
@@ -85,7 +85,7 @@ def tracks_nearest_first(tracks: DataFrame, lat: float | None = None, lon: float
     """Tracks by distance from a point (two decimals, unknown last, then name), or by name without one."""
     if lat is None or lon is None:
         return tracks.withColumn("distance_km", F.lit(None).cast("double")).orderBy(F.lower("name"))
-    away = F.bround(haversine_km(F.lit(lat), F.lit(lon), F.col("center_lat"), F.col("center_lon")), 2)
+    away = half_even(haversine_km(F.lit(lat), F.lit(lon), F.col("center_lat"), F.col("center_lon")), 2)
     return tracks.withColumn("distance_km", away).orderBy(F.col("distance_km").asc_nulls_last(), "name")
 
 

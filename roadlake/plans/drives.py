@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from roadlake.operators import sessions as S
 from roadlake.operators import state, summary
 from roadlake.operators.ordered import DAY_US
-from roadlake.plans.registry import q4, query, s4
+from roadlake.plans.registry import even_sql, q4, query, s4
 from roadlake.plans.views import events, table, v_signal, v_state
 from roadlake.sources.upsert import merge
 
@@ -77,9 +77,9 @@ query(
 
 query(
     "w8_drive_totals",
-    f"""WITH {_DRIVE} SELECT session, device, {s4('round_even((max(t_us)-min(t_us))/1e6+max(i),1)')} AS duration_s, {s4('round_even(count(*) FILTER (WHERE mov)*max(i),1)')} AS moving_s,
-    {s4('round_even(count(*) FILTER (WHERE NOT mov AND rpm<>0)*max(i),1)')} AS idle_s, count(*) FILTER (WHERE pmov AND NOT mov) AS stops,
-    {s4('round_even(sum(speed_kph)*max(i)/3600,3)')} AS can_km, {s4('round_even(max(odometer_km)-min(odometer_km),3)')} AS odometer_km FROM g GROUP BY 1, 2""",
+    f"""WITH {_DRIVE} SELECT session, device, {s4(even_sql('(max(t_us)-min(t_us))/1e6+max(i)', 1))} AS duration_s, {s4(even_sql('count(*) FILTER (WHERE mov)*max(i)', 1))} AS moving_s,
+    {s4(even_sql('count(*) FILTER (WHERE NOT mov AND rpm<>0)*max(i)', 1))} AS idle_s, count(*) FILTER (WHERE pmov AND NOT mov) AS stops,
+    {s4(even_sql('sum(speed_kph)*max(i)/3600', 3))} AS can_km, {s4(even_sql('max(odometer_km)-min(odometer_km)', 3))} AS odometer_km FROM g GROUP BY 1, 2""",
     ("v_state",),
 )(lambda spark, sf: drive("duration_s", "moving_s", "idle_s", "stops", "distance_can_km AS can_km", "distance_odometer_km AS odometer_km")(spark, sf).select(
     *KEYS, "stops", *[q4(F.col(c)).alias(c) for c in ("duration_s", "moving_s", "idle_s", "can_km", "odometer_km")]))
@@ -87,8 +87,8 @@ query(
 
 @query(
     "w9_selector_gears",
-    f"""WITH {_DRIVE} SELECT session, device, 'selector' AS kind, prndl AS position, {s4('round_even(count(*)*max(i),1)')} AS seconds FROM g WHERE prndl IS NOT NULL GROUP BY 1,2,4
-    UNION ALL SELECT session, device, 'gear', CAST(CAST(gear AS INTEGER) AS VARCHAR), {s4('round_even(count(*)*max(i),1)')} FROM gear4 GROUP BY 1,2,4
+    f"""WITH {_DRIVE} SELECT session, device, 'selector' AS kind, prndl AS position, {s4(even_sql('count(*)*max(i)', 1))} AS seconds FROM g WHERE prndl IS NOT NULL GROUP BY 1,2,4
+    UNION ALL SELECT session, device, 'gear', CAST(CAST(gear AS INTEGER) AS VARCHAR), {s4(even_sql('count(*)*max(i)', 1))} FROM gear4 GROUP BY 1,2,4
     UNION ALL SELECT session, device, 'shifts', CAST(NULL AS VARCHAR), CAST(count(*) FILTER (WHERE pg IS NOT NULL AND pg<>gear) AS DOUBLE) FROM gear4 GROUP BY 1,2""",
     ("v_state",),
 )
@@ -104,11 +104,11 @@ def w9(spark, sf):
 
 query(
     "w10_temperatures_peaks",
-    f"""WITH {_DRIVE} SELECT session, device, {s4('round_even(arg_min(coolant_c,(t_us,event_id)) FILTER (WHERE coolant_c IS NOT NULL),1)')} AS coolant_start,
-    {s4('round_even(max(coolant_c),1)')} AS coolant_max, {s4('round_even(arg_max(oil_temp_c,(t_us,event_id)) FILTER (WHERE oil_temp_c IS NOT NULL),1)')} AS oil_end,
-    {s4('round_even(avg(speed_kph) FILTER (WHERE mov),1)')} AS avg_moving_kph, {s4('round_even(max(speed_kph),1)')} AS max_can_kph, {s4('round_even(max(gps_speed_kph),1)')} AS max_gps_kph,
-    {s4('round_even(max(rpm),0)')} AS max_rpm, {s4('round_even(avg(rpm) FILTER (WHERE mov),0)')} AS avg_rpm_moving, {s4('round_even(count(*) FILTER (WHERE rpm>4000)*max(i),1)')} AS seconds_above_4000,
-    {s4('round_even(max(brake_kpa),0)')} AS max_brake_kpa, {s4('round_even(min(lon_g),3)')} AS peak_braking_g, {s4('round_even(max(lon_g),3)')} AS peak_acceleration_g, {s4('round_even(max(lat_g),3)')} AS peak_lateral_g
+    f"""WITH {_DRIVE} SELECT session, device, {s4(even_sql('arg_min(coolant_c,(t_us,event_id)) FILTER (WHERE coolant_c IS NOT NULL)', 1))} AS coolant_start,
+    {s4(even_sql('max(coolant_c)', 1))} AS coolant_max, {s4(even_sql('arg_max(oil_temp_c,(t_us,event_id)) FILTER (WHERE oil_temp_c IS NOT NULL)', 1))} AS oil_end,
+    {s4(even_sql('avg(speed_kph) FILTER (WHERE mov)', 1))} AS avg_moving_kph, {s4(even_sql('max(speed_kph)', 1))} AS max_can_kph, {s4(even_sql('max(gps_speed_kph)', 1))} AS max_gps_kph,
+    {s4(even_sql('max(rpm)', 0))} AS max_rpm, {s4(even_sql('avg(rpm) FILTER (WHERE mov)', 0))} AS avg_rpm_moving, {s4(even_sql('count(*) FILTER (WHERE rpm>4000)*max(i)', 1))} AS seconds_above_4000,
+    {s4(even_sql('max(brake_kpa)', 0))} AS max_brake_kpa, {s4(even_sql('min(lon_g)', 3))} AS peak_braking_g, {s4(even_sql('max(lon_g)', 3))} AS peak_acceleration_g, {s4(even_sql('max(lat_g)', 3))} AS peak_lateral_g
     FROM g GROUP BY 1, 2""",
     ("v_state",),
 )(lambda spark, sf: (lambda d: d.select(*KEYS, *[q4(F.col(c)).alias(c) for c in d.columns if c not in KEYS]))(drive(
@@ -129,9 +129,9 @@ query(
     "a12_lag_quantiles",
     f"""WITH l AS (SELECT session, device, frame_base_us, arg_max(received_us,(t_us,event_id)) AS r, arg_max(written_us,(t_us,event_id)) AS w FROM v_state
       WHERE received_us IS NOT NULL AND written_us IS NOT NULL GROUP BY ALL), d AS (SELECT session, device, r-(frame_base_us+1000000) AS u, w-r AS p FROM l)
-    SELECT session, device, count(*) AS frames_timed, {s4('round_even(quantile_disc(u,0.5)/1e6,1)')} AS upload_p50_s, {s4('round_even(quantile_disc(u,0.95)/1e6,1)')} AS upload_p95_s,
-    {s4('round_even(max(u)/1e6,1)')} AS upload_max_s, {s4('round_even(quantile_disc(p,0.5)/1e6,1)')} AS pipeline_p50_s, {s4('round_even(quantile_disc(p,0.95)/1e6,1)')} AS pipeline_p95_s,
-    {s4('round_even(max(p)/1e6,1)')} AS pipeline_max_s FROM d GROUP BY 1, 2""",
+    SELECT session, device, count(*) AS frames_timed, {s4(even_sql('quantile_disc(u,0.5)/1e6', 1))} AS upload_p50_s, {s4(even_sql('quantile_disc(u,0.95)/1e6', 1))} AS upload_p95_s,
+    {s4(even_sql('max(u)/1e6', 1))} AS upload_max_s, {s4(even_sql('quantile_disc(p,0.5)/1e6', 1))} AS pipeline_p50_s, {s4(even_sql('quantile_disc(p,0.95)/1e6', 1))} AS pipeline_p95_s,
+    {s4(even_sql('max(p)/1e6', 1))} AS pipeline_max_s FROM d GROUP BY 1, 2""",
     ("v_state",),
 )
 def a12(spark, sf):

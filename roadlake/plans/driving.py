@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from roadlake.operators import asof, device, lap_machine, laps, routes, tracks
 from roadlake.operators.ordered import DAY_US
-from roadlake.plans.registry import q4, query, s4
+from roadlake.plans.registry import even_sql, q4, query, s4
 from roadlake.plans.views import TRACK_POINTS, events, table, v_can, v_gps, v_signal, v_state, v_trackpos
 from roadlake.sources import geojson
 
@@ -175,7 +175,7 @@ def j9(spark, sf):
 
 @query(
     "w12_delta_trace",
-    f"""WITH {_ELAPSED} SELECT a.session AS ref_session, CAST(a.lap AS BIGINT) AS ref_lap, CAST(b.lap AS BIGINT) AS cmp_lap, a.target AS s_m, {s4('round_even(a.e,3)')} AS reference_elapsed_s, {s4('round_even(b.e-a.e,3)')} AS delta_s
+    f"""WITH {_ELAPSED} SELECT a.session AS ref_session, CAST(a.lap AS BIGINT) AS ref_lap, CAST(b.lap AS BIGINT) AS cmp_lap, a.target AS s_m, {s4(even_sql('a.e', 3))} AS reference_elapsed_s, {s4(even_sql('b.e-a.e', 3))} AS delta_s
     FROM el a JOIN el b ON a.session=b.session AND b.lap=a.lap+1 AND a.target=b.target""",
     ("v_trackpos",),
 )
@@ -195,11 +195,11 @@ SEGMENTS = [("S1", 100.0, 400.0), ("S2", 400.0, 700.0), ("wide", 50.0, 950.0), (
     "w13_segment_stats",
     f"""WITH {_LAPS}, sgm AS (SELECT * FROM (VALUES ('S1',100.0e0,400.0e0),('S2',400.0e0,700.0e0),('wide',50.0e0,950.0e0)) t(name,a,b)), tg AS (SELECT DISTINCT x FROM (SELECT a AS x FROM sgm UNION ALL SELECT b FROM sgm)),
     hits AS (SELECT p.*, x AS target FROM prz p, tg WHERE x BETWEEN s_m AND s2), fst AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY session, lap, target ORDER BY t_us, event_id)=1),
-    at AS (SELECT f.session, f.lap, target, (CASE WHEN s2=s_m THEN t2 ELSE t_us + (target-s_m)/(s2-s_m)*(t2-t_us) END - t0)/1e6 AS e,
+    tgt AS (SELECT f.session, f.lap, target, (CASE WHEN s2=s_m THEN t2 ELSE t_us + (target-s_m)/(s2-s_m)*(t2-t_us) END - t0)/1e6 AS e,
       CASE WHEN target<=fs THEN fv WHEN target>=ls THEN lv WHEN speed IS NULL THEN v2 WHEN v2 IS NULL THEN speed WHEN s2=s_m THEN v2 ELSE speed+(target-s_m)/(s2-s_m)*(v2-speed) END AS v FROM fst f JOIN lt USING (session, lap) WHERE target BETWEEN fs AND ls),
     ins AS (SELECT session, lap, name, min(speed) AS lo, avg(speed) AS mean, max(speed) AS hi FROM lp JOIN sgm ON s_m BETWEEN a AND b WHERE speed IS NOT NULL GROUP BY ALL)
-    SELECT x.session, CAST(x.lap AS BIGINT) AS lap, g.name, {s4('round_even(y.e-x.e,3)')} AS duration_s, {s4('x.v')} AS entry_speed_kph, {s4('y.v')} AS exit_speed_kph, {s4('lo')} AS min_speed_kph, {s4('mean')} AS mean_speed_kph, {s4('hi')} AS max_speed_kph
-    FROM sgm g JOIN at x ON x.target=g.a JOIN at y ON y.target=g.b AND y.session=x.session AND y.lap=x.lap LEFT JOIN ins i ON i.session=x.session AND i.lap=x.lap AND i.name=g.name""".replace("{s4('x.v')}", "x"),
+    SELECT x.session, CAST(x.lap AS BIGINT) AS lap, g.name, {s4(even_sql('y.e-x.e', 3))} AS duration_s, {s4(even_sql('x.v', 3))} AS entry_speed_kph, {s4(even_sql('y.v', 3))} AS exit_speed_kph, {s4(even_sql('lo', 3))} AS min_speed_kph, {s4(even_sql('mean', 3))} AS mean_speed_kph, {s4(even_sql('hi', 3))} AS max_speed_kph
+    FROM sgm g JOIN tgt x ON x.target=g.a JOIN tgt y ON y.target=g.b AND y.session=x.session AND y.lap=x.lap LEFT JOIN ins i ON i.session=x.session AND i.lap=x.lap AND i.name=g.name""",
     ("v_trackpos",),
 )
 def w13(spark, sf):
@@ -214,7 +214,7 @@ _ROUTE = """
   loc AS (SELECT * FROM rt WHERE lat IS NOT NULL AND lon IS NOT NULL)"""
 
 
-@query("w14_route_rows", f"WITH {_ROUTE} SELECT session, device, {s4('s')} AS s, lat, lon, {s4('kph')} AS speed_kph, {s4('rpm')} AS rpm, gear, prndl, brake_on, brake_kpa FROM loc".replace("kph*1", "kph*1"), ("v_state",))
+@query("w14_route_rows", f"WITH {_ROUTE} SELECT session, device, {s4('s')} AS s, lat, lon, {s4(even_sql('kph', 1))} AS speed_kph, {s4(even_sql('rpm', 1))} AS rpm, gear, prndl, brake_on, brake_kpa FROM loc", ("v_state",))
 def w14(spark, sf):
     out = routes.route_rows(v_state(spark, sf))
     return out.select(*KEYS, q4(F.col("s")).alias("s"), "lat", "lon", q4(F.col("speed_kph")).alias("speed_kph"), q4(F.col("rpm")).alias("rpm"), "gear", "prndl", "brake_on", "brake_kpa")
@@ -251,13 +251,13 @@ def v8(spark, sf):
 
 _ASOF = """
   ends AS (SELECT session, min(t_us)//21600000000 AS a, max(t_us)//21600000000+1 AS b FROM v_signal GROUP BY 1),
-  grid AS (SELECT session, k*21600000000 AS t_us FROM ends, range(0, 120) r(i), (SELECT 0) z, LATERAL (SELECT a+i AS k) WHERE k<=b)"""
+  grid AS (SELECT session, k*21600000000 AS t_us FROM ends, range(0, 4000) r(i), (SELECT 0) z, LATERAL (SELECT a+i AS k) WHERE k<=b)"""
 
 
 def _grid(spark, sf):
     step = 21_600_000_000
     ends = v_signal(spark, sf).groupBy("session").agg(F.floor(F.min("t_us") / step).alias("a"), (F.floor(F.max("t_us") / step) + 1).alias("b"))
-    return ends.select("session", (F.explode(F.sequence("a", "b")) * step).alias("t_us"))
+    return ends.select("session", F.explode(F.transform(F.sequence("a", "b"), lambda i: i * step)).alias("t_us"))
 
 
 def _samples(spark, sf):

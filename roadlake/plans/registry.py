@@ -32,3 +32,12 @@ def q4(value: Column) -> Column:
 def s4(expr: str) -> str:
     """`q4` in SQL."""
     return f"floor(({expr})*1e4 + 0.500001e0)/1e4"
+
+
+def even_sql(expr: str, digits: int) -> str:
+    """Decimal rounding of the exact binary value, ties to even, in SQL."""
+    s, x = f"1e{digits}", f"({expr})"
+    p, hi = f"({x}*{s})", f"({x}*134217729.0e0-({x}*134217729.0e0-{x}))"
+    err = f"(({hi}*{s}-{p})+({x}-{hi})*{s})"
+    part = f"({p}-floor({p}))"
+    return f"((floor({p})+CASE WHEN {part}>0.5e0 OR ({part}=0.5e0 AND ({err}>0 OR ({err}=0 AND floor({p})%2<>0))) THEN 1.0e0 ELSE 0.0e0 END)/{s})"
