@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from roadlake.operators import asof
 from roadlake.operators.inventory import ID, MINUTE_MS, SESSION, byte_inventory, id_inventory, moving_ids, with_words
 from roadlake.operators.ordered import prev, scan
-from roadlake.session import cut_lineage
+from roadlake.session import cut_lineage, spread
 
 GPS_GAP_MS = 5_000
 PAIR = [*ID, "channel"]
@@ -165,12 +165,12 @@ def correlate(grid: DataFrame, search: Search = Search()) -> DataFrame:
     the reference shared between neighbours; every block is reduced in numpy and the sums are added up by Spark."""
     lag = search.max_lag
     near = F.array_distinct(F.array(*[F.floor((F.col("i") + d) / BLOCK) for d in (-lag, 0, lag)]))
-    spread = grid.select(*PAIR, "dlc", "last", "i", "word", "ref", F.explode(near).alias("block")).where(
+    shared = grid.select(*PAIR, "dlc", "last", "i", "word", "ref", F.explode(near).alias("block")).where(
         (F.col("block") >= 0) & (F.col("block") * BLOCK <= F.col("last"))
     )
     id_type = dict(grid.dtypes)
     schema = _PARTIAL + ", " + ", ".join(f"{c} {id_type[c]}" for c in PAIR) + ", block long"
-    sums = spread.groupBy(*PAIR, "block").applyInPandas(_partial_sums(search), schema)
+    sums = spread(shared, *PAIR, "block").groupBy(*PAIR, "block").applyInPandas(_partial_sums(search), schema)
     field = ["length", "little_endian", "start", "signed"]
     total = sums.groupBy(*PAIR, *field, "lag").agg(
         *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")], F.bit_or("ones").alias("ones"), F.bit_and("zeros").alias("zeros")

@@ -99,10 +99,10 @@ def _take_crossings(min_lap_ms: int):
     def step(rows, state):
         start = None if state is None else state["start"]
         taken = []
-        for t, launched in zip(rows["t_ms"].to_numpy(), rows["launch_ms"].to_numpy()):
-            begin = int(launched) if start is None else start
-            hit = int(t) - begin >= min_lap_ms
-            start = int(t) if hit else begin
+        for t, launched in zip(rows["t_ms"].tolist(), rows["launch_ms"].tolist()):
+            begin = launched if start is None else start
+            hit = t - begin >= min_lap_ms
+            start = t if hit else begin
             taken.append(hit)
         return taken, {"start": start}
 

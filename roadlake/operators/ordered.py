@@ -11,12 +11,13 @@ import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roadlake.session import cut_lineage
+from roadlake.session import cut_lineage, spread
 
 CHUNK = "_chunk"
 HOUR_US = 3_600_000_000
@@ -192,62 +193,100 @@ def number_runs(
     )
 
 
+Rows = dict[str, np.ndarray]
+
+
+def _pieces(batches: Iterable[pd.DataFrame], keys: list[str], columns: list[str]):
+    """Consecutive rows of one (key, chunk) as (batch, first row, end row, key values, start state, column arrays)."""
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        tags = [pdf[k].to_numpy() for k in keys]
+        change = np.zeros(len(pdf), dtype=bool)
+        for tag in tags:
+            change[1:] |= tag[1:] != tag[:-1]
+        edges = [0, *np.flatnonzero(change).tolist(), len(pdf)]
+        arrays, starts = {c: pdf[c].to_numpy() for c in columns}, pdf["_start"].to_numpy()
+        for a, b in zip(edges, edges[1:]):
+            yield pdf, a, b, tuple(t[a] for t in tags), starts[a], {c: v[a:b] for c, v in arrays.items()}
+
+
 def chunked_fold(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     columns: list[str],
-    step: Callable[[pd.DataFrame, dict | None], tuple[Iterable, dict | None]],
+    step: Callable[[Rows, dict | None], tuple[list, dict | None]],
     out: str,
     out_type: str,
     chunk: int = HOUR_US,
 ) -> DataFrame:
     """A sequential fold whose state is small, for rules no window expresses.
 
-    `step(rows, state)` sees one chunk in order and returns one output per row and the state after it. Chunks are
-    first folded from an empty state, then again only where the state handed over by the chunk before differs from
-    the one used, until nothing differs: exact, and no task ever holds more than one chunk of a key.
-    """
+    `step(rows, state)` sees consecutive rows of one chunk, in order, and returns one output per row and the state
+    after them. Chunks are first folded from an empty state, then again only where the state handed over by the chunk
+    before differs from the one used, until nothing differs: exact, and the work of a hot key is spread over its
+    chunks. Rows stream through sorted partitions, so not even a chunk is held in memory."""
     source = with_chunk(df, order[0], chunk)
-    fields = [f"{c} {source.schema[c].dataType.simpleString()}" for c in [*keys, CHUNK]]
-    narrow = source.select(*keys, CHUNK, *dict.fromkeys([*order, *columns]))
-
-    def run(pdf: pd.DataFrame) -> tuple[pd.DataFrame, list, str | None, str | None]:
-        pdf = pdf.sort_values(order, kind="stable")
-        start = pdf["_start"].iloc[0]
-        start = start if isinstance(start, str) else None
-        values, end = step(pdf, json.loads(start) if start else None)
-        return pdf, list(values), start, None if end is None else json.dumps(end, sort_keys=True)
-
-    def ends(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, _, start, end = run(pdf)
-        row = {c: [pdf[c].iloc[0]] for c in [*keys, CHUNK]}
-        return pd.DataFrame({**row, "_start": [start], "_end": [end]})
-
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, values, _, _ = run(pdf)
-        pdf[out] = values
-        return pdf.drop(columns=["_start"])
-
-    end_schema = ", ".join([*fields, "_start string", "_end string"])
     by_chunk = [*keys, CHUNK]
-    state = cut_lineage(
-        narrow.withColumn("_start", F.lit(None).cast("string")).groupBy(*by_chunk).applyInPandas(ends, end_schema)
-    )
+    used = list(dict.fromkeys([*order, *columns, *keys]))
+    narrow = source.select(*dict.fromkeys([*keys, CHUNK, *order, *columns]))
+
+    def load(text):
+        return json.loads(text) if isinstance(text, str) else None
+
+    def ends(batches):
+        rows, current, state, start = [], None, None, None
+
+        def closed():
+            return (*current, start, None if state is None else json.dumps(state, sort_keys=True))
+
+        for _, _, _, key, begun, piece in _pieces(batches, by_chunk, used):
+            if key != current:
+                if current is not None:
+                    rows.append(closed())
+                current, start, state = key, begun if isinstance(begun, str) else None, load(begun)
+            _, state = step(piece, state)
+            if len(rows) >= 10_000:
+                yield pd.DataFrame(rows, columns=[*by_chunk, "_start", "_end"])
+                rows = []
+        if current is not None:
+            rows.append(closed())
+        yield pd.DataFrame(rows, columns=[*by_chunk, "_start", "_end"])
+
+    def emit(batches):
+        current, state, values, batch = None, None, [], None
+        for pdf, _, _, key, begun, piece in _pieces(batches, by_chunk, used):
+            if batch is not None and pdf is not batch:
+                yield batch.drop(columns=["_start"]).assign(**{out: values})
+                values = []
+            batch = pdf
+            if key != current:
+                current, state = key, load(begun)
+            results, state = step(piece, state)
+            values.extend(results)
+        if batch is not None:
+            yield batch.drop(columns=["_start"]).assign(**{out: values})
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        return spread(rows, *by_chunk).sortWithinPartitions(*by_chunk, *order)
+
+    def fields(frame: DataFrame) -> str:
+        return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema)
+
+    end_schema = fields(narrow.select(*by_chunk)) + ", _start string, _end string"
+    first = narrow.withColumn("_start", F.lit(None).cast("string"))
+    state = cut_lineage(in_order(first).mapInPandas(ends, end_schema))
     handed = F.lag("_end").over(Window.partitionBy(*keys).orderBy(CHUNK))
     while True:
         wanted = state.withColumn("_want", handed)
-        stale = wanted.where(~F.col("_want").eqNullSafe(F.col("_start"))).select(*by_chunk, F.col("_want").alias("_start"))
-        stale = cut_lineage(stale)
+        stale = cut_lineage(
+            wanted.where(~F.col("_want").eqNullSafe(F.col("_start"))).select(*by_chunk, F.col("_want").alias("_start"))
+        )
         if stale.isEmpty():
             break
-        redone = narrow.join(stale, by_chunk).groupBy(*by_chunk).applyInPandas(ends, end_schema)
+        redone = in_order(narrow.join(stale, by_chunk)).mapInPandas(ends, end_schema)
         state = cut_lineage(state.join(stale.select(*by_chunk), by_chunk, "left_anti").unionByName(redone))
 
-    out_fields = [f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema]
-    return (
-        narrow.join(state.select(*by_chunk, "_start"), by_chunk)
-        .groupBy(*by_chunk)
-        .applyInPandas(emit, ", ".join([*out_fields, f"{out} {out_type}"]))
-        .drop(CHUNK)
-    )
+    started = in_order(narrow.join(state.select(*by_chunk, "_start"), by_chunk))
+    return started.mapInPandas(emit, f"{fields(started.drop('_start'))}, {out} {out_type}").drop(CHUNK)

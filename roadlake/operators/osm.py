@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.session import cut_lineage
+from roadlake.session import cut_lineage, spread
 
 PIT_ROLE = "pit_lane"
 
@@ -100,7 +100,7 @@ def stitch(ways: DataFrame) -> DataFrame:
     sizes = usable.groupBy("candidate").agg(F.count("*").alias("_ways"))
     sized = usable.join(sizes, "candidate")
     alone = sized.where("_ways = 1").select("candidate", F.lit(0).alias("line_no"), "line")
-    several = sized.where("_ways > 1").drop("_ways").groupBy("candidate").applyInPandas(_stitch, f"candidate string, line_no int, line {LINE}")
+    several = spread(sized.where("_ways > 1").drop("_ways"), "candidate").groupBy("candidate").applyInPandas(_stitch, f"candidate string, line_no int, line {LINE}")
     return alone.unionByName(several)
 
 

@@ -46,10 +46,10 @@ def _accept_within(limit_of: dict[str, float]):
     """Fold step: a value passes when it is within the limit of the last value that passed."""
 
     def step(rows, state):
-        limit = limit_of[rows["signal"].iloc[0]]
+        limit = limit_of[rows["signal"][0]]
         held = None if state is None else state["held"]
         passed = []
-        for value in rows["value"].to_numpy():
+        for value in rows["value"].tolist():
             ok = held is None or abs(value - held) <= limit
             held = float(value) if ok else held
             passed.append(ok)

@@ -311,13 +311,13 @@ def j5(spark, sf):
 
 # ---- laps by geofence: twelve cars circling, one record per second ----
 
-def lap_records(spark, sf):
+def lap_records(rows):
     e = F.col("event_id")
     k, i = e % 12, F.floor(e / 12)
     angle = (i % (k + 50)) / (k + 50).cast("double") * F.lit(2 * math.pi)
     kind = F.when(i % 400 == 5, "anchor").when(i % 3 == 1, "imu").otherwise("gps")
     at_line = F.col("kind") == "anchor"
-    base = events(spark, sf).select(
+    base = rows.select(
         F.concat(F.lit("car"), k, F.lit(":d")).alias("session_key"), (i * 1000).alias("t_ms"), kind.alias("kind"), e.alias("seq"),
         (F.lit(40.0) + F.lit(0.001) * F.sin(angle)).alias("lat"), (F.lit(-111.0) + F.lit(0.001) * F.cos(angle)).alias("lon"),
         F.when(e % 5 != 0, F.col("value")).alias("speed"),
@@ -360,7 +360,7 @@ _LAP_SQL = f"""WITH RECURSIVE
     floor((dist/1000)/((t1-t0)/3600000.0e0)*10+0.5e0)/10 AS avg_speed_kph, floor(dist*10+0.5e0)/10 AS distance_m, n + CASE WHEN lap=1 THEN 1 ELSE 0 END AS gps_point_count FROM fin""",
 )
 def st2(spark, sf):
-    out = lap_machine.laps(lap_records(spark, sf), lap_machine.Profile(), 120_000)
+    out = lap_machine.laps(lap_records(events(spark, sf)), lap_machine.Profile(), 120_000)
     return out.drop("anchor_lat", "anchor_lon", "profile_id")
 
 

@@ -16,18 +16,6 @@ from roadlake.streaming import buckets, frames, laps, sessions
 from roadlake.streaming.run import large_state, read_table_stream, run_to_table, work_dir
 
 
-class _Streamed:
-    """The views' source with the tables read as streams, so that batch view definitions serve both."""
-
-    def __enter__(self):
-        self.read = views.table
-        views.table = read_stream
-        return self
-
-    def __exit__(self, *exc):
-        views.table = self.read
-
-
 def read_stream(spark, sf, name):
     return read_table_stream(spark, sf, f"{name}.parquet")
 
@@ -115,8 +103,7 @@ def st14(spark, sf):
     SELECT session_key, CAST(epoch AS BIGINT) AS epoch, CAST(lap AS BIGINT) AS lap_number, t0 AS lap_start_ms, t1 AS lap_end_ms, floor(dist*10+0.5e0)/10 AS distance_m, n + CASE WHEN lap=1 THEN 1 ELSE 0 END AS gps_point_count FROM agg""",
 )
 def st2s(spark, sf):
-    with _Streamed():
-        records = driving.lap_records(spark, sf)
+    records = driving.lap_records(read_stream(spark, sf, "events"))
     return run_to_table(laps.laps_stream(records, Profile())).select("session_key", "epoch", "lap_number", "lap_start_ms", "lap_end_ms", "distance_m", "gps_point_count")
 
 

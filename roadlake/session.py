@@ -48,3 +48,9 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     join to Catalyst, which shuffles both sides (and splits skewed partitions under AQE)."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by `keys` into the session's number of shuffle partitions. Said explicitly, because adaptive
+    execution merges partitions by bytes, and for work done in Python the bytes do not tell the cost."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
