@@ -49,22 +49,8 @@ def planar_m(lat: Column, lon: Column, lat0: Column, lon0: Column, per_degree: f
     return F.sqrt(dx * dx + dy * dy)
 
 
-def project_on_segment(lat: Column, lon: Column, lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Planar projection of a fix on a segment: struct(distance_m, along_m, snapped_lat, snapped_lon).
-
-    The fraction along the segment is clamped to [0, 1]; a zero-length segment projects on its start.
-    """
-    per_lon = F.lit(METRES_PER_DEGREE) * F.cos(F.radians((lat1 + lat2 + lat) / 3.0))
-    bx, by = (lon2 - lon1) * per_lon, (lat2 - lat1) * METRES_PER_DEGREE
-    px, py = (lon - lon1) * per_lon, (lat - lat1) * METRES_PER_DEGREE
+def segment_fraction(bx: Column, by: Column, px: Column, py: Column) -> Column:
+    """How far along a planar segment (bx, by) the point (px, py) projects, clamped to [0, 1]; 0 on a point-like one."""
     length2 = bx * bx + by * by
-    t = F.when(length2 == 0.0, F.lit(0.0)).otherwise(
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), (px * bx + py * by) / F.nullif(length2, F.lit(0.0))))
-    )
-    dx, dy = px - t * bx, py - t * by
-    return F.struct(
-        F.sqrt(dx * dx + dy * dy).alias("distance_m"),
-        (t * F.sqrt(length2)).alias("along_m"),
-        (lat1 + (lat2 - lat1) * t).alias("snapped_lat"),
-        (lon1 + (lon2 - lon1) * t).alias("snapped_lon"),
-    )
+    share = (px * bx + py * by) / F.nullif(length2, F.lit(0.0))
+    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)), F.lit(0.0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.functions.geo import METRES_PER_DEGREE, haversine_km, planar_m, project_on_segment
+from roadlake.functions.geo import METRES_PER_DEGREE, haversine_km, planar_m, segment_fraction
 from roadlake.functions.rounding import half_even, half_up
 from roadlake.session import broadcast_if_bounded
 
@@ -51,24 +51,32 @@ def match_tracks(
     )
     joined = placed.join(cells, ["cell_lat", "cell_lon"])
 
-    def candidate(s: Column) -> Column:
-        hit = project_on_segment(F.col("lat"), F.col("lon"), s["lat1"], s["lon1"], s["lat2"], s["lon2"])
-        return F.struct(hit["distance_m"].alias("distance_m"), s["track_order"].alias("track_order"), s["seq"].alias("seq"),
-                        hit.alias("hit"), s.alias("s"))
-
-    best = joined.select(*fixes.columns, F.array_min(F.transform("near", candidate)).alias("m"))
+    # three passes over the list, so that every intermediate is computed once per candidate
+    scaled = F.transform("near", lambda s: F.struct(
+        s.alias("s"), (F.lit(METRES_PER_DEGREE) * F.cos(F.radians((s["lat1"] + s["lat2"] + F.col("lat")) / 3.0))).alias("k")))
+    planar = F.transform(scaled, lambda c: F.struct(
+        c["s"].alias("s"), ((c["s"]["lon2"] - c["s"]["lon1"]) * c["k"]).alias("bx"), ((c["s"]["lat2"] - c["s"]["lat1"]) * METRES_PER_DEGREE).alias("by"),
+        ((F.col("lon") - c["s"]["lon1"]) * c["k"]).alias("px"), ((F.col("lat") - c["s"]["lat1"]) * METRES_PER_DEGREE).alias("py")))
+    placed_on = F.transform(planar, lambda c: F.struct(
+        c.alias("c"), segment_fraction(c["bx"], c["by"], c["px"], c["py"]).alias("t")))
+    measured = F.transform(placed_on, lambda m: F.struct(
+        F.hypot(m["c"]["px"] - m["t"] * m["c"]["bx"], m["c"]["py"] - m["t"] * m["c"]["by"]).alias("distance_m"),
+        m["c"]["s"]["track_order"].alias("track_order"), m["c"]["s"]["seq"].alias("seq"), m["t"].alias("t"),
+        (m["t"] * F.hypot(m["c"]["bx"], m["c"]["by"])).alias("along_m"), m["c"]["s"].alias("s")))
+    best = joined.select(*fixes.columns, F.array_min(measured).alias("m"))
     return best.where(F.col("m.distance_m") <= max_distance_m)
 
 
 def track_positions(fixes: DataFrame, segments: DataFrame, max_distance_m: float = MAX_DISTANCE_M) -> DataFrame:
     """Track position records: arc length, progress, distance to the line and the snapped point."""
     matched = match_tracks(fixes, segments, max_distance_m)
-    s_m = F.col("m.s.s_start_m") + F.col("m.hit.along_m")
+    s_m = F.col("m.s.s_start_m") + F.col("m.along_m")
     length = F.col("m.s.track_length_m")
     return matched.select(
         *fixes.columns, F.col("m.s.track_id").alias("track_id"), F.col("m.s.name").alias("track_name"), F.col("m.seq").alias("seq"),
         half_up(s_m).alias("s_m"), half_up(s_m / length * 100.0).alias("progress_pct"), half_up(F.col("m.distance_m")).alias("distance_to_track_m"),
-        F.col("m.hit.snapped_lat").alias("snapped_latitude"), F.col("m.hit.snapped_lon").alias("snapped_longitude"),
+        (F.col("m.s.lat1") + (F.col("m.s.lat2") - F.col("m.s.lat1")) * F.col("m.t")).alias("snapped_latitude"),
+        (F.col("m.s.lon1") + (F.col("m.s.lon2") - F.col("m.s.lon1")) * F.col("m.t")).alias("snapped_longitude"),
         half_up(length).alias("track_length_m"),
     )
 

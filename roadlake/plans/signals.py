@@ -13,7 +13,7 @@ from roadlake.operators.validate import compare_summaries, drop_events, row_reas
 from roadlake.operators.windows import Derived, WindowConfig, aggregate, derive, window_stats
 from roadlake.plans.registry import q4, query, s4
 from roadlake.plans.replay import out_of_order, replay_log
-from roadlake.plans.views import events, table, v_can, v_signal, with_views
+from roadlake.plans.views import spread_table, table, v_signal
 from roadlake.sources.sinks import record_counts, sink_records
 
 RANGES = {"view": (1.0, 150.0), "click": (0.5, 100.0)}
@@ -46,7 +46,7 @@ _FRAMES_SQL = """
 
 
 def profile_frames(spark: SparkSession, sf: str) -> DataFrame:
-    line = table(spark, sf, "lineitem")
+    line = spread_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], ["l_orderkey"])
     ln = F.col("l_linenumber").cast("long")
     p, s = F.col("l_partkey") % 65536, F.col("l_suppkey") % 65536
 

@@ -12,6 +12,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf: str, name: str, columns: list[str], keys: list[str]) -> DataFrame:
+    """A table for work that is heavy per row. A table of many splits is read as it is; one that comes in fewer splits
+    than there are cores, such as a single small file, is first spread over them by its keys."""
+    rows = table(spark, sf, name).select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumn("t_us", epoch_us(F.col("ts")))
 
@@ -29,7 +37,8 @@ def v_signal(spark: SparkSession, sf: str) -> DataFrame:
 
 def v_gps(spark: SparkSession, sf: str) -> DataFrame:
     e = F.col("event_id")
-    return events(spark, sf).select(
+    rows = spread_table(spark, sf, "events", ["event_id", "ts", "user_id", "value"], ["event_id"])
+    return rows.withColumn("t_us", epoch_us(F.col("ts"))).select(
         "event_id",
         F.concat(F.lit("u"), "user_id").alias("session"),
         F.concat(F.lit("d"), F.col("user_id") % 10).alias("device"),
@@ -60,7 +69,8 @@ def v_can(spark: SparkSession, sf: str) -> DataFrame:
         return F.lpad(F.lower(F.hex(value.cast("long") % 65536)), 4, "0")
 
     ln = F.col("l_linenumber").cast("long")
-    return table(spark, sf, "lineitem").select(
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    return spread_table(spark, sf, "lineitem", columns, ["l_orderkey"]).select(
         (F.col("l_orderkey") * 1_000_000).alias("base_us"),
         (ln * 20_000).alias("dt_us"),
         (F.col("l_orderkey") * 1_000_000 + ln * 20_000).alias("t_us"),
