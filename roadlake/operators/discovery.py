@@ -243,7 +243,7 @@ def _window(keys):
 def analyse(frames: DataFrame, gps: DataFrame, gyro: DataFrame, search: Search = Search(), chunk: int = MINUTE_MS) -> dict[str, DataFrame]:
     """Inventory, pair statuses and candidates of every session. `frames`: session, device, can_id, t_ms, seq, dlc,
     data_hex. Ids whose bytes never move are left out of the search."""
-    words = cut_lineage(with_words(frames, ["t_ms", "seq"], chunk))
+    words = with_words(frames, ["t_ms", "seq"], chunk)
     ids = cut_lineage(id_inventory(words))
     bytes_ = cut_lineage(byte_inventory(words, ids))
     reference = cut_lineage(reference_channels(gps, gyro, chunk))

@@ -9,6 +9,7 @@ from roadlake.functions.bits import byte_at, word_of_hex
 from roadlake.functions.rounding import half_up
 from roadlake.operators.ordered import prev, scan
 from roadlake.operators.summary import nearest_rank
+from roadlake.session import cut_lineage
 
 SESSION = ["session", "device"]
 ID = [*SESSION, "can_id"]
@@ -17,9 +18,9 @@ COUNTER_MIN_VALUES = 8
 
 
 def with_words(frames: DataFrame, order: list[str], chunk: int = MINUTE_MS) -> DataFrame:
-    """Frames with their payload as one BIGINT and the id's previous frame."""
+    """Frames with their payload as one BIGINT and the id's previous frame, materialised, as every inventory reads them."""
     words = frames.withColumn("word", word_of_hex(F.col("data_hex")))
-    return scan(words, ID, order, {"before": prev(F.struct("word", "t_ms"))}, chunk)
+    return cut_lineage(scan(words, ID, order, {"before": prev(F.struct("word", "t_ms"))}, chunk))
 
 
 def id_inventory(words: DataFrame, bucket_ms: int = 1000) -> DataFrame:

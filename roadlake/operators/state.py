@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlake.operators.frames import LIVE_SESSION
 from roadlake.operators.ordered import HOUR_US, next_, running_sum, scan
+from roadlake.session import cut_lineage
 
 KEYS = ["session", "device"]
 SAMPLE_KINDS = ("gps", "imu", "can", "unknown", "discovery")
@@ -102,9 +103,13 @@ def carry_forward(rows: DataFrame, seen: DataFrame, interval_us: int, chunk: int
 
     Rows are numbered per session; an observation holds until the next one of its signal. Its span is cut into blocks
     before it is expanded, so a signal seen once in a long session is spread over many tasks."""
-    numbered = scan(rows.select(*KEYS, "base_us", "start_us"), KEYS, ["start_us", "base_us"], {"n": running_sum(F.lit(1).cast("long"))}, chunk)
+    numbered = cut_lineage(
+        scan(rows.select(*KEYS, "base_us", "start_us"), KEYS, ["start_us", "base_us"], {"n": running_sum(F.lit(1).cast("long"))}, chunk)
+    )
     ends = numbered.groupBy(*KEYS).agg(F.max("n").alias("n_last"))
-    placed = seen.select(*KEYS, "base_us", "start_us", "signal", "last", "seen_us").join(numbered, [*KEYS, "base_us", "start_us"])
+    placed = cut_lineage(
+        seen.select(*KEYS, "base_us", "start_us", "signal", "last", "seen_us").join(numbered, [*KEYS, "base_us", "start_us"])
+    )
     spans = scan(placed, [*KEYS, "signal"], ["start_us", "base_us"], {"n_next": next_(F.col("n"))}, chunk).join(ends, KEYS)
     until = F.coalesce(F.col("n_next") - 1, F.col("n_last"))
     pieces = spans.select(

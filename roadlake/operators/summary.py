@@ -176,7 +176,7 @@ def nearest_rank(values: DataFrame, keys: list[str], value: str, ranks: dict[str
     """Exact order statistics of a LONG column per key: `ranks` gives each one's rank from the number of values. Equal
     values are counted first and the counts accumulated in value buckets, so a key with most of the rows is never
     gathered in one task."""
-    counted = values.groupBy(*keys, value).agg(F.count("*").alias("n"))
+    counted = cut_lineage(values.groupBy(*keys, value).agg(F.count("*").alias("n")))
     cumulative = scan(counted, keys, [value], {"upto": running_sum(F.col("n"))}, bucket)
     total = counted.groupBy(*keys).agg(F.sum("n").alias("total"))
     placed = cumulative.join(total, keys)

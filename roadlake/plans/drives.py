@@ -225,7 +225,7 @@ _CARRY = f"""WITH p AS ({_PLACED}), obs AS (SELECT session, device, signal, star
 def w1(spark, sf):
     can = can_samples(spark, sf)
     rows = state.intervals(can.select(*KEYS, "base_us").distinct(), 3 * HOUR, SIX)
-    out = state.carry_forward(rows, state.signal_intervals(state.place(can, 3 * HOUR, SIX)), 3 * HOUR, 5 * DAY_US)
+    out = state.carry_forward(rows, state.signal_intervals(state.place(can, 3 * HOUR, SIX)), 3 * HOUR, 15 * DAY_US)
     flat = out.select(*KEYS, "start_us", "carried", F.explode("signals").alias("signal", "value"))
     return flat.select(*KEYS, "start_us", "signal", q4(F.col("value")).alias("value"), F.try_element_at("carried", F.col("signal")).alias("age_ms"))
 

@@ -14,20 +14,15 @@ from roadlake.sources import geojson
 
 ORDER = ["t_us", "event_id"]
 KEYS = ["session", "device"]
-FIVE_DAYS = 5 * DAY_US
+HALF_MONTH = 15 * DAY_US
 
 
 def loop(spark):
     """The fixed loop of the view, as a one-row track table."""
-    coordinates = ",".join(f"[{lon},{lat}]" for lat, lon in TRACK_POINTS)
-    text = f'{{"type":"LineString","coordinates":[{coordinates}]}}'
-    points = geojson.track_points(spark.createDataFrame([(1, "loop", text)], "track_id long, name string, geometry string"))
+    points = spark.createDataFrame([(1, "loop", TRACK_POINTS)], "track_id long, name string, points array<struct<lat:double,lon:double>>")
     return geojson.track_segments(points).withColumn("track_order", F.lit(0))
 
 
-_HAV = "2*6371000.0e0*atan2(sqrt({a}), sqrt(1-({a})))"
-
-
 def hav_sql(lat1, lon1, lat2, lon2, radius="6371000.0e0", form="atan2"):
     a = (f"(sin(radians({lat2}-({lat1}))/2)*sin(radians({lat2}-({lat1}))/2)+cos(radians({lat1}))*cos(radians({lat2}))"
          f"*sin(radians({lon2}-({lon1}))/2)*sin(radians({lon2}-({lon1}))/2))")
@@ -153,23 +148,23 @@ _ELAPSED = _LAPS + """,
 
 
 def _lapped(spark, sf):
-    return laps.laps_of(v_trackpos(spark, sf), ORDER, chunk=FIVE_DAYS)
+    return laps.laps_of(v_trackpos(spark, sf), ORDER, chunk=HALF_MONTH)
 
 
 @query("w2_lap_split", f"WITH {_LAPS} SELECT event_id, session, CAST(lap AS BIGINT) AS lap FROM lp", ("v_trackpos",))
 def w2(spark, sf):
-    return laps.split_laps(v_trackpos(spark, sf), ORDER, chunk=FIVE_DAYS).select("event_id", "session", "lap")
+    return laps.split_laps(v_trackpos(spark, sf), ORDER, chunk=HALF_MONTH).select("event_id", "session", "lap")
 
 
 @query("w3_lap_summary", f"WITH {_LAPS} SELECT session, CAST(lap AS BIGINT) AS lap, t0 AS started_us, t1 AS ended_us, n AS samples, (t1-t0)/1e6 AS duration_s FROM lt", ("v_trackpos",))
 def w3(spark, sf):
-    numbered = laps.split_laps(v_trackpos(spark, sf), ORDER, chunk=FIVE_DAYS)
+    numbered = laps.split_laps(v_trackpos(spark, sf), ORDER, chunk=HALF_MONTH)
     return laps.lap_table(numbered, ORDER).select("session", "lap", "started_us", "ended_us", "samples", "duration_s")
 
 
 @query("j9_elapsed_lookup", f"WITH {_ELAPSED} SELECT session, CAST(lap AS BIGINT) AS lap, target AS target_m, {s4('e')} AS elapsed_s FROM el", ("v_trackpos",))
 def j9(spark, sf):
-    out = laps.elapsed_on_grid(_lapped(spark, sf), ORDER, 50.0, chunk=FIVE_DAYS)
+    out = laps.elapsed_on_grid(_lapped(spark, sf), ORDER, 50.0, chunk=HALF_MONTH)
     return out.select("session", "lap", "target_m", q4(F.col("elapsed_s")).alias("elapsed_s"))
 
 
@@ -181,7 +176,7 @@ def j9(spark, sf):
 )
 def w12(spark, sf):
     numbered = _lapped(spark, sf)
-    elapsed = laps.elapsed_on_grid(numbered, ORDER, 50.0, chunk=FIVE_DAYS)
+    elapsed = laps.elapsed_on_grid(numbered, ORDER, 50.0, chunk=HALF_MONTH)
     pairs = laps.lap_table(numbered, ORDER).select(
         F.col("session").alias("ref_session"), F.col("lap").alias("ref_lap"), F.col("session").alias("cmp_session"), (F.col("lap") + 1).alias("cmp_lap"))
     out = laps.delta_trace(elapsed, pairs)
@@ -203,7 +198,7 @@ SEGMENTS = [("S1", 100.0, 400.0), ("S2", 400.0, 700.0), ("wide", 50.0, 950.0), (
     ("v_trackpos",),
 )
 def w13(spark, sf):
-    out = laps.segment_stats(_lapped(spark, sf), ORDER, SEGMENTS, chunk=FIVE_DAYS)
+    out = laps.segment_stats(_lapped(spark, sf), ORDER, SEGMENTS, chunk=HALF_MONTH)
     return out.select("session", "lap", "name", *[q4(F.col(c)).alias(c) for c in out.columns if c.endswith(("_s", "_kph"))])
 
 
@@ -244,7 +239,7 @@ def w15(spark, sf):
 def v8(spark, sf):
     e = F.col("event_id")
     fixes = v_gps(spark, sf).withColumn("accuracy_m", F.when(e % 9 != 0, e % 40).cast("double")).withColumn("speed_mps", e % 7 * F.lit(0.5))
-    return routes.trip_distance(fixes, ORDER, chunk=FIVE_DAYS).withColumn("distance_m", q4(F.col("distance_m")))
+    return routes.trip_distance(fixes, ORDER, chunk=HALF_MONTH).withColumn("distance_m", q4(F.col("distance_m")))
 
 
 # ---- as-of joins: a grid of six-hour ticks against the samples of each session ----
@@ -266,7 +261,7 @@ def _samples(spark, sf):
 
 @query("j6_asof_hold", f"WITH {_ASOF} SELECT g.session, g.t_us, s.value AS held FROM grid g ASOF LEFT JOIN v_signal s ON g.session=s.session AND g.t_us>=s.t_us", ("v_signal",))
 def j6(spark, sf):
-    return asof.hold(_grid(spark, sf), _samples(spark, sf), ["session"], "t_us", "event_id", F.col("value"), "held", FIVE_DAYS)
+    return asof.hold(_grid(spark, sf), _samples(spark, sf), ["session"], "t_us", "event_id", F.col("value"), "held", HALF_MONTH)
 
 
 @query(
@@ -277,7 +272,7 @@ def j6(spark, sf):
     ("v_signal",),
 )
 def j7(spark, sf):
-    out = asof.interpolate(_grid(spark, sf), _samples(spark, sf), ["session"], "t_us", "event_id", F.col("value"), "v", FIVE_DAYS)
+    out = asof.interpolate(_grid(spark, sf), _samples(spark, sf), ["session"], "t_us", "event_id", F.col("value"), "v", HALF_MONTH)
     return out.select("session", "t_us", q4(F.col("v")).alias("value"))
 
 
@@ -289,7 +284,7 @@ def j7(spark, sf):
     ("v_signal",),
 )
 def j8(spark, sf):
-    out = asof.nearest(_grid(spark, sf), _samples(spark, sf), ["session"], "t_us", "event_id", F.col("value"), "v", FIVE_DAYS)
+    out = asof.nearest(_grid(spark, sf), _samples(spark, sf), ["session"], "t_us", "event_id", F.col("value"), "v", HALF_MONTH)
     return out.select("session", "t_us", F.col("v").alias("value"), F.col("v_gap").alias("gap_us"))
 
 

@@ -34,7 +34,7 @@ def id_frames(spark, sf):
     ("v_can",),
 )
 def a10(spark, sf):
-    out = inventory.id_inventory(inventory.with_words(id_frames(spark, sf), ORDER, 600_000), 100_000)
+    out = inventory.id_inventory(inventory.with_words(id_frames(spark, sf), ORDER, 50_000_000), 10_000_000)
     return out.withColumn("rate_hz", q4(F.col("rate_hz"))).withColumn("dlc", F.col("dlc").cast("long"))
 
 

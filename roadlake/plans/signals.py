@@ -180,7 +180,7 @@ _RATED_SQL = """
     ("v_signal",),
 )
 def v3(spark, sf):
-    checked = validate(v_signal(spark, sf), RANGES, DELTAS, chunk=5 * DAY_US)
+    checked = validate(v_signal(spark, sf), RANGES, DELTAS, chunk=15 * DAY_US)
     return checked.select("event_id", "session", "signal", F.coalesce("reason", F.lit("ok")).alias("reason"))
 
 
