@@ -10,7 +10,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from roadlake.plans import catalog, decoding, drives, driving, views  # noqa: E402
 from roadlake.operators import decode, state, tracks  # noqa: E402

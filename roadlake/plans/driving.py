@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roadlake.operators import asof, device, lap_machine, laps, routes, tracks
 from roadlake.operators.ordered import DAY_US
 from roadlake.plans.registry import even_sql, q4, query, s4
-from roadlake.plans.views import TRACK_POINTS, events, table, v_can, v_gps, v_signal, v_state, v_trackpos
+from roadlake.plans.views import TRACK_POINTS, events, table, v_gps, v_signal, v_state, v_trackpos
 from roadlake.sources import geojson
 
 ORDER = ["t_us", "event_id"]
