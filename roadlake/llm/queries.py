@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import common, licenses, packing, repetition
+from . import common, crosspolytope, licenses, packing, repetition, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.kd_shards(common.table(spark, sf_dir, "documents"), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op2_crosspolytope_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.crosspolytope_neighbours(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, neighbours=20)
+
+
 def op3_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_quality(common.table(spark, sf_dir, "documents")).drop("spans")
 
@@ -24,5 +34,5 @@ def op10_dynamic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_suffix_repetition, op4_license_scan, op10_dynamic_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kd_sharding, op2_crosspolytope_search, op3_suffix_repetition, op4_license_scan, op10_dynamic_packing)}
 CHECKS: dict[str, str] = {}
