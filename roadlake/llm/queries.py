@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, crosspolytope, licenses, packing, repetition, sharding
+from . import common, crosspolytope, languages, licenses, packing, repetition, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,9 +30,23 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(common.table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op6_folded_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", "toxic").where(languages.remainder("doc_id", 4) != 2)
+    scored = toxicity.toxicity(docs, toxicity.fit(docs.join(labels, "doc_id")))
+    return scored.select("doc_id", F.coalesce(languages.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op8_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = languages.fit(docs.where(languages.remainder("doc_id", 5) != 0))
+    found = languages.identify(docs, model)
+    return found.select("doc_id", F.coalesce(languages.remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op10_dynamic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kd_sharding, op2_crosspolytope_search, op3_suffix_repetition, op4_license_scan, op10_dynamic_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kd_sharding, op2_crosspolytope_search, op3_suffix_repetition, op4_license_scan, op6_folded_lexicon, op8_byte_gru_language, op10_dynamic_packing)}
 CHECKS: dict[str, str] = {}
