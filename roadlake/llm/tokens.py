@@ -66,3 +66,13 @@ def sentence_ends(path: str) -> np.ndarray:
     for token, number in table.items():
         ends[number] = b"\n" in token or token.rstrip(b"\"')").endswith((b".", b"!", b"?"))
     return ends
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> list[bytes]:
+    """By id: the bytes that a token stands for."""
+    table = ranks(path)
+    found = [b""] * (max(table.values()) + 1)
+    for token, number in table.items():
+        found[number] = token
+    return found
