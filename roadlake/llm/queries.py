@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, crosspolytope, languages, licenses, packing, repetition, sharding, toxicity
+from . import bytepair, common, crosspolytope, languages, licenses, ordermin, packing, repetition, sharding, toxicity, unitdedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(common.table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op5_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepair.encode_corpus(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op6_folded_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = common.table(spark, sf_dir, "labels").select("doc_id", "toxic").where(languages.remainder("doc_id", 4) != 2)
@@ -37,6 +41,10 @@ def op6_folded_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(languages.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 def op8_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = languages.fit(docs.where(languages.remainder("doc_id", 5) != 0))
@@ -44,9 +52,16 @@ def op8_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(languages.remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op9_unit_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = unitdedup.remove_repeats(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.concat_ws(",", F.transform("repeats.spans", lambda s: F.concat_ws(":", s["start"], s["end"])))
+    return found.select("doc_id", "text", "repeats.n_units", "repeats.n_removed", "repeats.removed_chars", spans.alias("removed_spans"))
+
+
 def op10_dynamic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_kd_sharding, op2_crosspolytope_search, op3_suffix_repetition, op4_license_scan, op6_folded_lexicon, op8_byte_gru_language, op10_dynamic_packing)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_kd_sharding, op2_crosspolytope_search, op3_suffix_repetition, op4_license_scan, op5_distinct_word_bpe, op6_folded_lexicon, op7_order_minhash, op8_byte_gru_language, op9_unit_hash_dedup, op10_dynamic_packing)}
 CHECKS: dict[str, str] = {}

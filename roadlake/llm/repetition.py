@@ -146,6 +146,21 @@ def measure(rows: pa.RecordBatch, min_repeat: int, max_covered: float, max_repea
     return common.batch(SCHEMA, rows.column("doc_id"), n_words, chars, symbols, pa.array(dup_lines, pa.int64()), repeated, failed, kept, covered, longest, spans.cast(SCHEMA.field("spans").type))
 
 
+def kept_rows(docs: DataFrame, text_col: str = "text", min_repeat: int = 8, max_covered: float = 0.5, max_repeat: int = 120) -> DataFrame:
+    """The rows of `docs` that the rules keep, with all their columns; see `repetition_quality`. Null and empty texts go."""
+    at = docs.columns.index(text_col)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in common.pieces(batches, names[at]):
+            text = rows.column(names[at])
+            measured = measure(pa.RecordBatch.from_arrays([pa.nulls(len(text), pa.int64()), text], names=["doc_id", "text"]), min_repeat, max_covered, max_repeat)
+            yield rows.filter(measured.column("kept"))
+
+    renamed = docs.toDF(*names)
+    return renamed.mapInArrow(run, renamed.schema).toDF(*docs.columns)
+
+
 def repetition_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_repeat: int = 8, max_covered: float = 0.5, max_repeat: int = 120) -> DataFrame:
     """One row per row of `docs`: word and line counts, the united repeated spans (in words), and whether to keep it.
 
