@@ -35,13 +35,12 @@ class WindowConfig:
 
 
 DEFAULT_MIN_SAMPLES = 1
-DEFAULT_MAX_SAMPLES = 10_000
 
 STATS = ["topic", "signal", "unit", "session", "window_start_us", "window_end_us", "sample_count", "min_value",
          "max_value", "mean_value", "stddev_value", "kind", "derived_from"]
 
 
-def _setting(values: dict[str, int], default: int) -> Column:
+def _setting(values: dict[str, int], default: int | None) -> Column:
     out = F.lit(default).cast("long")
     for name, number in values.items():
         out = F.when(F.col("signal") == name, F.lit(number).cast("long")).otherwise(out)
@@ -49,7 +48,8 @@ def _setting(values: dict[str, int], default: int) -> Column:
 
 
 def window_stats(routed: DataFrame, config: WindowConfig = WindowConfig(), tie: str = "event_id") -> DataFrame:
-    """All windows, kept or not, with `reason`. The window length depends on the signal, so the start is computed
+    """All windows, kept or not, with `reason`. Only signals named in `max_samples` have an upper limit: a window holds
+    a whole fleet's samples, so its size says nothing by itself. The window length depends on the signal, so the start is computed
     rather than taken from a fixed window; the key has no session. Every aggregate merges map-side, so a hot
     signal reaches the shuffle as one row per task and window."""
     length = _setting(config.seconds, config.default_seconds) * 1_000_000
@@ -66,7 +66,7 @@ def window_stats(routed: DataFrame, config: WindowConfig = WindowConfig(), tie:
             F.stddev_pop("value").alias("stddev_value"),
         )
     )
-    reason = F.when(F.col("sample_count") > _setting(config.max_samples, DEFAULT_MAX_SAMPLES), "WINDOW_OVERFLOW").when(
+    reason = F.when(F.col("sample_count") > _setting(config.max_samples, None), "WINDOW_OVERFLOW").when(
         F.col("sample_count") < _setting(config.min_samples, DEFAULT_MIN_SAMPLES), "INSUFFICIENT_SAMPLES"
     )
     return stats.select(

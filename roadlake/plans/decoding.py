@@ -400,6 +400,31 @@ def c1(spark, sf):
     )
 
 
+# A message whose first four bits choose what the next twelve mean; selectors 5 to 15 choose nothing.
+MUX_ROWS = [
+    ("default", 513, "Pack", 8, "Cell", 7, 4, False, False, 1.0, 0.0, "", "M"),
+    *[("default", 513, "Pack", 8, f"Voltage_{k}", 3, 12, False, False, 0.00125, 0.0, "V", f"m{k}") for k in range(5)],
+    ("default", 513, "Pack", 8, "Supplier", 23, 16, False, False, 1.0, 0.0, "", None),
+]
+
+
+@query(
+    "c1_multiplexed_decode",
+    f"""WITH b AS (SELECT session, CAST('0x'||substr(data_hex,1,2) AS BIGINT) AS b0, CAST('0x'||substr(data_hex,3,2) AS BIGINT) AS b1, CAST('0x'||substr(data_hex,5,4) AS BIGINT) AS w FROM v_can),
+    x AS (SELECT session, b0//16 AS c, (b0%16*256+b1)*0.00125e0 AS v, w FROM b),
+    r AS (SELECT session, 'Voltage_'||c AS signal, v FROM x WHERE c<5 UNION ALL SELECT session, 'Cell', CAST(c AS DOUBLE) FROM x WHERE c<5 UNION ALL SELECT session, 'Supplier', CAST(w AS DOUBLE) FROM x WHERE c<5
+      UNION ALL SELECT session, 'layout_mismatch', NULL FROM x WHERE c>=5)
+    SELECT session, signal, count(*) AS n, {s4("sum(v)")} AS total FROM r GROUP BY ALL""",
+    ("v_can",),
+)
+def c1_mux(spark, sf):
+    signals = spark.createDataFrame(MUX_ROWS, _DBC_SCHEMA + ", mux string")
+    can = v_can(spark, sf).select("session", F.lit(513).cast("long").alias("can_id"), "data_hex", F.lit("default").alias("dbc"), F.lit(None).cast("string").alias("no_dbc"))
+    values = decode.decode(can, signals).select("session", "signal", "value")
+    missed = decode.classify(can, signals).where("outcome = 'unknown'").select("session", F.col("reason").alias("signal"), F.lit(None).cast("double").alias("value"))
+    return values.unionByName(missed).groupBy("session", "signal").agg(F.count("*").alias("n"), q4(F.sum("value")).alias("total"))
+
+
 # (dbc, role, signal, const, scale, offset, unit, codes)
 ROLE_ROWS = [
     ("one", "speed_kph", "view", None, None, None, "mph", None),
@@ -442,19 +467,20 @@ def c6(spark, sf):
 @query(
     "v6_roles_check",
     """WITH s AS (SELECT 'f'||(p_partkey%7) AS dbc, p_partkey%11 AS c, p_partkey%3 AS d FROM part), p AS (
-      SELECT dbc, 'speed_kph' AS role, 'signal is not in this DBC' AS problem FROM s WHERE c=0 AND d=1
-      UNION ALL SELECT dbc, 'rpm', 'give exactly one of signal or value' FROM s WHERE c=1
-      UNION ALL SELECT dbc, 'warp', 'not a known role' FROM s WHERE c=2
-      UNION ALL SELECT dbc, 'coolant_c', 'the unit does not convert to this role''s unit' FROM s WHERE c=3
-      UNION ALL SELECT dbc, 'coolant_c', 'give unit or scale/offset, not both' FROM s WHERE c=3
-      UNION ALL SELECT dbc, 'prndl', 'map keys are integer codes, values one of P/R/N/D/L' FROM s WHERE c=4
-      UNION ALL SELECT dbc, 'cylinders', 'value must be a number' FROM s WHERE c=5
-      UNION ALL SELECT dbc, 'cylinders', 'a constant value takes no conversion' FROM s WHERE c=5
-      UNION ALL SELECT dbc, 'gear', 'unknown keys' FROM s WHERE c=6
-      UNION ALL SELECT dbc, 'gear', 'only prndl takes a map' FROM s WHERE c=6
-      UNION ALL SELECT dbc, 'rpm', 'scale must be a number' FROM s WHERE c=7
-      UNION ALL SELECT dbc, 'prndl', 'needs a map of signal codes to P/R/N/D/L' FROM s WHERE c=8
-      UNION ALL SELECT dbc, 'rpm', 'unit must be one of degF, mi, mph, psi' FROM s WHERE c=9)
+      SELECT dbc, 'speed_kph' AS role, 'source.signal_missing' AS problem FROM s WHERE c=0 AND d=1
+      UNION ALL SELECT dbc, 'rpm', 'source.not_one' FROM s WHERE c=1
+      UNION ALL SELECT dbc, 'warp', 'role.unknown' FROM s WHERE c=2
+      UNION ALL SELECT dbc, 'coolant_c', 'unit.wrong_kind' FROM s WHERE c=3
+      UNION ALL SELECT dbc, 'coolant_c', 'unit.with_factor' FROM s WHERE c=3
+      UNION ALL SELECT dbc, 'prndl', 'selector.bad_code' FROM s WHERE c=4
+      UNION ALL SELECT dbc, 'cylinders', 'constant.not_number' FROM s WHERE c=5
+      UNION ALL SELECT dbc, 'cylinders', 'constant.converted' FROM s WHERE c=5
+      UNION ALL SELECT dbc, 'gear', 'entry.extra_key' FROM s WHERE c=6
+      UNION ALL SELECT dbc, 'gear', 'number.has_codes' FROM s WHERE c=6
+      UNION ALL SELECT dbc, 'rpm', 'number.scale_not_number' FROM s WHERE c=7
+      UNION ALL SELECT dbc, 'prndl', 'selector.no_codes' FROM s WHERE c=8
+      UNION ALL SELECT dbc, 'rpm', 'unit.unknown' FROM s WHERE c=9
+      UNION ALL SELECT dbc, 'brake_on', 'entry.not_object' FROM s WHERE c=10)
     SELECT dbc, role, problem, count(*) AS n FROM p GROUP BY ALL""",
 )
 def v6(spark, sf):
@@ -464,7 +490,7 @@ def v6(spark, sf):
         ("rpm", '{"scale":2}'), ("warp", '{"signal":"Known"}'), ("coolant_c", '{"signal":"Known","unit":"psi","scale":1.5}'),
         ("prndl", '{"signal":"Known","map":{"1":"P","x":"R"}}'), ("cylinders", '{"value":"six","offset":1}'),
         ("gear", '{"signal":"Known","map":{"1":"P"},"colour":"red"}'), ("rpm", '{"signal":"Known","scale":"2"}'),
-        ("prndl", '{"signal":"Known"}'), ("rpm", '{"signal":"Known","unit":"furlong"}'), ("brake_on", '{"signal":"Known"}'),
+        ("prndl", '{"signal":"Known"}'), ("rpm", '{"signal":"Known","unit":"furlong"}'), ("brake_on", '["Known"]'),
     ]
     role, spec = F.lit(cases[-1][0]), F.lit(cases[-1][1])
     for i, (r, s) in enumerate(cases[:-1]):

@@ -308,12 +308,12 @@ _ROLL = """
       WHEN greatest(last_frame_received_us, started_us) IS NULL OR 40000000000-greatest(last_frame_received_us, started_us) > 1800000000 THEN 'unterminated' ELSE 'open' END AS state,
       CASE WHEN frames_expected=0 THEN 100.0e0 ELSE round_even(least(frames_received,frames_expected)*100.0e0/nullif(frames_expected,0),1) END AS pct FROM ses),
   summ AS (SELECT DISTINCT 'c'||c_custkey AS session, 'd'||(c_custkey%2) AS device, 2+c_custkey%2 AS version, c_custkey%10 AS frames, c_acctbal AS distance_km, CAST(c_custkey AS DOUBLE) AS duration_s,
-      CASE WHEN c_custkey%4=0 THEN NULL ELSE c_acctbal/100.0e0 END AS mc, c_acctbal/50.0e0 AS mg FROM customer WHERE c_custkey<400 AND c_custkey%3<>0)"""
+      CASE WHEN c_custkey%4=0 THEN NULL ELSE c_acctbal/100.0e0 END AS mc, c_acctbal/50.0e0 AS mg FROM customer WHERE c_custkey%3<>0)"""
 
 
 def _summaries(spark, sf):
     c = F.col("c_custkey")
-    return table(spark, sf, "customer").where((c < 400) & (c % 3 != 0)).select(
+    return table(spark, sf, "customer").where(c % 3 != 0).select(
         F.concat(F.lit("c"), c).alias("session"), F.concat(F.lit("d"), c % 2).alias("device"), (c % 2 + 2).alias("version"), (c % 10).alias("frames_received"),
         F.col("c_acctbal").alias("distance_km"), c.cast("double").alias("duration_s"), F.when(c % 4 != 0, F.col("c_acctbal") / 100.0).alias("max_can_kph"), (F.col("c_acctbal") / 50.0).alias("max_gps_kph"),
     )

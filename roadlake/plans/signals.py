@@ -273,8 +273,7 @@ def a3(spark, sf):
 
 @query(
     "a4_probe_passthrough",
-    f"""WITH {_DECODED_SQL}, r AS (SELECT *, 'signals.' || CASE WHEN signal = 'ProbeFrame' THEN 'probe' ELSE 'x' END AS topic FROM ev
-      WHERE signal IN ('ProbeFrame', 'MassAirFlow')),
+    f"""WITH {_DECODED_SQL}, r AS (SELECT *, 'signals.' || CASE WHEN signal = 'ProbeFrame' THEN 'probe' ELSE 'x' END AS topic FROM ev),
     win AS (SELECT topic, signal, timestamp_ms*1000 - (timestamp_ms*1000) % 3600000000 AS a, count(*) AS n, avg(value) AS m FROM r
       WHERE signal <> 'ProbeFrame' GROUP BY ALL)
     SELECT kind, topic, signal, window_start_us, window_end_us, sample_count, mean_value, count(*) AS copies FROM (
@@ -284,7 +283,7 @@ def a3(spark, sf):
     ("v_can",),
 )
 def a4(spark, sf):
-    ev = signal_events(decode_profile(profile_frames(spark, sf))).where(F.col("signal").isin("ProbeFrame", "MassAirFlow"))
+    ev = signal_events(decode_profile(profile_frames(spark, sf)))
     routed = ev.withColumn("t_us", F.col("timestamp_ms") * 1000).withColumn(
         "topic", F.when(F.col("signal") == "ProbeFrame", "signals.probe").otherwise("signals.x")
     )

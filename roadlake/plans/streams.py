@@ -11,17 +11,19 @@ from roadlake.operators.speed import average_speed_stream
 from roadlake.plans import driving, signals, views
 from roadlake.plans.driving import _LAP_SQL
 from roadlake.plans.registry import q4, query, s4
+from roadlake.plans.views import table
 from roadlake.sources import archive, upsert
 from roadlake.streaming import buckets, frames, laps, sessions
-from roadlake.streaming.run import large_state, read_table_stream, run_to_table, work_dir
+from roadlake.streaming.run import replayed, run_to_table, work_dir
 
 
-def read_stream(spark, sf, name):
-    return read_table_stream(spark, sf, f"{name}.parquet")
+def event_stream(spark, sf):
+    """The events in six micro-batches, in the order of their time."""
+    return replayed(views.events(spark, sf), "t_us")
 
 
 def _signal_stream(spark, sf):
-    e = read_stream(spark, sf, "events").withColumn("t_us", epoch_us(F.col("ts")))
+    e = event_stream(spark, sf)
     return e.select("event_id", F.concat(F.lit("u"), "user_id").alias("session"), F.concat(F.lit("d"), F.col("user_id") % 10).alias("device"),
                     F.col("event_type").alias("signal"), "value", "t_us")
 
@@ -60,7 +62,7 @@ def st10(spark, sf):
 
 @query("st_dedupe_stream", "SELECT DISTINCT user_id % 20 AS k, event_type, epoch_us(ts)//86400000000 AS day FROM events")
 def dedupe(spark, sf):
-    rows = read_stream(spark, sf, "events").select((F.col("user_id") % 20).alias("k"), "event_type", epoch_us(F.col("ts")).alias("t_us"))
+    rows = event_stream(spark, sf).select((F.col("user_id") % 20).alias("k"), "event_type", "t_us")
     keyed = rows.withColumn("day", F.floor(F.col("t_us") / 86_400_000_000))
     return run_to_table(buckets.first_in_stream(keyed, ["k", "event_type", "day"], "t_us", "2 days")).select("k", "event_type", "day")
 
@@ -72,7 +74,7 @@ def dedupe(spark, sf):
 )
 def st12(spark, sf):
     """Two hundredfold time and three sessions, so that an hour of a session holds many records, as recorded traffic does."""
-    e = read_stream(spark, sf, "events")
+    e = event_stream(spark, sf)
     iso = F.date_format(F.timestamp_micros(F.floor(epoch_us(F.col("ts")) / 200)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     payload = F.to_json(F.struct(F.lit("d").alias("device_id"), F.concat(F.lit("u"), F.col("user_id") % 3).alias("source_session"), iso.alias("captured_at"), "value"))
     rows = e.select(F.concat(F.lit("telemetry/raw "), "event_type").alias("topic"), F.create_map(F.lit("a"), F.col("event_type")).alias("headers"),
@@ -89,7 +91,7 @@ def st12(spark, sf):
     "SELECT 'u'||user_id AS session, event_type AS kind, arg_max(event_id, event_id) AS event_id, arg_max(value, event_id) FILTER (WHERE event_id%5=0) AS length_m FROM events GROUP BY 1, 2",
 )
 def st14(spark, sf):
-    rows = read_stream(spark, sf, "events").select(
+    rows = event_stream(spark, sf).select(
         F.concat(F.lit("u"), "user_id").alias("session"), F.col("event_type").alias("kind"), "event_id", F.when(F.col("event_id") % 5 == 0, F.col("value")).alias("length_m"))
     folder = work_dir(spark)
     writer = upsert.upsert_stream(rows, f"{folder}/out", f"{folder}/log", ["session", "kind"], ["event_id"], "kind", keep_known=("length_m",))
@@ -103,42 +105,54 @@ def st14(spark, sf):
     SELECT session_key, CAST(epoch AS BIGINT) AS epoch, CAST(lap AS BIGINT) AS lap_number, t0 AS lap_start_ms, t1 AS lap_end_ms, floor(dist*10+0.5e0)/10 AS distance_m, n + CASE WHEN lap=1 THEN 1 ELSE 0 END AS gps_point_count FROM agg""",
 )
 def st2s(spark, sf):
-    records = driving.lap_records(read_stream(spark, sf, "events"))
+    records = driving.lap_records(event_stream(spark, sf).drop("t_us"))
     return run_to_table(laps.laps_stream(records, Profile())).select("session_key", "epoch", "lap_number", "lap_start_ms", "lap_end_ms", "distance_m", "gps_point_count")
 
 
 EPOCH = 1_700_000_000_000_000
 
 
+CATCH_UP_US = 5_000_000_000
+
+
+def _arrived(key, base):
+    """Device d1 uploads everything five thousand seconds late; the others at once."""
+    return base + F.when(key % 3 == 1, CATCH_UP_US).otherwise(200_000)
+
+
 def _frame_records(spark, sf):
-    """Receipts from the orders and samples from their lines, as one stream."""
+    """Receipts from the orders and samples from their lines, receipts three seconds behind, and a last tick."""
     k, ln = F.col("o_orderkey"), F.col("l_orderkey")
     kinds = F.when(F.col("l_linenumber") == 1, "gps").when(F.col("l_linenumber") == 2, "imu").when(F.col("l_linenumber") == 4, "unknown").when(F.col("l_linenumber") == 5, "discovery").otherwise("can")
     none = F.lit(None).cast("long")
-    receipts = read_stream(spark, sf, "orders").where(k % 13 != 0).select(
-        F.concat(F.lit("c"), k % 50).alias("session"), F.concat(F.lit("d"), k % 3).alias("device"), (k * 1_000_000 + EPOCH).alias("base_us"), F.lit("session").alias("kind"),
+    base, line_base = k * 1_000_000 + EPOCH, ln * 1_000_000 + EPOCH
+    receipts = table(spark, sf, "orders").where(k % 13 != 0).select(
+        F.concat(F.lit("c"), k % 50).alias("session"), F.concat(F.lit("d"), k % 3).alias("device"), base.alias("base_us"), (_arrived(k, base) + 3_000_000).alias("arrived_us"), F.lit("session").alias("kind"),
         F.lit(1).cast("long").alias("sent_gps"), (k % 3).alias("sent_imu"), (k % 4 + 1).alias("sent_can"))
-    samples = read_stream(spark, sf, "lineitem").select(
-        F.concat(F.lit("c"), ln % 50).alias("session"), F.concat(F.lit("d"), ln % 3).alias("device"), (ln * 1_000_000 + EPOCH).alias("base_us"), kinds.alias("kind"),
+    samples = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("c"), ln % 50).alias("session"), F.concat(F.lit("d"), ln % 3).alias("device"), line_base.alias("base_us"), _arrived(ln, line_base).alias("arrived_us"), kinds.alias("kind"),
         none.alias("sent_gps"), none.alias("sent_imu"), none.alias("sent_can"))
-    return receipts.unionByName(samples)
+    records = receipts.unionByName(samples)
+    tick = records.agg((F.max("arrived_us") + 100_000_000).alias("arrived_us")).select(
+        F.lit("clock").alias("session"), F.lit("clock").alias("device"), F.lit(0).cast("long").alias("base_us"), "arrived_us", F.lit("tick").alias("kind"), none.alias("sent_gps"), none.alias("sent_imu"), none.alias("sent_can"))
+    return records.unionByName(tick)
 
 
 _FRAMES = """WITH s AS (SELECT l_orderkey AS k, count(*) FILTER (WHERE l_linenumber=1) AS g, count(*) FILTER (WHERE l_linenumber=2) AS i, count(*) FILTER (WHERE l_linenumber>2) AS n FROM lineitem GROUP BY 1),
     r AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey%13<>0), a AS (SELECT coalesce(s.k, r.k) AS k, coalesce(g,0) AS g, coalesce(i,0) AS i, coalesce(n,0) AS n, r.k IS NOT NULL AS rec, s.k IS NOT NULL AS has FROM s FULL JOIN r ON s.k=r.k),
     f AS (SELECT k*1000000+1700000000000000 AS base_us, CASE WHEN rec AND g=1 AND i=k%3 AND n=k%4+1 THEN 'complete' WHEN has THEN 'incomplete' ELSE 'empty' END AS status FROM a)"""
-# the watermark of a union is that of its slower input: the lines and the orders both end with the last key seen
-_LAST = "(SELECT least((SELECT max(l_orderkey) FROM lineitem), (SELECT max(o_orderkey) FROM orders WHERE o_orderkey%13<>0))*1000000+1700000000000000)"
+_LAST = "(SELECT greatest((SELECT max(l_orderkey) FROM lineitem), (SELECT max(o_orderkey) FROM orders WHERE o_orderkey%13<>0))*1000000+1700000000000000)"
 
 
-@query("st4_frame_assembly", _FRAMES + f" SELECT base_us, status FROM f WHERE status='complete' OR base_us + 30000000 <= {_LAST}")
+@query("st4_frame_assembly", _FRAMES + " SELECT base_us, status FROM f")
 def st4(spark, sf):
-    return run_to_table(frames.assemble(_frame_records(spark, sf))).select("base_us", "status")
+    return run_to_table(frames.assemble(replayed(_frame_records(spark, sf), "arrived_us"))).select("base_us", "status")
 
 
 @query("st4_frame_windows", _FRAMES + f" SELECT base_us, status FROM f WHERE base_us + 1000000 <= {_LAST} - 30000000")
 def st4w(spark, sf):
-    return run_to_table(frames.assemble_windowed(_frame_records(spark, sf))).select("base_us", "status")
+    timely = _frame_records(spark, sf).where("kind <> 'tick'")
+    return run_to_table(frames.assemble_windowed(replayed(timely, "base_us"))).select("base_us", "status")
 
 
 def session_traffic(rows):
@@ -152,17 +166,21 @@ _TRAFFIC = """WITH t AS (SELECT session, device, event_id, t_us//100 AS t, CASE
     r AS (SELECT *, sum(CASE WHEN t-pt >= CASE WHEN pe=1 THEN 120000000 ELSE 1800000000 END THEN 1 ELSE 0 END) OVER (PARTITION BY session, device ORDER BY t, event_id) AS run FROM l)"""
 
 
-@query(
-    "st6_session_close",
-    _TRAFFIC + """ SELECT session, device, min(t) FILTER (WHERE run=0) AS first_us, max(t) FILTER (WHERE run=0) AS last_us, count(*) FILTER (WHERE run=0 AND kind='can') AS can_frames, count(*) FILTER (WHERE run=0) AS records,
-    max(ended) FILTER (WHERE run=0)=1 AS ended, count(*) FILTER (WHERE run>0) AS late FROM r GROUP BY 1, 2""",
-    ("v_signal",),
-)
+_CLOSED = _TRAFFIC + """ SELECT session, device, min(t) FILTER (WHERE run=0) AS first_us, max(t) FILTER (WHERE run=0) AS last_us, count(*) FILTER (WHERE run=0 AND kind='can') AS can_frames, count(*) FILTER (WHERE run=0) AS records,
+    max(ended) FILTER (WHERE run=0)=1 AS ended, count(*) FILTER (WHERE run>0) AS late FROM r GROUP BY 1, 2"""
+
+
+@query("st6_session_close", _CLOSED, ("v_signal",))
 def st6(spark, sf):
     return sessions.close_batch(session_traffic(views.v_signal(spark, sf)), ["t_us", "event_id"], 864_000_000)
 
 
-@query("st6_session_close_stream")
+@query("st6_session_close_stream", _CLOSED, ("v_signal",))
 def st6s(spark, sf):
-    with large_state(spark):
-        return run_to_table(sessions.close_stream(session_traffic(_signal_stream(spark, sf))))
+    """Every third device uploads an hour of its clock late; a last tick lets the clock run out."""
+    t = session_traffic(views.v_signal(spark, sf)).withColumnRenamed("event_id", "seq")
+    late = F.when(F.substring("device", 2, 1).cast("int") % 3 == 1, 3_600_000_000).otherwise(0)
+    records = t.withColumn("arrived_us", F.col("t_us") + late)
+    tick = records.agg((F.max("arrived_us") + 4_000_000_000).alias("arrived_us"))
+    tick = tick.select(F.lit("clock").alias("session"), F.lit("clock").alias("device"), F.lit(0).cast("long").alias("seq"), F.lit(0).cast("long").alias("t_us"), F.lit(sessions.TICK).alias("kind"), "arrived_us")
+    return sessions.totals(run_to_table(sessions.close_stream(replayed(records.unionByName(tick), "arrived_us"))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ def build_session(app: str = "roadlake", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -27,12 +29,14 @@ def build_session(app: str = "roadlake", master: str | None = None, **conf: str)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where none is set."""
+    """The shared folder named by spark.checkpoint.dir. Only a local master may go without: its executors are this machine."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {sc.master} share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return sc.getCheckpointDir()
 

@@ -52,19 +52,23 @@ def _parts(records: DataFrame) -> DataFrame:
     )
 
 
-def write_archive(records: DataFrame, path: str) -> None:
-    """Batch write. Rows of one partition are spread over tasks by time, so no task writes a hot session alone."""
-    spread = _parts(records).repartition(*PARTITIONS, F.floor(F.col("event_us") / 60_000_000))
-    spread.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", "snappy").partitionBy(*PARTITIONS).parquet(path)
-
-
-def archive_stream(records: DataFrame, path: str, checkpoint: str, available_now: bool = False):
-    """Streaming sink: a file per partition every 30 seconds or 250 records."""
+def write_archive(records: DataFrame, path: str, bytes_per_file: int = 128 << 20) -> None:
+    """Batch write in files of about `bytes_per_file`. Rows are dealt by partition, and Spark splits a partition that is
+    larger than that over several tasks and joins small ones, so neither a hot session nor many quiet ones matter."""
+    dealt = _parts(records).hint("rebalance", *PARTITIONS)
+    size = F.sum(F.octet_length("payload_json") + F.octet_length("headers_json"))
+    totals = records.agg(size.alias("bytes"), F.count("*").alias("n")).first()
+    per_record = max(1, (totals["bytes"] or 0) // max(1, totals["n"]))
+    dealt.write.mode("append").option("maxRecordsPerFile", max(1, bytes_per_file // per_record)).option("compression", "snappy").partitionBy(*PARTITIONS).parquet(path)
+
+
+def archive_stream(records: DataFrame, path: str, checkpoint: str, available_now: bool = False, records_per_file: int = MAX_RECORDS_PER_FILE, seconds_per_file: int = MAX_SECONDS_PER_FILE):
+    """Streaming sink: a file per partition every `seconds_per_file` seconds or `records_per_file` records."""
     writer = (
         _parts(records).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", "snappy").partitionBy(*PARTITIONS)
+        .option("maxRecordsPerFile", records_per_file).option("compression", "snappy").partitionBy(*PARTITIONS)
     )
-    trigger = {"availableNow": True} if available_now else {"processingTime": f"{MAX_SECONDS_PER_FILE} seconds"}
+    trigger = {"availableNow": True} if available_now else {"processingTime": f"{seconds_per_file} seconds"}
     return writer.trigger(**trigger).start()
 
 

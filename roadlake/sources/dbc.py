@@ -58,6 +58,20 @@ def read_dbc(spark: SparkSession, path: str) -> DataFrame:
     return parse_dbc(lines)
 
 
+def multiplexed(signals: DataFrame) -> DataFrame:
+    """Per message (dbc, can_id): `selector`, the field of its multiplexer, and `listed`, the values that choose signals.
+
+    A signal tagged m<k> is in a frame only if the selector holds k; a table without a `mux` column has none."""
+    mux = F.col("mux") if "mux" in signals.columns else F.lit(None).cast("string")
+    field = F.struct("start", "length", "little_endian", "signed")
+    return signals.groupBy("dbc", "can_id").agg(F.max(F.when(mux == "M", field)).alias("selector"), F.collect_set(chosen_by(mux)).alias("listed"))
+
+
+def chosen_by(mux: Column) -> Column:
+    """The selector value that a tag m<k> or m<k>M stands for; null for other signals."""
+    return _group(mux, r"^m(\d+)", 1).cast("long")
+
+
 def with_layout(signals: DataFrame) -> DataFrame:
     """Add `need_bytes`: the payload bytes a message needs before any of its signals may be decoded, which is its
     length or the furthest byte any of its fields reaches."""

@@ -1,4 +1,4 @@
-"""Streaming frame assembly: a frame is emitted as soon as its counts match its receipt, or when time has passed it."""
+"""Streaming frame assembly: a session's frames close in order, each when its counts match its receipt or can no longer grow."""
 
 from __future__ import annotations
 
@@ -9,74 +9,122 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from roadlake.operators.state import SAMPLE_KINDS
 
-# Fixed value: a frame's short topics have moved on when any device is 30 s ahead in event time.
-EVENT_LAG_MS = 30_000
+# A short topic is given up after 30 s of other traffic, or 10 s of none.
+LAG_MS = 30_000
+IDLE_MS = 10_000
+FORGET_MS = 24 * 3_600_000
 
 KINDS = (*SAMPLE_KINDS, "session")
-_STATE = ", ".join(f"n_{k} bigint" for k in KINDS) + ", sent_gps bigint, sent_imu bigint, sent_can bigint, closed boolean"
+SENT = ("sent_gps", "sent_imu", "sent_can")
+COUNTS = [*(f"n_{k}" for k in KINDS), *SENT, "opened_ms"]
 OUTPUT = "session string, device string, base_us bigint, status string, n_gps bigint, n_imu bigint, n_can bigint, n_unknown bigint, n_discovery bigint"
 
 
 class FrameAssembly(StatefulProcessor):
-    """State of one frame. Keyed by frame, not session, so a busy session is spread over all partitions; rows of a
-    session are put in time order where they are carried forward."""
+    """State of one session and device: its open frames, how far each topic has come, and what has been closed.
+
+    Timers run on the clock of arrival. A device that uploads an old drive late is late for nobody: only its own closed
+    frames decide what is late, and late samples are reported as rows of status `late`."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counts = handle.getValueState("counts", _STATE)
-
-    def _row(self, key, c, status):
-        return pd.DataFrame([{"session": key[0], "device": key[1], "base_us": key[2], "status": status, **{f"n_{k}": c[f"n_{k}"] for k in SAMPLE_KINDS}}])
+        self.open = handle.getMapState("open", "base_us bigint", ", ".join(f"{c} bigint" for c in COUNTS))
+        self.reached = handle.getValueState("reached", ", ".join(f"{k} bigint" for k in KINDS) + ", closed_us bigint, arrived_ms bigint")
 
     def _load(self):
-        names = [part.split()[0] for part in _STATE.split(", ")]
-        if not self.counts.exists():
-            return {n: False if n == "closed" else 0 for n in names}
-        return dict(zip(names, self.counts.get()))
+        frames = {k[0]: dict(zip(COUNTS, v)) for k, v in self.open.iterator()}
+        reached = dict(zip([*KINDS, "closed_us", "arrived_ms"], self.reached.get())) if self.reached.exists() else dict.fromkeys([*KINDS, "closed_us", "arrived_ms"], -1)
+        return frames, reached
 
     def handleInputRows(self, key, rows, timerValues):
-        c = self._load()
-        if c["closed"]:
-            return
+        frames, reached = self._load()
+        late: dict[int, dict[str, int]] = {}
         for pdf in rows:
-            for kind, n in pdf["kind"].value_counts().items():
-                c[f"n_{kind}"] += int(n)
-            sent = pdf[pdf["kind"] == "session"]
-            if len(sent):
-                last = sent.iloc[-1]
-                c.update(sent_gps=int(last["sent_gps"]), sent_imu=int(last["sent_imu"]), sent_can=int(last["sent_can"]))
-        whole = c["n_session"] > 0 and c["n_gps"] == c["sent_gps"] and c["n_imu"] == c["sent_imu"] and (
-            c["n_can"] + c["n_unknown"] + c["n_discovery"] == c["sent_can"]
-        )
-        c["closed"] = bool(whole)
-        self.counts.update(tuple(c.values()))
-        if whole:
-            yield self._row(key, c, "complete")
-        if not list(self.handle.listTimers()):
-            self.handle.registerTimer(key[2] // 1000 + EVENT_LAG_MS)
+            known = pdf[pdf["kind"].isin(KINDS)]
+            arrived = known.groupby("base_us")["arrived_us"].min() // 1000
+            for (base, kind), n in known.groupby(["base_us", "kind"]).size().items():
+                if base <= reached["closed_us"]:
+                    counts = late.setdefault(int(base), {})
+                    counts[f"n_{kind}"] = counts.get(f"n_{kind}", 0) + int(n)
+                    continue
+                frame = frames.setdefault(int(base), dict.fromkeys(COUNTS, 0) | {"opened_ms": int(arrived[base])})
+                frame[f"n_{kind}"] += int(n)
+                reached[kind] = max(reached[kind], int(base))
+            receipts = known[(known["kind"] == "session") & (known["base_us"] > reached["closed_us"])].sort_values("arrived_us").groupby("base_us").last()
+            for base, *sent in receipts[list(SENT)].itertuples():
+                frames[int(base)].update(zip(SENT, map(int, sent)))
+            if len(known):
+                reached["arrived_ms"] = max(reached["arrived_ms"], int(known["arrived_us"].max()) // 1000)
+        out = [self._row(key, base, "late", counts) for base, counts in sorted(late.items())]
+        yield from self._close(key, frames, reached, None, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        c = self._load()
-        self.counts.clear()
-        if not c["closed"]:
-            yield self._row(key, c, "incomplete" if any(c[f"n_{k}"] for k in SAMPLE_KINDS) else "empty")
+        frames, reached = self._load()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        if not frames and now >= reached["arrived_ms"] + FORGET_MS:
+            self.reached.clear()
+            return
+        yield from self._close(key, frames, reached, now, [])
+
+    def _row(self, key, base, status, counts):
+        return {"session": key[0], "device": key[1], "base_us": base, "status": status, **{f"n_{k}": counts.get(f"n_{k}", 0) for k in SAMPLE_KINDS}}
+
+    def _status(self, base, c, reached, now):
+        """The frame's final status, or None while it may still grow."""
+        given_up = now is not None and (now >= c["opened_ms"] + LAG_MS or now >= reached["arrived_ms"] + IDLE_MS)
+        some = "incomplete" if any(c[f"n_{k}"] for k in SAMPLE_KINDS) else "empty"
+        if c["n_session"]:
+            short = [k for k in ("gps", "imu") if c[f"n_{k}"] != c[f"sent_{k}"]]
+            if c["n_can"] + c["n_unknown"] + c["n_discovery"] != c["sent_can"]:
+                short += ["can", "unknown", "discovery"]
+            if not short:
+                return "complete"
+        else:
+            short = list(KINDS)
+        return some if given_up or all(reached[k] > base for k in short) else None
+
+    def _close(self, key, frames, reached, now, out):
+        for base in sorted(frames):
+            status = self._status(base, frames[base], reached, now)
+            if status is None:
+                break
+            out.append(self._row(key, base, status, frames.pop(base)))
+            reached["closed_us"] = max(reached["closed_us"], base)
+        held = {k[0] for k, _ in self.open.iterator()}
+        for base in held - frames.keys():
+            self.open.removeKey((base,))
+        for base, c in frames.items():
+            self.open.updateValue((base,), tuple(c[n] for n in COUNTS))
+        self.reached.update(tuple(reached.values()))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if frames:
+            oldest = min(frames)
+            due = min(frames[oldest]["opened_ms"] + LAG_MS, reached["arrived_ms"] + IDLE_MS)
+            self.handle.registerTimer(due if now is None else max(due, now + 1))
+        else:
+            self.handle.registerTimer(reached["arrived_ms"] + FORGET_MS)
+        if out:
+            yield pd.DataFrame(out)
 
     def close(self) -> None:
         pass
 
 
-def assemble(records: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """`records`: session, device, base_us, kind, sent_gps, sent_imu, sent_can (set on receipts, kind "session")."""
-    timed = records.withColumn("event_time", F.timestamp_micros("base_us")).withWatermark("event_time", delay)
-    return timed.groupBy("session", "device", "base_us").transformWithStateInPandas(FrameAssembly(), OUTPUT, "append", "eventTime")
+def assemble(records: DataFrame, delay: str = "10 seconds") -> DataFrame:
+    """`records`: session, device, base_us, arrived_us, kind, sent_gps, sent_imu, sent_can (set on receipts, kind
+    "session"). The watermark is on arrival, so it drops nothing that comes within `delay` of its turn, however old the
+    frame. A record of another kind only moves the clock."""
+    timed = records.withColumn("arrival", F.timestamp_micros("arrived_us")).withWatermark("arrival", delay)
+    return timed.groupBy("session", "device").transformWithStateInPandas(FrameAssembly(), OUTPUT, "append", "eventTime")
 
 
 def assemble_windowed(records: DataFrame) -> DataFrame:
-    """The same answer without custom state, for when 30 s of delay is acceptable: counts per frame, combined before
-    the shuffle, emitted once event time has passed the frame."""
-    timed = records.withColumn("event_time", F.timestamp_micros("base_us")).withWatermark("event_time", f"{EVENT_LAG_MS // 1000} seconds")
+    """The same counts without custom state, for devices that upload in time: counts per frame, combined before the
+    shuffle, emitted once event time has passed the frame by the lag. Older samples are dropped by the watermark."""
+    timed = records.withColumn("event_time", F.timestamp_micros("base_us")).withWatermark("event_time", f"{LAG_MS // 1000} seconds")
     counted = timed.groupBy("session", "device", "base_us", F.window("event_time", "1 second")).agg(
-        *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in KINDS], *[F.max(c).alias(c) for c in ("sent_gps", "sent_imu", "sent_can")]
+        *[F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in KINDS], *[F.max(c).alias(c) for c in SENT]
     )
     whole = (F.col("n_session") > 0) & (F.col("n_gps") == F.col("sent_gps")) & (F.col("n_imu") == F.col("sent_imu")) & (
         F.col("n_can") + F.col("n_unknown") + F.col("n_discovery") == F.col("sent_can")

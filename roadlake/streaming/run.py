@@ -6,6 +6,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadlake.session import checkpoint_dir
 
@@ -32,10 +33,18 @@ def large_state(spark: SparkSession):
             spark.conf.set(_PROVIDER, before)
 
 
-def read_table_stream(spark: SparkSession, folder: str, file: str) -> DataFrame:
-    """A Parquet table as a stream, with the schema of its files."""
-    schema = spark.read.parquet(f"{folder}/{file}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(folder)
+def replayed(rows: DataFrame, arrival: str, batches: int = 6, files: int = 1) -> DataFrame:
+    """A recorded table as a stream of `batches` micro-batches, cut at equal steps of the number in column `arrival`.
+
+    Each part is written to a folder in its turn, in `files` files, and the stream takes that many files at a time, so
+    state, watermarks and timers pass from batch to batch as they do on live traffic."""
+    spark, folder = rows.sparkSession, work_dir(rows.sparkSession)
+    edge = rows.agg(F.min(arrival).alias("least"), F.max(arrival).alias("most")).first()
+    step = (((edge["most"] or 0) - (edge["least"] or 0)) // batches + 1) if edge["least"] is not None else 1
+    part = F.floor((F.col(arrival) - F.lit(edge["least"] or 0)) / step)
+    for k in range(batches):
+        rows.where(part == k).repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def run_to_table(stream: DataFrame, mode: str = "append", partition: list[str] | None = None) -> DataFrame:

@@ -13,51 +13,91 @@ from roadlake.operators.ordered import HOUR_US, number_runs, running_max, scan
 END_QUIET_MS = 120_000
 IDLE_MS = 1_800_000
 KEYS = ["session", "device"]
+FORGET_MS = 24 * 3_600_000
 OUTPUT = "session string, device string, first_us bigint, last_us bigint, can_frames bigint, records bigint, ended boolean, late bigint"
 
 
 class SessionClose(StatefulProcessor):
-    """A small running summary per session; its timer moves with every record."""
+    """A small running summary per session, in the order of its records.
+
+    A record after too long a silence closes the session before it counts, whichever micro-batch it comes in; it and all
+    that follow are late and are reported as they come, in rows with a count of late records only. Without such a record
+    a timer on the clock of arrival closes it. What is closed is forgotten a day later."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("session", "first_us bigint, last_us bigint, can_frames bigint, records bigint, ended boolean, late bigint, done boolean")
+        self.state = handle.getValueState("session", "first_us bigint, last_us bigint, can_frames bigint, records bigint, ended boolean, arrived_ms bigint, done boolean")
 
     def _load(self):
-        return list(self.state.get()) if self.state.exists() else [2**62, -1, 0, 0, False, 0, False]
+        return list(self.state.get()) if self.state.exists() else [None, None, 0, 0, False, -1, False]
 
     def handleInputRows(self, key, rows, timerValues):
-        first, last, can, records, ended, late, done = self._load()
-        for pdf in rows:
-            if done:
+        first, last, can, records, ended, arrived, done = self._load()
+        out, late = [], 0
+        for pdf in sorted((p for p in rows if len(p)), key=lambda p: p["t_us"].iloc[0]):
+            arrived = max(arrived, int(pdf["arrived_us"].max()) // 1000)
+            pdf = pdf[pdf["kind"] != TICK].sort_values(["t_us", "seq"])
+            if done or not len(pdf):
                 late += len(pdf)
                 continue
-            first, last = min(first, int(pdf["t_us"].min())), max(last, int(pdf["t_us"].max()))
-            can += int((pdf["kind"] == "can").sum())
-            records += len(pdf)
-            ended = ended or bool((pdf["kind"] == "session_end").any())
-        self.state.update((first, last, can, records, ended, late, done))
-        if not done:
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(last // 1000 + (END_QUIET_MS if ended else IDLE_MS))
-        return iter([])
+            t = pdf["t_us"]
+            over = (pdf["kind"] == "session_end").cummax() | ended
+            before = t.shift(fill_value=last if last is not None else int(t.iloc[0]))
+            limit = over.shift(fill_value=ended).map({True: END_QUIET_MS, False: IDLE_MS}) * 1000
+            silent = (t - before >= limit).to_numpy()
+            n = int(silent.argmax()) if silent.any() else len(pdf)
+            if n:
+                first, last = int(t.iloc[0]) if first is None else min(first, int(t.iloc[0])), int(t.iloc[n - 1]) if last is None else max(last, int(t.iloc[n - 1]))
+                can, records, ended = can + int((pdf["kind"].iloc[:n] == "can").sum()), records + n, bool(over.iloc[n - 1])
+            if n < len(pdf):
+                done, late = True, late + len(pdf) - n
+                out.append((first, last, can, records, ended, 0))
+        if late:
+            out.append((None, None, None, None, None, late))
+        self.state.update((first, last, can, records, ended, arrived, done))
+        self._timer(arrived + (FORGET_MS if done else END_QUIET_MS if ended else IDLE_MS))
+        if out:
+            yield self._rows(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        first, last, can, records, ended, late, _ = self._load()
-        self.state.update((first, last, can, records, ended, late, True))
-        yield pd.DataFrame([dict(session=key[0], device=key[1], first_us=first, last_us=last, can_frames=can, records=records, ended=ended, late=late)])
+        first, last, can, records, ended, arrived, done = self._load()
+        if done or first is None:
+            self.state.clear()
+            return
+        self.state.update((first, last, can, records, ended, arrived, True))
+        self._timer(arrived + FORGET_MS)
+        yield self._rows(key, [(first, last, can, records, ended, 0)])
+
+    def _timer(self, at):
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(at)
+
+    def _rows(self, key, rows):
+        frame = pd.DataFrame(rows, columns=["first_us", "last_us", "can_frames", "records", "ended", "late"]).astype({c: "Int64" for c in ("first_us", "last_us", "can_frames", "records", "late")} | {"ended": "boolean"})
+        return frame.assign(session=key[0], device=key[1])[["session", "device", *frame.columns]]
 
     def close(self) -> None:
         pass
 
 
-def close_stream(records: DataFrame, delay: str = "0 seconds") -> DataFrame:
-    """`records`: session, device, t_us, kind. One row per session once it is over; no record is capped away."""
-    timed = records.withColumn("event_time", F.timestamp_micros("t_us")).withWatermark("event_time", delay)
+TICK = "tick"  # a record that only moves the clock
+
+
+def close_stream(records: DataFrame, delay: str = "10 seconds") -> DataFrame:
+    """`records`: session, device, t_us, seq (the order of equal times), kind, arrived_us. One row per session once it is
+    over, and rows with only `late` for what comes after; `totals` adds them up. The watermark is on arrival, so a device
+    that uploads an old drive loses nothing."""
+    timed = records.withColumn("arrival", F.timestamp_micros("arrived_us")).withWatermark("arrival", delay)
     return timed.groupBy(*KEYS).transformWithStateInPandas(SessionClose(), OUTPUT, "append", "eventTime")
 
 
+def totals(closed: DataFrame) -> DataFrame:
+    """One row per session of the table that `close_stream` wrote."""
+    once = ["first_us", "last_us", "can_frames", "records", "ended"]
+    return closed.groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in once], F.sum("late").alias("late"))
+
+
 def close_batch(records: DataFrame, order: list[str], chunk: int = HOUR_US) -> DataFrame:
     """The same rules over recorded traffic: the first silence long enough closes the session; what follows is late.
 

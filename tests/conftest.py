@@ -10,8 +10,9 @@ from roadlake.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("checkpoints"))
+    session = build_session("tests", "local[4]", **{"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
