@@ -19,7 +19,8 @@ from pyspark.sql.window import Window
 
 from roadlake.session import cut_lineage, spread
 
-CHUNK = "_chunk"
+CHUNK, RUN = "_chunk", "_run"
+SPAN = 16
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 
@@ -224,34 +225,37 @@ def chunked_fold(
     """A sequential fold whose state is small, for rules no window expresses.
 
     `step(rows, state)` sees consecutive rows of one chunk, in order, and returns one output per row and the state
-    after them. Chunks are first folded from an empty state, then again only where the state handed over by the chunk
-    before differs from the one used, until nothing differs: exact, and the work of a hot key is spread over its
-    chunks. Rows stream through sorted partitions, so not even a chunk is held in memory."""
+    after them. The columns it needs are written once, sorted by chunk, and read from there. Chunks are first folded
+    each from an empty state. Where the state handed over by the chunk before differs from the one used, chunks are
+    folded again, in order from the first such chunk to the end of a block of SPAN chunks, then of SPAN^2, and so on
+    until nothing differs: exact, in a number of rounds that is the logarithm of a key's chunks even if every chunk
+    depends on the first. Rows stream through sorted partitions, so not even a chunk is held in memory."""
     source = with_chunk(df, order[0], chunk)
     by_chunk = [*keys, CHUNK]
     used = list(dict.fromkeys([*order, *columns, *keys]))
-    narrow = source.select(*dict.fromkeys([*keys, CHUNK, *order, *columns]))
 
     def load(text):
         return json.loads(text) if isinstance(text, str) else None
 
-    def ends(batches):
-        rows, current, state, start = [], None, None, None
-
-        def closed():
-            return (*current, start, None if state is None else json.dumps(state, sort_keys=True))
+    def dump(state):
+        return None if state is None else json.dumps(state, sort_keys=True)
 
-        for _, _, _, key, begun, piece in _pieces(batches, by_chunk, used):
-            if key != current:
-                if current is not None:
-                    rows.append(closed())
-                current, start, state = key, begun if isinstance(begun, str) else None, load(begun)
+    def ends(batches):
+        """(chunk, state before, state after) of each chunk; the state passes from chunk to chunk within a run."""
+        rows, run, at, state, start = [], None, None, None, None
+        for _, _, _, key, begun, piece in _pieces(batches, [*keys, RUN, CHUNK], used):
+            if at is not None and key != at:
+                rows.append((*at[:-2], at[-1], start, dump(state)))
+                start = dump(state)
+            if key[:-1] != run:
+                run, state, start = key[:-1], load(begun), begun if isinstance(begun, str) else None
+            at = key
             _, state = step(piece, state)
             if len(rows) >= 10_000:
                 yield pd.DataFrame(rows, columns=[*by_chunk, "_start", "_end"])
                 rows = []
-        if current is not None:
-            rows.append(closed())
+        if at is not None:
+            rows.append((*at[:-2], at[-1], start, dump(state)))
         yield pd.DataFrame(rows, columns=[*by_chunk, "_start", "_end"])
 
     def emit(batches):
@@ -268,25 +272,27 @@ def chunked_fold(
         if batch is not None:
             yield batch.drop(columns=["_start"]).assign(**{out: values})
 
-    def in_order(rows: DataFrame) -> DataFrame:
-        return spread(rows, *by_chunk).sortWithinPartitions(*by_chunk, *order)
-
     def fields(frame: DataFrame) -> str:
         return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema)
 
+    narrow = source.select(*dict.fromkeys([*keys, CHUNK, *order, *columns]))
+    narrow = cut_lineage(spread(narrow, *by_chunk).sortWithinPartitions(*by_chunk, *order))
     end_schema = fields(narrow.select(*by_chunk)) + ", _start string, _end string"
-    first = narrow.withColumn("_start", F.lit(None).cast("string"))
-    state = cut_lineage(in_order(first).mapInPandas(ends, end_schema))
+    alone = narrow.withColumn(RUN, F.col(CHUNK)).withColumn("_start", F.lit(None).cast("string"))
+    state = cut_lineage(alone.mapInPandas(ends, end_schema))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(CHUNK))
     handed = F.lag("_end").over(Window.partitionBy(*keys).orderBy(CHUNK))
+    span = SPAN
     while True:
-        wanted = state.withColumn("_want", handed)
-        stale = cut_lineage(
-            wanted.where(~F.col("_want").eqNullSafe(F.col("_start"))).select(*by_chunk, F.col("_want").alias("_start"))
-        )
-        if stale.isEmpty():
+        wanted = state.withColumn("_want", handed).withColumn(RUN, F.floor(number / span).cast("long")).withColumn("_stale", ~F.col("_want").eqNullSafe(F.col("_start")))
+        within = Window.partitionBy(*keys, RUN).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, 0)
+        first = F.first(F.when(F.col("_stale"), F.struct(F.col("_want").alias("state"))), ignorenulls=True).over(within)
+        again = cut_lineage(wanted.withColumn("_from", first).where(F.col("_from").isNotNull()).select(*by_chunk, RUN, F.col("_from.state").alias("_start")))
+        if again.isEmpty():
             break
-        redone = in_order(narrow.join(stale, by_chunk)).mapInPandas(ends, end_schema)
-        state = cut_lineage(state.join(stale.select(*by_chunk), by_chunk, "left_anti").unionByName(redone))
+        rows = spread(narrow.join(again, by_chunk), *keys, RUN).sortWithinPartitions(*keys, RUN, CHUNK, *order)
+        state = cut_lineage(state.join(again.select(*by_chunk), by_chunk, "left_anti").unionByName(rows.mapInPandas(ends, end_schema)))
+        span *= SPAN
 
-    started = in_order(narrow.join(state.select(*by_chunk, "_start"), by_chunk))
+    started = spread(narrow.join(state.select(*by_chunk, "_start"), by_chunk), *by_chunk).sortWithinPartitions(*by_chunk, *order)
     return started.mapInPandas(emit, f"{fields(started.drop('_start'))}, {out} {out_type}").drop(CHUNK)

@@ -12,6 +12,7 @@ from roadlake.operators.profile import IMPALA, ProfileSignal, decode_profile, si
 from roadlake.operators.route import DEFAULT_RULES, Rule, route
 from roadlake.operators.validate import validate
 from roadlake.operators.windows import WindowConfig, aggregate
+from roadlake.session import cut_lineage
 from roadlake.sources.sinks import sink_records
 
 
@@ -59,11 +60,11 @@ def replay_log(
     chunk: int = HOUR_US,
 ) -> Replay:
     """`frames`: session, event_id (total order within a millisecond), timestamp_ms, can_id, dlc, data_hex."""
-    decoded = decode_profile(frames, profile)
+    decoded = cut_lineage(decode_profile(frames, profile))  # every stage below is counted, so each is computed once
     stamped = signal_events(decoded).withColumn("t_us", F.col("timestamp_ms") * 1000)
-    checked = validate(stamped, max_deltas=max_deltas, order=("t_us", "event_id", "signal_no"), chunk=chunk)
+    checked = cut_lineage(validate(stamped, max_deltas=max_deltas, order=("t_us", "event_id", "signal_no"), chunk=chunk))
     validated = checked.where("reason IS NULL").drop("reason")
-    targets = route(validated, rules)
+    targets = cut_lineage(route(validated, rules))
     routed = targets.where("route_reason IS NULL").drop("route_reason")
     aggregated, short = aggregate(routed, windows)
     no_signal = F.lit(None).cast("string")

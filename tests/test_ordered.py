@@ -61,3 +61,30 @@ def test_fold_equals_loop(rows, chunk):
         want[r["i"]] = h is None or abs(r["v"] - h) <= 8
         held[r["k"]] = r["v"] if want[r["i"]] else h
     assert got == want
+
+
+def test_a_latched_value_takes_three_rounds_and_one_read(spark, monkeypatch):
+    """Two hundred chunks that all depend on the first: nothing is ever near the first value again."""
+    from roadlake.operators import ordered
+
+    rounds, read = [], spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(ordered, "spread", lambda df, *keys, f=ordered.spread: rounds.append(keys) or f(df, *keys))
+
+    def seen(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    rows = spark.range(2000).select(F.lit("a").alias("k"), F.col("id").alias("t"), F.col("id").alias("i"), F.when(F.col("id") == 0, 1e6).otherwise(F.col("id").cast("double")).alias("v")).mapInPandas(seen, "k string, t long, i long, v double")
+
+    def step(piece, state):
+        held, out = (None if state is None else state["h"]), []
+        for v in piece["v"].tolist():
+            ok = held is None or abs(v - held) <= 8
+            held = v if ok else held
+            out.append(ok)
+        return out, {"h": held}
+
+    got = chunked_fold(rows, ["k"], ["t", "i"], ["v"], step, "ok", "boolean", 10).where("ok").collect()
+    assert [r["i"] for r in got] == [0]
+    assert read.value == 2000 and len([k for k in rounds if ordered.RUN in k]) <= 2
