@@ -153,6 +153,11 @@ def lag_histogram(lags: DataFrame, keys: list[str], seconds: Column) -> DataFram
     ).withColumn("upper_s", bound)
 
 
+def frames_by_status(frames: DataFrame, keys: list[str]) -> DataFrame:
+    """How many frames have each status, per `keys`."""
+    return frames.groupBy(*keys, "status").agg(F.count("*").alias("frames"))
+
+
 def backlog(topics: DataFrame, offsets: DataFrame) -> DataFrame:
     """Messages a reader has not read yet; nothing for a reader whose position is unknown."""
     read = offsets.where(F.col("consumed_offset").isNotNull())

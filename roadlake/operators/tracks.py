@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlake.functions.geo import METRES_PER_DEGREE, haversine_km, planar_m, segment_fraction
 from roadlake.functions.rounding import half_even, half_up
-from roadlake.session import broadcast_if_bounded
+from roadlake.session import broadcast_if_measured
 
 MAX_DISTANCE_M = 75.0
 CELL_DEG = 0.002
@@ -17,6 +17,9 @@ def _cell(degrees: Column, cell: float) -> Column:
     return F.floor(degrees / F.lit(cell))
 
 
+SEGMENT_BYTES = 256  # of one segment in a list, its name included
+
+
 def segment_cells(segments: DataFrame, max_distance_m: float = MAX_DISTANCE_M, cell: float = CELL_DEG) -> DataFrame:
     """Segments listed under every grid cell a fix could match them from: one row per cell with its segments.
 
@@ -45,7 +48,7 @@ def match_tracks(
 
     A fix lies in one cell, so it meets one list and its nearest segment is found inside the row: fixes are neither
     multiplied nor shuffled when the cell table is small enough to broadcast, and joined by cell otherwise."""
-    cells = broadcast_if_bounded(segment_cells(segments, max_distance_m, cell))
+    cells = broadcast_if_measured(segment_cells(segments, max_distance_m, cell), 32 + F.size("near") * SEGMENT_BYTES)
     placed = fixes.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
         "*", _cell(F.col("lat"), cell).alias("cell_lat"), _cell(F.col("lon"), cell).alias("cell_lon")
     )

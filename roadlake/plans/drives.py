@@ -259,6 +259,17 @@ def j2(spark, sf):
     return state.frame_status(_frame_samples(spark, sf), _receipts(spark, sf)).select("base_us", "status", "n_gps", "n_imu")
 
 
+@query(
+    "a13_frames_by_status",
+    """WITH s AS (SELECT o_orderkey AS k, CASE l_linenumber WHEN 1 THEN 'gps' WHEN 2 THEN 'imu' ELSE 'can' END AS kind FROM lineitem JOIN orders ON l_orderkey=o_orderkey),
+    c AS (SELECT k, count(*) FILTER (WHERE kind='gps') AS g, count(*) FILTER (WHERE kind='imu') AS i, count(*) FILTER (WHERE kind='can') AS n FROM s GROUP BY 1),
+    r AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey%13<>0), a AS (SELECT coalesce(c.k, r.k) AS k, g, i, n, r.k IS NOT NULL AS rec, c.k IS NOT NULL AS has FROM c FULL JOIN r ON c.k=r.k)
+    SELECT CASE WHEN rec AND g=1 AND i=k%3 AND n=k%4+1 THEN 'complete' WHEN has THEN 'incomplete' ELSE 'empty' END AS status, count(*) AS frames FROM a GROUP BY 1""",
+)
+def a13_status(spark, sf):
+    return S.frames_by_status(state.frame_status(_frame_samples(spark, sf), _receipts(spark, sf)), [])
+
+
 @query(
     "v7_eligibility",
     """SELECT coalesce(CASE WHEN event_id%31=0 OR user_id%20=0 OR event_id%37=0 THEN 'no session' WHEN event_id%11=0 THEN 'untagged' WHEN epoch_us(ts)<=1704500000000000 + user_id*1000000 THEN 'late' END,'ok') AS verdict, count(*) AS n FROM events GROUP BY 1""",

@@ -127,36 +127,37 @@ def w16(spark, sf):
 
 
 _CORR = _REFS + """,
-  fb AS (SELECT session, can_id, min(t) AS f0, max(t) AS f1 FROM hx GROUP BY ALL), rb AS (SELECT session, min(t) AS r0, max(t) AS r1 FROM gp GROUP BY ALL),
-  pr AS (SELECT session, can_id, greatest(f0,r0) AS t0, (least(f1,r1)-greatest(f0,r0))//200 AS n FROM fb JOIN rb USING (session)),
-  gd AS (SELECT session, can_id, i, t0+i*200 AS t, n FROM pr, LATERAL (SELECT unnest(range(0, n+1)) AS i)),
+  fb AS (SELECT session, can_id, min(t) AS f0, max(t) AS f1 FROM hx GROUP BY ALL), rb AS (SELECT session, channel, min(t) AS r0, max(t) AS r1 FROM rf GROUP BY ALL),
+  pr AS (SELECT session, can_id, channel, greatest(f0,r0) AS t0, (least(f1,r1)-greatest(f0,r0))//200 AS n FROM fb JOIN rb USING (session)),
+  gd AS (SELECT session, can_id, channel, i, t0+i*200 AS t FROM pr, LATERAL (SELECT unnest(range(0, n+1)) AS i)),
   h1 AS (SELECT gd.*, h.data FROM gd ASOF JOIN hx h ON gd.session=h.session AND gd.can_id=h.can_id AND gd.t>=h.t),
-  h2 AS (SELECT h1.*, g.t AS ta, g.v AS va FROM h1 ASOF LEFT JOIN gp g ON h1.session=g.session AND h1.t>=g.t),
-  h3 AS (SELECT h2.*, g.t AS tb, g.v AS vb FROM h2 ASOF LEFT JOIN gp g ON h2.session=g.session AND h2.t<g.t),
-  gr AS (SELECT session, can_id, i, CAST('0x'||data AS UBIGINT) AS be, CAST('0x'||substr(data,15,2)||substr(data,13,2)||substr(data,11,2)||substr(data,9,2)||substr(data,7,2)||substr(data,5,2)||substr(data,3,2)||substr(data,1,2) AS UBIGINT) AS le,
+  h2 AS (SELECT h1.*, g.t AS ta, g.v AS va FROM h1 ASOF LEFT JOIN rf g ON h1.session=g.session AND h1.channel=g.channel AND h1.t>=g.t),
+  h3 AS (SELECT h2.*, g.t AS tb, g.v AS vb FROM h2 ASOF LEFT JOIN rf g ON h2.session=g.session AND h2.channel=g.channel AND h2.t<g.t),
+  gr AS MATERIALIZED (SELECT session, can_id, channel, i, CAST('0x'||data AS UBIGINT) AS be, CAST('0x'||substr(data,15,2)||substr(data,13,2)||substr(data,11,2)||substr(data,9,2)||substr(data,7,2)||substr(data,5,2)||substr(data,3,2)||substr(data,1,2) AS UBIGINT) AS le,
       CASE WHEN ta IS NULL THEN vb WHEN tb IS NULL THEN va ELSE va+(t-ta)/(tb-ta)*(vb-va) END AS ref FROM h3),
-  fi AS (SELECT true AS little_endian, s AS start, s AS sh FROM range(0, 49) r(s) UNION ALL SELECT false, s, 64-(s//8*8+7-s%8)-16 FROM range(0, 64) r(s) WHERE s//8*8+7-s%8+16<=64),
-  rw AS (SELECT session, can_id, i, little_endian, start, CAST((CASE WHEN little_endian THEN le ELSE be END >> CAST(sh AS UBIGINT)) & CAST(65535 AS UBIGINT) AS BIGINT) AS u FROM gr, fi),
-  vr AS (SELECT session, can_id, little_endian, start FROM rw GROUP BY ALL HAVING var_pop(u)>=1e-9),
-  sg AS (SELECT rw.*, s.signed, CAST(CASE WHEN s.signed AND u>=32768 THEN u-65536 ELSE u END AS DOUBLE) AS x FROM rw JOIN vr USING (session, can_id, little_endian, start), (VALUES (false),(true)) s(signed)),
-  cc AS (SELECT sg.session, sg.can_id, little_endian, start, signed, l AS lag, corr(gr.ref, x) AS r, regr_slope(gr.ref, x) AS factor, regr_intercept(gr.ref, x) AS off, count(*) AS n
-      FROM sg, range(-10, 11) q(l), gr WHERE gr.session=sg.session AND gr.can_id=sg.can_id AND gr.i=sg.i+l GROUP BY ALL),
-  bs AS (SELECT * FROM cc WHERE NOT isnan(r) AND r IS NOT NULL QUALIFY row_number() OVER (PARTITION BY session, can_id, little_endian, start, signed ORDER BY abs(r) DESC, lag)=1)"""
+  fi AS (SELECT true AS little_endian, s AS start, s AS sh, l AS length FROM range(0, 64) r(s), (VALUES (8),(12),(16)) q(l) WHERE s+l<=64 UNION ALL SELECT false, s, 64-(s//8*8+7-s%8)-l, l FROM range(0, 64) r(s), (VALUES (8),(12),(16)) q(l) WHERE s//8*8+7-s%8+l<=64),
+  rw AS (SELECT session, can_id, channel, i, little_endian, start, length, CAST((CASE WHEN little_endian THEN le ELSE be END >> CAST(sh AS UBIGINT)) & CAST((1<<length)-1 AS UBIGINT) AS BIGINT) AS u FROM gr, fi),
+  vr AS (SELECT session, can_id, channel, little_endian, start, length FROM rw GROUP BY ALL HAVING var_pop(u)>=1e-9),
+  sg AS (SELECT rw.*, s.signed, CAST(CASE WHEN s.signed AND u>=(1<<(length-1)) THEN u-(1<<length) ELSE u END AS DOUBLE) AS x FROM rw JOIN vr USING (session, can_id, channel, little_endian, start, length), (VALUES (false),(true)) s(signed)),
+  lg AS MATERIALIZED (SELECT session, can_id, channel, gr.i-l AS i, l, ref FROM gr, range(-10, 11) q(l)),
+  cc AS (SELECT sg.session, sg.can_id, sg.channel, little_endian, start, length, signed, l AS lag, corr(lg.ref, x) AS r, regr_slope(lg.ref, x) AS factor, regr_intercept(lg.ref, x) AS off, count(*) AS n
+      FROM sg JOIN lg ON lg.session=sg.session AND lg.can_id=sg.can_id AND lg.channel=sg.channel AND lg.i=sg.i GROUP BY ALL),
+  bs AS (SELECT * FROM cc WHERE NOT isnan(r) AND r IS NOT NULL QUALIFY row_number() OVER (PARTITION BY session, can_id, channel, little_endian, start, length, signed ORDER BY abs(r) DESC, lag)=1)"""
 
 
 @query(
     "d1_field_correlation",
-    f"""WITH {_CORR} SELECT session, can_id, little_endian, CAST(start AS INTEGER) AS start, signed, {s4('r')} AS r, lag*200 AS lag_ms, {s4('factor*1000')} AS factor_e3, n AS samples FROM bs WHERE abs(r)>=0.8e0""",
+    f"""WITH {_CORR} SELECT session, can_id, channel, little_endian, CAST(start AS INTEGER) AS start, CAST(length AS INTEGER) AS length, signed, {s4('r')} AS r, lag*200 AS lag_ms, {s4('factor*1000')} AS factor_e3, n AS samples FROM bs WHERE abs(r)>=0.8e0 AND n>=5""",
 )
 def d1(spark, sf):
     frames = planted(spark, sf)
     gps, gyro = references(spark, sf)
     words = inventory.with_words(frames, ORDER, 60_000)
     ids = inventory.id_inventory(words)
-    speed = discovery.reference_channels(gps, gyro).where("channel = 'speed_kph'")
-    pairs = discovery.pair_status(words, ids, speed, SEARCH)
-    found = discovery.correlate(discovery.gridded(pairs, words, speed, SEARCH), SEARCH)
-    return found.select("session", "can_id", "little_endian", "start", "signed", q4(F.col("r")).alias("r"), F.col("lag_ms").cast("long").alias("lag_ms"),
+    channels = discovery.reference_channels(gps, gyro)
+    pairs = discovery.pair_status(words, ids, channels, SEARCH)
+    found = discovery.correlate(discovery.gridded(pairs, words, channels, SEARCH), SEARCH)
+    return found.select("session", "can_id", "channel", "little_endian", "start", "length", "signed", q4(F.col("r")).alias("r"), F.col("lag_ms").cast("long").alias("lag_ms"),
                         q4(F.col("factor") * 1000).alias("factor_e3"), "samples")
 
 
@@ -328,6 +329,20 @@ def s13(spark, sf):
     return archive.replay_sessions(records, starts).groupBy("source_session", "device_id").agg(F.count("*").alias("n"), F.min("event_us").alias("first_us"))
 
 
+@query(
+    "s13_pruned_replay",
+    f"""WITH {_ARCHIVE}, sv AS (SELECT event_type, 'u'||user_id AS s, CASE WHEN event_id%8<>0 THEN 'd'||(user_id%10) ELSE 'unknown-device' END AS d, eu FROM an)
+    SELECT 'telemetry_raw_'||event_type AS topic, count(*) AS n, min(eu) AS first_us FROM sv WHERE s='u10' AND d='d0' AND eu>=(SELECT max(eu) FROM sv)-300000000-5*86400000000 GROUP BY 1""",
+)
+def s13_pruned(spark, sf):
+    """The whole table is archived; one session is read back, and only its partitions are listed and read."""
+    folder = f"{work_dir(spark)}/archive"
+    records = archive.normalise(messages(spark, sf))
+    archive.write_archive(records, folder)
+    started = records.agg(F.max("event_us")).first()[0] - 5 * DAY_US
+    return archive.replay_session(spark.read.parquet(folder), "u10", "d0", started).groupBy("topic").agg(F.count("*").alias("n"), F.min("event_us").alias("first_us"))
+
+
 @query(
     "s9_can_log",
     """SELECT session_no, count(*) AS frames, CAST(sum(timestamp_ms) AS BIGINT) AS total_ms, min(data_hex) AS first_hex, max(data_hex) AS last_hex FROM (SELECT can_id%1000 AS session_no, t_us//1000%4294967296 AS timestamp_ms, substr(data_hex,1,(CAST(seq AS INTEGER)%9)*2) AS data_hex FROM v_can) GROUP BY 1""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,6 +54,14 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     return F.broadcast(df) if size <= max_bytes else df
 
 
+def broadcast_if_measured(df: DataFrame, row_bytes: Column, max_bytes: int = 64 << 20) -> DataFrame:
+    """`df`, written once, with a broadcast hint only if the sum of `row_bytes` over its rows is under `max_bytes`. For
+    tables of lists, whose size the optimizer's estimate does not see."""
+    df = cut_lineage(df)
+    size = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by `keys` into the session's number of shuffle partitions. Said explicitly, because adaptive
     execution merges partitions by bytes, and for work done in Python the bytes do not tell the cost."""

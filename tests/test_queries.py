@@ -7,6 +7,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
 CHECKS = oracle_sql()
+LAPS = {"st2_geofence_laps", "st2_lap_stream"}  # the smallest tables are too short for a lap: their SQL finds none either; see test_laps.py
 
 
 @pytest.fixture(scope="module")
@@ -18,8 +19,7 @@ def con():
 def test_query(spark, con, name):
     rows, _, problem = compare(spark, con, SF, name, queries()[name], CHECKS.get(name))
     assert problem is None
-    # the smallest tables are too short for a whole lap
-    assert rows > 0 or name.startswith("st2_")
+    assert rows > 0 or (name in LAPS and CHECKS[name])
 
 
 def test_entry(spark):
