@@ -26,27 +26,33 @@ BREAKS = {
     "sentence": re.compile(r"[^\S\n]*\n\s*|(?<=[.!?\"')])\s+|\s+(?=[A-ZÀ-ÖØ-ÞΑ-ΩА-Я¿¡])"),
 }
 
-SHORTEST = 4  # words of a unit that ends within a line; shorter ones go on
+SHORTEST = 4  # words of a unit that does not fill its line
 
 
 def units(text: str, kind: str) -> list[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of each unit with a word; offsets in characters."""
-    found, start = [], 0
-    edges = [m.span() for m in BREAKS[kind].finditer(text)]
-    for end, following in [*edges, (len(text), len(text))]:
-        words = text[start:end].lower().split()
-        if len(words) < SHORTEST and "\n" not in text[end:following] and following < len(text):
-            continue
-        if words:
-            found.append((start, end, len(words), xxhash.xxh3_128_digest(" ".join(words))))
+    """(start, end, words, digest) of each unit with a word; offsets in characters.
+
+    Within a line, fewer than SHORTEST words make no unit: they go to the one before, or at its start to the one after.
+    So a passage that is set into other text begins and ends with units of its own.
+    """
+    places: list[list[int]] = []  # start, end, words
+    start, fresh = 0, True
+    for at, following in [*(m.span() for m in BREAKS[kind].finditer(text)), (len(text), len(text))]:
+        n = len(text[start:at].split())
+        if n and not fresh and min(n, places[-1][2]) < SHORTEST:
+            places[-1][1:] = [at, places[-1][2] + n]
+        elif n:
+            places.append([start, at, n])
+        if n or "\n" in text[at:following]:
+            fresh = "\n" in text[at:following]
         start = following
-    return found
+    return [(a, b, n, xxhash.xxh3_128_digest(" ".join(text[a:b].lower().split()))) for a, b, n in places]
 
 
-def removed_spans(text: str, kind: str, later: set[int], min_words: int) -> list[tuple[int, int]]:
+def removed_spans(found: list[tuple[int, int, int, bytes]], later: set[int], min_words: int) -> list[tuple[int, int]]:
     """The spans of the runs of units numbered in `later` that hold at least `min_words` words."""
     spans, run, words = [], [], 0
-    for k, (start, end, n, _) in enumerate([*units(text, kind), (len(text), len(text), 0, b"")]):
+    for k, (start, end, n, _) in enumerate([*found, (0, 0, 0, b"")]):
         if k in later:
             run.append((start, end))
             words += n
@@ -109,10 +115,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in common.pieces(batches, f"c{at}"):
             texts, report = [], []
             for text, numbers in zip(batch.column(f"c{at}").to_pylist(), batch.column("later").to_pylist(), strict=True):
-                spans = removed_spans(text, unit, set(numbers), min_words) if text and numbers else []
-                inside = sum(any(a <= s < b for a, b in spans) for s, _, _, _ in units(text, unit)) if spans else 0
+                all_units = units(text, unit) if text else []
+                spans = removed_spans(all_units, set(numbers), min_words) if numbers else []
+                inside = np.searchsorted([a for a, _ in spans], [s for s, _, _, _ in all_units], "right") - np.searchsorted([b for _, b in spans], [s for s, _, _, _ in all_units], "right")
                 texts.append(without(text, spans) if spans else text)
-                report.append({"n_units": len(units(text, unit)) if text else 0, "n_removed": inside, "removed_chars": sum(b - a for a, b in spans), "spans": [{"start": a, "end": b} for a, b in spans]})
+                report.append({"n_units": len(all_units), "n_removed": int(inside.sum()), "removed_chars": sum(b - a for a, b in spans), "spans": [{"start": a, "end": b} for a, b in spans]})
             columns = [pa.array(texts, pa.string()) if k == at else batch.column(f"c{k}") for k in range(len(names))]
             kind = pa.struct([("n_units", pa.int32()), ("n_removed", pa.int32()), ("removed_chars", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
             yield pa.RecordBatch.from_arrays([*columns, pa.array(report, kind)], names=[*(f"c{k}" for k in range(len(names))), "report"])

@@ -105,7 +105,7 @@ def removed_by_hand(rows, min_words=12):
             if digest in seen:
                 later.add(k)
             seen.add(digest)
-        out[d] = unitdedup.removed_spans(text, "sentence", later, min_words) if text else []
+        out[d] = unitdedup.removed_spans(unitdedup.units(text, "sentence"), later, min_words) if text else []
     return out
 
 
@@ -121,7 +121,7 @@ def test_query_repeats(spark):
 def test_a_passage_goes_but_for_its_first_place(spark, tmp_path, unit):
     passage = cases.prose(90, 120)
     join = {"line": "\n", "paragraph": "\n\n", "sentence": " "}[unit]
-    texts = [join.join([cases.prose(k, 70) + " Then came a few more words", passage, cases.prose(k + 50, 40)]) for k in range(6)]
+    texts = [join.join([cases.prose(k, 70) + " " + cases.prose(k + 200, 6).rstrip("."), passage, cases.prose(k + 50, 40)]) for k in range(6)]
     rows = [(k, t, None) for k, t in enumerate(texts)] + [(9, None, "x"), (10, "", "x"), (11, cases.prose(77, 5000), "x"), (None, passage, "x")]
     docs = cases.stored(spark.createDataFrame(rows, "doc_id long, text string, repeats string"), tmp_path)
     got = {r.doc_id: r for r in unitdedup.remove_repeats(docs, unit=unit).collect()}
