@@ -331,16 +331,19 @@ def s13(spark, sf):
 
 @query(
     "s13_pruned_replay",
-    f"""WITH {_ARCHIVE}, sv AS (SELECT event_type, 'u'||user_id AS s, CASE WHEN event_id%8<>0 THEN 'd'||(user_id%10) ELSE 'unknown-device' END AS d, eu FROM an)
-    SELECT 'telemetry_raw_'||event_type AS topic, count(*) AS n, min(eu) AS first_us FROM sv WHERE s='u10' AND d='d0' AND eu>=(SELECT max(eu) FROM sv)-300000000-5*86400000000 GROUP BY 1""",
+    """WITH sv AS (SELECT event_type, 'u'||(user_id%3) AS s, epoch_us(ts)//200 AS eu FROM events)
+    SELECT 'telemetry_raw_'||event_type AS topic, count(*) AS n, min(eu) AS first_us FROM sv WHERE s='u1' AND eu>=(SELECT max(eu) FROM sv)-3600000000-300000000 GROUP BY 1""",
 )
 def s13_pruned(spark, sf):
-    """The whole table is archived; one session is read back, and only its partitions are listed and read."""
-    folder = f"{work_dir(spark)}/archive"
-    records = archive.normalise(messages(spark, sf))
+    """The whole table, two hundredfold in time as recorded traffic is, is archived; one session's last hour is read back
+    from its own partitions."""
+    iso = F.date_format(F.timestamp_micros(F.floor(F.col("t_us") / 200)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    payload = F.to_json(F.struct(F.lit("d").alias("device_id"), F.concat(F.lit("u"), F.col("user_id") % 3).alias("source_session"), iso.alias("captured_at"), "value"))
+    rows = events(spark, sf).select(F.concat(F.lit("telemetry/raw "), "event_type").alias("topic"), F.create_map(F.lit("a"), F.col("event_type")).alias("headers"), payload.alias("payload_json"), F.lit(0).cast("long").alias("archived_us"))
+    records, folder = archive.normalise(rows), f"{work_dir(spark)}/archive"
     archive.write_archive(records, folder)
-    started = records.agg(F.max("event_us")).first()[0] - 5 * DAY_US
-    return archive.replay_session(spark.read.parquet(folder), "u10", "d0", started).groupBy("topic").agg(F.count("*").alias("n"), F.min("event_us").alias("first_us"))
+    started = records.agg(F.max("event_us")).first()[0] - 3_600_000_000
+    return archive.replay_session(spark.read.parquet(folder), "u1", "d", started).groupBy("topic").agg(F.count("*").alias("n"), F.min("event_us").alias("first_us"))
 
 
 @query(
