@@ -161,7 +161,11 @@ def d1(spark, sf):
                         q4(F.col("factor") * 1000).alias("factor_e3"), "samples")
 
 
-@query("d2_session_analysis")
+@query(
+    "d2_session_analysis",
+    f"""WITH {_CORR} SELECT pr.session, 'phone' AS device, pr.can_id, pr.channel, CASE WHEN ok.session IS NULL THEN 'NO_MATCH' ELSE 'OK' END AS status
+    FROM pr LEFT JOIN (SELECT DISTINCT session, can_id, channel FROM bs WHERE abs(r)>=0.8e0 AND n>=5) ok ON ok.session=pr.session AND ok.can_id=pr.can_id AND ok.channel=pr.channel""",
+)
 def d2(spark, sf):
     gps, gyro = references(spark, sf)
     return discovery.analyse(planted(spark, sf), gps, gyro, SEARCH)["statuses"]
@@ -356,7 +360,7 @@ def s9(spark, sf):
     dlc = (F.col("seq") % 9).cast("int")
     frames = can.select((F.floor(F.col("t_us") / 1000) % 4_294_967_296).alias("timestamp_ms"), "can_id", dlc.alias("dlc"),
                         F.substring(F.col("data_hex"), F.lit(1), dlc * 2).alias("data_hex"), (F.col("can_id") > 515).alias("is_extended"))
-    folder = work_dir(spark).removeprefix("file:")
+    folder = work_dir(spark)
     written = can_log.write_can_log(frames, folder)
     written.write.format("noop").mode("overwrite").save()
     log = can_log.read_can_log(spark, f"{folder}/*.bin")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 import numpy as np
@@ -50,11 +51,18 @@ def _pack(pdf):
 
 
 def write_can_log(frames: DataFrame, path: str) -> DataFrame:
-    """Write one log file per partition into a folder every executor can reach, and return (file, records).
+    """Write one log file per partition into a folder that every executor has mounted, and return (file, records).
+
+    Spark has no writer for bare fixed-width records, so tasks write files themselves; a path of another file system
+    than the machines' own is refused rather than written beside it.
 
     A task writes under a temporary name and renames at its end; the name is the partition's, so a task run again
     replaces its file."""
 
+    if ":" in path and not path.startswith("file:"):
+        raise ValueError(f"{path} is not a mounted folder")
+    path = re.sub("^file:/+", "/", path)
+
     def write(batches):
         os.makedirs(path, exist_ok=True)
         name = f"{path}/part-{TaskContext.get().partitionId():05d}.bin"
