@@ -17,7 +17,7 @@ from typing import NamedTuple
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.session import cut_lineage
@@ -36,6 +36,7 @@ INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 FOLD = FULL_WIDTH | INVISIBLE | str.maketrans(LOOKALIKES | DIGITS)
 LATE_SIGNS = re.compile(r"[!@$|€]+(?!\w)")  # signs that no letter follows stand for none
 NOT_LETTERS = re.compile(r"[^\w]+|_+")
+HASH_BITS = 30
 SHORTEST, LONGEST = 4, 12  # letters of a word's beginning in the lexicon
 
 
@@ -146,14 +147,17 @@ def alike(text: Column) -> Column:
 
 
 def fit(labelled: DataFrame, toxic_texts: int = 4000, other_texts: int = 16000, odds: float = 2.5, most_terms: int = 4000) -> Lexicon:
-    """A lexicon from (doc_id, text, toxic): at most `toxic_texts` and `other_texts` rows, those of the smallest hashed ids.
+    """A lexicon from (doc_id, text, toxic): about `toxic_texts` and `other_texts` rows, those of the smallest hashed ids. The
+    rows are chosen where they are read, by the share of the hashes that gives so many.
 
     Terms need a dozen toxic texts of the sample (fewer, down to three, if it holds few) and log odds of `odds`; the
     `most_terms` most frequent are kept. The driver gets terms, pairs and one pair of numbers per sampled text.
     """
-    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = labelled.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("n", place).where(F.col("n") <= F.when(F.col("toxic") == 1, toxic_texts).otherwise(other_texts)).select("doc_id")
-    sample = labelled.where(F.col("toxic").isin(0, 1)).join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))  # bounded by the parameters
+    known = labelled.where(F.col("toxic").isin(0, 1)).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+    there = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    share = {k: min(1 << HASH_BITS, (most << HASH_BITS) // max(1, there.get(k, 0))) for k, most in ((1, toxic_texts), (0, other_texts))}
+    place = F.xxhash64("doc_id").bitwiseAND((1 << HASH_BITS) - 1)
+    sample = known.where(place < F.when(F.col("toxic") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
     sample = cut_lineage(sample.withColumn("alike", alike(F.col("text"))).dropDuplicates(["alike", "toxic"]))
     size = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_other = size.get(1, 0), size.get(0, 0)
