@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -9,11 +10,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlake.session import checkpoint_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a Parquet table in the folder that the cluster shares: computed once, read by columns, and joined as a scan,
+    whose shuffled partitions adaptive execution can split where one key is crowded."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Only the columns an operator reads, under fixed names, so that no other column can clash."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *(F.col(f"`{c}`") for c in more))

@@ -106,6 +106,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = keyed.mapInArrow(lambda it: digests(it, unit), UNITS)
     place = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "row", "unit")
     first = found.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("high", "low", F.col("first.row").alias("first_row"), F.col("first.unit").alias("first_unit"))
+    first = common.written(first)
     later = found.join(first, ["high", "low"]).where((F.col("row") != F.col("first_row")) | (F.col("unit") != F.col("first_unit"))).groupBy("row").agg(F.collect_list("unit").alias("later"))
     joined = rows.join(later.withColumnRenamed("row", "repeats"), "repeats", "left")
     names = [c for c in docs.columns if c != "repeats"]
