@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.session import cut_lineage
+from .common import written
 
 
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
@@ -14,14 +14,14 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     Every round each node takes the smallest label among its neighbours' and then its label's own label, so that long
     chains halve. Labels are rows of a table throughout; a node with very many links is pre-aggregated before it moves.
     """
-    both = cut_lineage(links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).where("node <> other").distinct())
-    labels = cut_lineage(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("component")))
+    both = written(links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).where("node <> other").distinct())
+    labels = written(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("component")))
     for _ in range(rounds):
         near = both.join(labels.select(F.col("node").alias("other"), F.col("component").alias("seen")), "other").groupBy("node").agg(F.min("seen").alias("seen"))
         lower = labels.join(near, "node").select("node", F.least("component", "seen").alias("component"), F.col("component").alias("old"))
-        lower = cut_lineage(lower)
+        lower = written(lower)
         ahead = lower.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        jumped = cut_lineage(lower.join(ahead, "component", "left").select("node", F.coalesce("further", "component").alias("component"), "old"))
+        jumped = written(lower.join(ahead, "component", "left").select("node", F.coalesce("further", "component").alias("component"), "old"))
         labels = jumped.select("node", "component")
         if not jumped.where("component <> old").limit(1).count():
             return labels

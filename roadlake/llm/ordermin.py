@@ -20,9 +20,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.session import cut_lineage
-
 from . import common
+from .common import written
 from .components import components
 
 K, TAKE, SKETCHES = 5, 4, 24
@@ -219,14 +218,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if the whole class has none. An empty table gives an empty result; other columns are not read.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.monotonically_increasing_id().alias("row"))
-    sketched = cut_lineage(rows.mapInArrow(sketch, "doc_id long, row long, high long, low long, length int, keys array<long>"))
+    sketched = written(rows.mapInArrow(sketch, "doc_id long, row long, high long, low long, length int, keys array<long>"))
     order = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "row")
-    copies = cut_lineage(sketched.where("length > 0").groupBy("high", "low").agg(F.min(F.struct(order.alias("order"), "length", "keys")).alias("m"), F.count("*").alias("n_copies")).select("high", "low", "n_copies", "m.order", F.col("m.order.row").alias("row"), "m.length", "m.keys"))
+    copies = written(sketched.where("length > 0").groupBy("high", "low").agg(F.min(F.struct(order.alias("order"), "length", "keys")).alias("m"), F.count("*").alias("n_copies")).select("high", "low", "n_copies", "m.order", F.col("m.order.row").alias("row"), "m.length", "m.keys"))
 
     members = copies.select("row", "length", F.explode("keys").alias("key"))
     crowded = members.groupBy("key").agg(F.count("*").alias("n"), F.min("row").alias("lead_0"), F.max("row").alias("lead_1"), F.min_by("row", F.xxhash64("row")).alias("lead_2")).where("n > 1")
-    members = cut_lineage(members.join(crowded, "key").select("key", "row", "length", "lead_0", "lead_1", "lead_2"))
-    texts = cut_lineage(rows.join(members.select("row").distinct(), "row").select("row", "text"))
+    members = written(members.join(crowded, "key").select("key", "row", "length", "lead_0", "lead_1", "lead_2"))
+    texts = written(rows.join(members.select("row").distinct(), "row").select("row", "text"))
     lengths = F.col("length_a") * least <= F.col("length")
     lengths = lengths & (F.col("length") * least <= F.col("length_a"))
 
@@ -237,14 +236,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if turn:  # only buckets whose members are not all in one component
             apart = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("apart")).where("apart").select("key")
             placed = placed.join(apart, "key", "left_semi")
-        placed = cut_lineage(placed)
+        placed = written(placed)
         if turn < 3:
             leaders = placed.where(F.col("row") == F.col(f"lead_{turn}")).select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"))
         else:  # the rest, in full: each pair once
             leaders = placed.select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"))
         pairs = placed.join(leaders, "key").where((F.col("component") != F.col("component_a")) & lengths & ((F.col("row") > F.col("a")) if turn == 3 else (F.col("row") != F.col("a"))))
         pairs = pairs.select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
-        found = cut_lineage(linked(pairs, texts, least))
+        found = written(linked(pairs, texts, least))
         links = found if links is None else links.union(found)
         joined = components(links).withColumnRenamed("node", "row")
         known = members.select("row").distinct().join(joined, "row", "left").select("row", F.coalesce("component", "row").alias("component"))
