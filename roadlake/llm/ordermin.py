@@ -101,9 +101,6 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # -- alignment ---------------------------------------------------------------------------------------------------------
 
-FAR = np.int32(1 << 28)
-
-
 def trimmed(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both without the words that they begin and end with in common."""
     n = min(len(x), len(y))
@@ -116,43 +113,56 @@ def trimmed(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[: len(x) - tail], y[: len(y) - tail]
 
 
-def banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
-    """The edit distances of all pairs over alignments that leave the diagonal by at most `band`; exact up to `band`."""
-    n = np.array([len(x) for x, _ in pairs])
-    m = np.array([len(y) for _, y in pairs])
-    offsets = np.arange(-band, band + 1)
-    xs = np.full((len(pairs), n.max(initial=0) + 1), -1, np.int64)
-    ys = np.full((len(pairs), n.max(initial=0) + 2 * band + 2), -2, np.int64)  # shifted by `band`
+def banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int, allowed: np.ndarray) -> np.ndarray:
+    """The edit distances of all pairs over alignments that leave the diagonal by at most `band`; exact up to `band`.
+
+    One row of the alignment table is filled for all pairs at a time: its cells are the diagonals, kept less their number,
+    so that a run of insertions is a running minimum. Cells beyond a text's end are filled too but lead nowhere. Stops
+    early, with some larger number, once no pair can stay within `allowed`.
+    """
+    n, m = np.array([len(x) for x, _ in pairs]), np.array([len(y) for _, y in pairs])
+    steps, size = int(n.max()), len(pairs)
+    kind = np.int16 if steps + int(m.max()) + 4 * band < 1 << 14 else np.int32
+    far = np.iinfo(kind).max // 2
+    xs = np.full((steps + 1, size), -1, np.int32)
+    ys = np.full((steps + 2 * band + 2, size), -2, np.int32)  # moved down by `band`
     for k, (x, y) in enumerate(pairs):
-        xs[k, : len(x)] = x
-        y = y[: ys.shape[1] - band]
-        ys[k, band : band + len(y)] = y
-    row = np.where(offsets[None, :] <= m[:, None], np.where(offsets >= 0, offsets, FAR), FAR).astype(np.int32)
-    out = np.full(len(pairs), FAR, np.int32)
-    last = np.clip(m - n + band, 0, 2 * band)
+        xs[: len(x), k] = x
+        part = y[: len(ys) - band]
+        ys[band : band + len(part), k] = part
+    offsets = np.arange(-band, band + 1, dtype=kind)[:, None]
+    row = np.where(offsets >= 0, kind(0), kind(far)) + np.zeros((1, size), kind)
+    out = np.full(size, 1 << 30, np.int64)
     reach = np.abs(m - n) <= band
-    ended = (n == 0) & reach
-    out[ended] = row[ended, last[ended]]
-    ramp = offsets.astype(np.int32)
-    for i in range(1, n.max(initial=0) + 1):
-        j = i + offsets
-        differs = ys[:, i - 1 : i + 2 * band] != xs[:, i - 1, None]
-        best = row + differs
-        best[:, :-1] = np.minimum(best[:, :-1], row[:, 1:] + 1)
-        best[:, j == 0] = i
-        best[(j < 0)[None, :] | (j[None, :] > m[:, None])] = FAR
-        row = np.minimum(np.minimum.accumulate(best - ramp, axis=1) + ramp, FAR).astype(np.int32)
-        ended = (n == i) & reach
-        if ended.any():
-            out[ended] = row[ended, last[ended]]
+    ends: dict[int, list[int]] = {}
+    for k in np.flatnonzero(reach).tolist():
+        ends.setdefault(int(n[k]), []).append(k)
+    work = np.empty_like(row)
+    for i in range(steps + 1):
+        if i:
+            np.add(row, ys[i - 1 : i + 2 * band] != xs[i - 1], out=work)
+            np.minimum(work[:-1], row[1:] + kind(2), out=work[:-1])
+            np.minimum.accumulate(work, axis=0, out=row)
+            np.minimum(row, far, out=row)
+        for k in ends.get(i, ()):
+            out[k] = int(row[m[k] - n[k] + band, k]) + int(m[k] - n[k])
+        if i % 64 == 63 and ((row + offsets).min(axis=0) > allowed)[n > i].all():
+            break
     return out
 
 
-def alike(pairs: list[tuple[np.ndarray, np.ndarray]], least: float, cells: int = 1 << 20) -> np.ndarray:
+def in_both(x: np.ndarray, y: np.ndarray) -> int:
+    """How many words both have, whatever their order."""
+    (ux, nx), (uy, ny) = np.unique(x, return_counts=True), np.unique(y, return_counts=True)
+    _, at_x, at_y = np.intersect1d(ux, uy, assume_unique=True, return_indices=True)
+    return int(np.minimum(nx[at_x], ny[at_y]).sum())
+
+
+def alike(pairs: list[tuple[np.ndarray, np.ndarray]], least: float, cells: int = 1 << 14) -> np.ndarray:
     """Whether the edit similarity, 1 - distance / longer length, of each pair of word sequences is at least `least`.
 
     A bound from the words that both have, whatever their order, goes first; then the band widens fourfold until the
-    distance is certain or is certainly too large.
+    distance is certain or is certainly too large. A group of pairs fills about `cells` cells at a step.
     """
     allowed = np.array([int((1 - least) * max(len(x), len(y)) + 1e-9) for x, y in pairs])
     verdict = np.zeros(len(pairs), bool)
@@ -161,8 +171,7 @@ def alike(pairs: list[tuple[np.ndarray, np.ndarray]], least: float, cells: int =
         if abs(len(x) - len(y)) > allowed[k]:
             continue
         x, y = trimmed(x, y)
-        both = np.sort(np.concatenate([np.stack([np.sort(v), np.arange(len(v)) - np.searchsorted(np.sort(v), np.sort(v))], axis=1).view([("w", v.dtype), ("n", v.dtype)]).ravel() for v in (x, y)])) if len(x) and len(y) else None
-        shared = int((both[1:] == both[:-1]).sum()) if both is not None else 0
+        shared = in_both(x, y)
         if max(len(x), len(y)) - shared > allowed[k]:
             continue
         work.append((k, x, y))
@@ -172,10 +181,11 @@ def alike(pairs: list[tuple[np.ndarray, np.ndarray]], least: float, cells: int =
         again, at = [], 0
         while at < len(work):
             end = at + 1
-            while end < len(work) and (end + 1 - at) * (len(work[end][1]) + 2 * band) <= cells // 8 and end - at < 512:
+            while end < len(work) and (end + 1 - at) * (2 * band + 1) <= cells:
                 end += 1
             group = work[at:end]
-            for (k, x, y), distance in zip(group, banded([(x, y) for _, x, y in group], band).tolist(), strict=True):
+            limits = np.array([allowed[k] for k, _, _ in group])
+            for (k, x, y), distance in zip(group, banded([(x, y) for _, x, y in group], band, limits).tolist(), strict=True):
                 if distance <= allowed[k]:
                     verdict[k] = True  # a band only ever overstates
                 elif band < allowed[k]:
@@ -188,7 +198,7 @@ def alike(pairs: list[tuple[np.ndarray, np.ndarray]], least: float, cells: int =
 def verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) of (a, b, text_a, text_b) that align."""
     hashes = WordHashes()
-    number = lambda text: np.array([hashes[w] for w in words_of(text)], np.uint64).view(np.int64)
+    number = lambda text: (np.array([hashes[w] for w in words_of(text)], np.uint64) >> np.uint64(33)).astype(np.int32)  # noqa: E731  (31 bits)
     for rows in common.pieces(batches, "text_a"):
         pairs = [(number(x), number(y)) for x, y in zip(rows.column("text_a").to_pylist(), rows.column("text_b").to_pylist(), strict=True)]
         kept = rows.filter(pa.array(alike(pairs, least)))
@@ -224,19 +234,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     members = copies.select("row", "length", F.explode("keys").alias("key"))
     crowded = members.groupBy("key").agg(F.count("*").alias("n"), F.min("row").alias("lead_0"), F.max("row").alias("lead_1"), F.min_by("row", F.xxhash64("row")).alias("lead_2")).where("n > 1")
+    crowded = written(crowded)  # joined as a scan, so that a crowded bucket can be split
     members = written(members.join(crowded, "key").select("key", "row", "length", "lead_0", "lead_1", "lead_2"))
     texts = written(rows.join(members.select("row").distinct(), "row").select("row", "text"))
     lengths = F.col("length_a") * least <= F.col("length")
     lengths = lengths & (F.col("length") * least <= F.col("length_a"))
 
     links = None
-    known = members.select("row").distinct().withColumn("component", F.col("row"))
+    known = written(members.select("row").distinct().withColumn("component", F.col("row")))
     for turn in range(4):
         placed = members.join(known, "row")
         if turn:  # only buckets whose members are not all in one component
             apart = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("apart")).where("apart").select("key")
+            apart = written(apart)
             placed = placed.join(apart, "key", "left_semi")
         placed = written(placed)
+        if placed.isEmpty():
+            break
         if turn < 3:
             leaders = placed.where(F.col("row") == F.col(f"lead_{turn}")).select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"))
         else:  # the rest, in full: each pair once
@@ -245,8 +259,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = pairs.select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
         found = written(linked(pairs, texts, least))
         links = found if links is None else links.union(found)
-        joined = components(links).withColumnRenamed("node", "row")
-        known = members.select("row").distinct().join(joined, "row", "left").select("row", F.coalesce("component", "row").alias("component"))
+        if found.isEmpty():
+            continue
+        of = lambda end: known.select(F.col("row").alias(end), F.col("component").alias(f"component_{end}"))
+        moved = components(found.join(of("a"), "a").join(of("b"), "b").select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
+        moved = moved.select(F.col("node").alias("component"), F.col("component").alias("joined"))
+        known = written(known.join(moved, "component", "left").select("row", F.coalesce("joined", "component").alias("component")))
     return classes(sketched, copies, links, known, order)
 
 
@@ -258,6 +276,7 @@ def first_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def classes(sketched: DataFrame, copies: DataFrame, links: DataFrame, known: DataFrame, order: Column) -> DataFrame:
+    links = links if links is not None else known.select(F.col("row").alias("a"), F.col("row").alias("b")).limit(0)
     degree = links.select(F.col("a").alias("row")).union(links.select("b")).groupBy("row").agg(F.count("*").alias("n_links"))
     placed = copies.join(known, "row", "left").join(degree, "row", "left").select("high", "low", "order", "n_copies", F.coalesce("component", "row").alias("component"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     first = placed.groupBy("component").agg(F.min("order").alias("first"))
