@@ -6,8 +6,9 @@ in common and in the same order; that follows edit similarity. Texts that share
 and a banded alignment of their words decides.
 
 Within a bucket of equal sketches not all pairs are formed. Three rounds compare the bucket's members with one leader
-each, and only members that are not yet in the leader's component; what is then still apart is compared in full, pair by
-pair, so no link between components is lost. Exact copies are one member from the start.
+each, and only members that are not yet in the leader's component. Of what is then still apart, all pairs that share
+AGREE sketches are compared, each once; pairs that share fewer never leave the join. So no link between components is
+lost but with the probability below. Exact copies are one member from the start.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from . import common
 from .common import written
 from .components import components
 
-K, TAKE, SKETCHES = 5, 4, 24
-#: Two texts with a Jaccard similarity of 0.8 of their k-mers share a sketch of 4 with about 0.41 and one of 24 but for 3 in a million.
+K, TAKE, SKETCHES = 5, 4, 32
+AGREE = 5
+#: Two texts with a Jaccard similarity of 0.8 of their k-mers share a sketch of 4 with about 0.41, so one of 32 but for 5 in a
+#: hundred million, and AGREE of them but for 5 in ten thousand (with 0.85, but for a few in a million); with 0.55, one in six pairs do.
 
 _MIX = np.random.default_rng(17).integers(1, 1 << 63, SKETCHES + K + 2, dtype=np.uint64) | np.uint64(1)
 
@@ -253,9 +256,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         if turn < 3:
             leaders = placed.where(F.col("row") == F.col(f"lead_{turn}")).select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"))
-        else:  # the rest, in full: each pair once
-            leaders = placed.select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"))
-        pairs = placed.join(leaders, "key").where((F.col("component") != F.col("component_a")) & lengths & ((F.col("row") > F.col("a")) if turn == 3 else (F.col("row") != F.col("a"))))
+            other = F.col("row") != F.col("a")
+        else:  # the rest: each pair that shares AGREE sketches once, at the smallest of them
+            placed = written(placed.join(copies.select("row", "keys"), "row"))
+            leaders = placed.select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"), F.col("keys").alias("keys_a"))
+            shared = F.array_intersect("keys", "keys_a")
+            other = (F.col("row") > F.col("a")) & (F.size(shared) >= AGREE) & (F.array_min(shared) == F.col("key"))
+        pairs = placed.join(leaders, "key").where((F.col("component") != F.col("component_a")) & lengths & other)
         pairs = pairs.select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
         found = written(linked(pairs, texts, least))
         links = found if links is None else links.union(found)
@@ -279,7 +286,7 @@ def classes(sketched: DataFrame, copies: DataFrame, links: DataFrame, known: Dat
     links = links if links is not None else known.select(F.col("row").alias("a"), F.col("row").alias("b")).limit(0)
     degree = links.select(F.col("a").alias("row")).union(links.select("b")).groupBy("row").agg(F.count("*").alias("n_links"))
     placed = copies.join(known, "row", "left").join(degree, "row", "left").select("high", "low", "order", "n_copies", F.coalesce("component", "row").alias("component"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    first = placed.groupBy("component").agg(F.min("order").alias("first"))
+    first = written(placed.groupBy("component").agg(F.min("order").alias("first")))  # joined as a scan: a large class can be split
     of_words = placed.join(first, "component").select("high", "low", "n_copies", "n_links", "first")
     joined = sketched.select("doc_id", "row", "high", "low", "length").join(of_words, ["high", "low"], "left")
     alone = F.col("length") == 0
