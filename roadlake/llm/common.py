@@ -52,6 +52,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()  # workers live on; what a task has freed should not stay with them
 
 
 def per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -43,7 +43,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """word -> a 64-bit hash; forgets all beyond `most` words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 100_000):
         self.most = most
 
     def __missing__(self, word: str) -> int:
