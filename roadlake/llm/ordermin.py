@@ -6,9 +6,9 @@ in common and in the same order; that follows edit similarity. Texts that share
 and a banded alignment of their words decides.
 
 Within a bucket of equal sketches not all pairs are formed. Three rounds compare the bucket's members with one leader
-each, and only members that are not yet in the leader's component. Of what is then still apart, all pairs that share
-AGREE sketches are compared, each once; pairs that share fewer never leave the join. So no link between components is
-lost but with the probability below. Exact copies are one member from the start.
+each, and only members that are not yet in the leader's component. Of what is then still apart, all pairs are compared,
+each once; that work grows with the square of the members of a bucket that no leader joins. So no two texts that share
+a sketch end in two components without having been compared. Exact copies are one member from the start.
 """
 
 from __future__ import annotations
@@ -26,9 +26,8 @@ from .common import written
 from .components import components
 
 K, TAKE, SKETCHES = 5, 4, 32
-AGREE = 5
 #: Two texts with a Jaccard similarity of 0.8 of their k-mers share a sketch of 4 with about 0.41, so one of 32 but for 5 in a
-#: hundred million, and AGREE of them but for 5 in ten thousand (with 0.85, but for a few in a million); with 0.55, one in six pairs do.
+#: hundred million.
 
 _MIX = np.random.default_rng(17).integers(1, 1 << 63, SKETCHES + K + 2, dtype=np.uint64) | np.uint64(1)
 
@@ -247,6 +246,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = written(members.select("row").distinct().withColumn("component", F.col("row")))
     for turn in range(4):
         placed = members.join(known, "row")
+        if turn == 3:  # leaders have met all of their bucket
+            placed = placed.where((F.col("row") != F.col("lead_0")) & (F.col("row") != F.col("lead_1")) & (F.col("row") != F.col("lead_2")))
         if turn:  # only buckets whose members are not all in one component
             apart = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("apart")).where("apart").select("key")
             apart = written(apart)
@@ -257,11 +258,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if turn < 3:
             leaders = placed.where(F.col("row") == F.col(f"lead_{turn}")).select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"))
             other = F.col("row") != F.col("a")
-        else:  # the rest: each pair that shares AGREE sketches once, at the smallest of them
-            placed = written(placed.join(copies.select("row", "keys"), "row"))
-            leaders = placed.select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"), F.col("keys").alias("keys_a"))
-            shared = F.array_intersect("keys", "keys_a")
-            other = (F.col("row") > F.col("a")) & (F.size(shared) >= AGREE) & (F.array_min(shared) == F.col("key"))
+        else:  # the rest, in full
+            leaders = placed.select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"))
+            other = F.col("row") > F.col("a")
         pairs = placed.join(leaders, "key").where((F.col("component") != F.col("component_a")) & lengths & other)
         pairs = pairs.select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
         found = written(linked(pairs, texts, least))

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import cases
@@ -83,6 +84,23 @@ def test_classes_of_a_crowd_of_near_copies_and_awkward_rows(spark, tmp_path):
     assert ordermin.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_pairs_of_a_crowded_bucket_that_share_nothing_else_are_compared(spark, tmp_path, monkeypatch):
+    texts = []
+    for k in range(10):  # at most three of the ten pairs have a leader
+        words = cases.prose(400 + k, 60).split()
+        texts += [" ".join(words), " ".join(edited(random.Random(k), words, 2)) + " end"]
+    real = ordermin.sketch
+
+    def one_bucket(batches):
+        for rows in real(batches):
+            keys = pa.array([[1, 100 + r] for r in rows.column("row").to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], keys], names=rows.schema.names)
+
+    monkeypatch.setattr(ordermin, "sketch", one_bucket)
+    docs = cases.stored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tmp_path)
+    assert {r.doc_id: r.class_id for r in ordermin.near_duplicates(docs).collect()} == {k: k - k % 2 for k in range(20)}
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components.components(chain).collect()}
