@@ -1,9 +1,11 @@
 """Near duplicates by Order MinHash, verified by banded alignment.
 
-The k-mers of a text are its runs of five words, each labelled with how often it has occurred before. A sketch takes the
-few k-mers of the smallest hashes and keeps them in the order of the text, so texts share a sketch if they have k-mers
-in common and in the same order; that follows edit similarity. Texts that share one of their sketches are candidates,
-and a banded alignment of their words decides.
+The words of a text are labelled with how often each has occurred before. A sketch takes the few of the smallest hashes
+and keeps them in the order of the text, so texts share a sketch if they have words in common and in the same order; that
+follows edit similarity. Single words are taken, since a change of one word in five can leave no run of five words whole.
+Short texts also have exact keys: what is left of them when any few words are deleted, so that two short texts within
+the allowed distance always share a key. Texts that share a key are candidates, and a banded alignment of their words
+decides.
 
 Within a bucket of equal sketches not all pairs are formed. Three rounds compare the bucket's members with one leader
 each, and only members that are not yet in the leader's component. Of what is then still apart, all pairs are compared,
@@ -25,9 +27,11 @@ from . import common
 from .common import written
 from .components import components
 
-K, TAKE, SKETCHES = 5, 4, 32
-#: Two texts with a Jaccard similarity of 0.8 of their k-mers share a sketch of 4 with about 0.41, so one of 32 but for 5 in a
-#: hundred million.
+K, TAKE, SKETCHES = 1, 4, 64
+SHORT = 14  # words of a text that also has exact keys, for links to texts of at most as many words
+SIMILAR = 0.8  # the edit similarity that the sketches and keys are made for
+#: Of two texts with one word in five replaced, two thirds of all their words are common, so they share a sketch of 4 with about
+#: 0.17 and one of 64 but for 7 in ten thousand, which texts of 100 words and more of check_s give too; nearer pairs miss each other far less.
 
 _MIX = np.random.default_rng(17).integers(1, 1 << 63, SKETCHES + K + 2, dtype=np.uint64) | np.uint64(1)
 
@@ -69,7 +73,7 @@ def kmers(words: np.ndarray) -> np.ndarray:
             order = np.argsort(inverse, kind="stable")
             label = np.empty(n, np.uint64)
             label[order] = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
-            h = mixed(h + label * _MIX[-1])
+            h = np.where(label > 0, mixed(h + label * _MIX[-1]), h)  # a text without repeats has the same first occurrences
         return h
 
 
@@ -87,7 +91,28 @@ def sketches(words: np.ndarray) -> list[int]:
     return key.astype(np.int64).tolist()
 
 
-def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def short_keys(words: np.ndarray, least: float) -> list[int]:
+    """Of a text of at most SHORT words: what is left of it without any so many words as a link to a text of at most SHORT words
+    allows to be changed. A changed word is one deleted from both, so texts within that distance have a key in common."""
+    longest = min(SHORT, int(len(words) / least + 1e-9)) if least > 0 else SHORT
+    allowed = min(int((1 - least) * longest + 1e-9), len(words))
+    left = {tuple(words.tolist())}
+    every = set(left)
+    for _ in range(allowed):
+        left = {x[:k] + x[k + 1 :] for x in left for k in range(len(x))}
+        every |= left
+    return [xxhash.xxh3_64_intdigest(np.array(x, np.uint64).tobytes()) - (1 << 63) for x in sorted(every)]
+
+
+def keys_of(words: np.ndarray, least: float = SIMILAR) -> list[int]:
+    """Sketches, but for texts whose links are all to texts of at most SHORT words; and the keys of a short text."""
+    keys = short_keys(words, least) if len(words) <= SHORT else []
+    if len(words) > SHORT or int(len(words) / least + 1e-9) > SHORT:
+        keys += sketches(words)
+    return keys
+
+
+def sketch(batches: Iterator[pa.RecordBatch], least: float = SIMILAR) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for rows in common.pieces(batches):
         high, low, length, keys = [], [], [], []
@@ -97,7 +122,7 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             high.append(a)
             low.append(b)
             length.append(len(words))
-            keys.append(sketches(np.array([hashes[w] for w in words], np.uint64)) if words else [])
+            keys.append(keys_of(np.array([hashes[w] for w in words], np.uint64), least) if words else [])
         yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("row"), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(length, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "row", "high", "low", "length", "keys"])
 
 
@@ -225,12 +250,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one row of each class: the first of its smallest id. `docs` must be a table scan or otherwise give its rows in the
     same order when it is computed again.
 
-    Null, empty and blank texts have no words and are each a class of their own. A text of fewer than five words is near
-    only to copies of its k-mer. Repeated rows are copies. Rows without an id come last in order and have a null class
+    Links between texts of at most SHORT words are all found. Longer pairs must share a sketch, which those of exactly 0.8
+    fail to with less than one in a thousand and those of 0.9 practically never; sketches are made for a `least` of SIMILAR or
+    more, and with less the pairs below SIMILAR are found only by chance.
+
+    Null, empty and blank texts have no words and are each a class of their own. Repeated rows are copies. Rows without an id come last in order and have a null class
     if the whole class has none. An empty table gives an empty result; other columns are not read.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.monotonically_increasing_id().alias("row"))
-    sketched = written(rows.mapInArrow(sketch, "doc_id long, row long, high long, low long, length int, keys array<long>"))
+    sketched = written(rows.mapInArrow(lambda it: sketch(it, least), "doc_id long, row long, high long, low long, length int, keys array<long>"))
     order = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "row")
     copies = written(sketched.where("length > 0").groupBy("high", "low").agg(F.min(F.struct(order.alias("order"), "length", "keys")).alias("m"), F.count("*").alias("n_copies")).select("high", "low", "n_copies", "m.order", F.col("m.order.row").alias("row"), "m.length", "m.keys"))
 

@@ -91,8 +91,8 @@ def test_pairs_of_a_crowded_bucket_that_share_nothing_else_are_compared(spark, t
         texts += [" ".join(words), " ".join(edited(random.Random(k), words, 2)) + " end"]
     real = ordermin.sketch
 
-    def one_bucket(batches):
-        for rows in real(batches):
+    def one_bucket(batches, least):
+        for rows in real(batches, least):
             keys = pa.array([[1, 100 + r] for r in rows.column("row").to_pylist()], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*rows.columns[:-1], keys], names=rows.schema.names)
 
@@ -101,6 +101,46 @@ def test_pairs_of_a_crowded_bucket_that_share_nothing_else_are_compared(spark, t
     assert {r.doc_id: r.class_id for r in ordermin.near_duplicates(docs).collect()} == {k: k - k % 2 for k in range(20)}
 
 
+def replaced(rng, words, n):
+    words = list(words)
+    for k in rng.sample(range(len(words)), n):
+        words[k] = f"new{rng.randrange(1 << 40)}"
+    return words
+
+
+def test_pairs_at_the_stated_similarity_are_linked_as_by_brute_force(spark, tmp_path):
+    """Isolated pairs from one edit in few words to one word in five, among all pairs by the full alignment table."""
+    rng = random.Random(21)
+    texts = []
+    for k, n in enumerate([4, 5, 6, 9, 10, 12, 13, 14, 15, 17, 20, 25, 40, 60, 100, 100, 100] * 3):
+        words = cases.prose(600 + k, n).split()[:n]
+        other = replaced(rng, words, max(1, n // 5)) if n > 4 else [*words, "end"]
+        if 5 < n < 14 and k % 2:
+            other = [*words[1:], "end"][: n - 1 + k % 3]
+        texts += [" ".join(words), " ".join(other)]
+    split = [t.lower().split() for t in texts]
+    near = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if abs(len(split[a]) - len(split[b])) <= 0.2 * max(len(split[a]), len(split[b])) + 1e-9 and distance(split[a], split[b]) <= 0.2 * max(len(split[a]), len(split[b])) + 1e-9]
+    assert len(near) >= 45
+    docs = cases.stored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tmp_path)
+    got = {r.doc_id: r.class_id for r in ordermin.near_duplicates(docs).collect()}
+    assert [(a, b) for a, b in near if got[a] != got[b]] == []
+
+
+def test_short_texts_within_the_allowed_distance_share_a_key():
+    rng = random.Random(4)
+    texts = [np.array([rng.randrange(1, 4) for _ in range(rng.randrange(1, 15))], np.uint64) for _ in range(160)]
+    keys = [set(ordermin.short_keys(t, 0.8)) for t in texts]
+    near = [(a, b) for a in range(160) for b in range(a) if distance(texts[a].tolist(), texts[b].tolist()) <= int(0.2 * max(len(texts[a]), len(texts[b])) + 1e-9)]
+    assert len(near) > 20 and all(keys[a] & keys[b] for a, b in near)
+
+
+def test_a_text_with_a_repeat_meets_one_without():
+    words = np.arange(1, 201, dtype=np.uint64) * np.uint64(7919)
+    again = words.copy()
+    again[100] = again[20]
+    assert sum(a == b for a, b in zip(ordermin.sketches(words), ordermin.sketches(again), strict=True)) > ordermin.SKETCHES // 2
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components.components(chain).collect()}
