@@ -25,6 +25,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, number: str) -> DataFrame:
+    """`df` with a row number as the column `number`, written: a number made anew by another job may belong to another row,
+    since the splits of a scan follow the cores that are there at the time."""
+    return written(df.withColumn(number, F.monotonically_increasing_id()))
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Only the columns an operator reads, under fixed names, so that no other column can clash."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *(F.col(f"`{c}`") for c in more))

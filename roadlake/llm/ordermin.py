@@ -247,8 +247,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A class is a connected component of the links, exact copies (the same words but for case and blanks) and pairs of an
     edit similarity of `least` over words. n_copies counts the rows with the same words, n_links the links found to other
     texts (a lower bound within a component, since links that would join nothing new are not looked for); `kept` marks
-    one row of each class: the first of its smallest id. `docs` must be a table scan or otherwise give its rows in the
-    same order when it is computed again.
+    one row of each class: the first of its smallest id. `row` is the row's number in the one pass that reads `docs`.
 
     Links between texts of at most SHORT words are all found. Longer pairs must share a sketch, which those of exactly 0.8
     fail to with less than one in a thousand and those of 0.9 practically never; sketches are made for a `least` of SIMILAR or
@@ -257,7 +256,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null, empty and blank texts have no words and are each a class of their own. Repeated rows are copies. Rows without an id come last in order and have a null class
     if the whole class has none. An empty table gives an empty result; other columns are not read.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.monotonically_increasing_id().alias("row"))
+    return placed_rows(common.numbered(common.id_and_text(docs, id_col, text_col), "row"), least)
+
+
+def placed_rows(rows: DataFrame, least: float) -> DataFrame:
+    """What `near_duplicates` gives, for a written table of doc_id, text, row."""
     sketched = written(rows.mapInArrow(lambda it: sketch(it, least), "doc_id long, row long, high long, low long, length int, keys array<long>"))
     order = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "row")
     copies = written(sketched.where("length > 0").groupBy("high", "low").agg(F.min(F.struct(order.alias("order"), "length", "keys")).alias("m"), F.count("*").alias("n_copies")).select("high", "low", "n_copies", "m.order", F.col("m.order.row").alias("row"), "m.length", "m.keys"))
@@ -304,9 +307,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def first_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
     """The rows of `docs` that are the first of their class, with all their columns; see `near_duplicates`."""
-    numbered = docs.toDF(*(f"c{k}" for k in range(len(docs.columns)))).withColumn("row", F.monotonically_increasing_id())
-    kept = near_duplicates(docs, id_col, text_col, least).where("kept").select("row")
-    return numbered.join(kept, "row", "left_semi").drop("row").toDF(*docs.columns)
+    rows = common.numbered(docs.toDF(*(f"c{k}" for k in range(len(docs.columns)))), "row")
+    of = lambda name: F.col(f"c{docs.columns.index(name)}")
+    kept = placed_rows(rows.select(of(id_col).cast("long").alias("doc_id"), of(text_col).alias("text"), "row"), least).where("kept").select("row")
+    return rows.join(kept, "row", "left_semi").drop("row").toDF(*docs.columns)
 
 
 def classes(sketched: DataFrame, copies: DataFrame, links: DataFrame, known: DataFrame, order: Column) -> DataFrame:

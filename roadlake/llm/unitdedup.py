@@ -94,23 +94,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Of equal units the one of the smallest id, then of the earlier row and place, stays; rows without an id come last.
     Digests meet in an aggregation that is partial before its shuffle, so a line that is in a third of all documents
-    arrives as one row per task, and only repeated digests are joined back. `docs` must be a table scan or otherwise
-    give its rows in the same order when it is computed again.
+    arrives as one row per task, and only repeated digests are joined back. `docs` is read once and written with its
+    row numbers; all steps read that table.
 
     A null text stays null and an empty one empty. Repeated rows are later occurrences of each other, so all but one lose
     their text. A text of any length is cut whole. An empty table gives an empty result. A column of `docs` that is
     called `repeats` is replaced.
     """
-    rows = docs.drop("repeats").withColumn("repeats", F.monotonically_increasing_id())
-    keyed = rows.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col("repeats").alias("row"), F.col(f"`{text_col}`").alias("text"))
+    names = [c for c in docs.columns if c != "repeats"]
+    at = names.index(text_col)
+    rows = common.numbered(docs.drop("repeats").toDF(*(f"c{k}" for k in range(len(names)))), "row")
+    keyed = rows.select(F.col(f"c{names.index(id_col)}").cast("long").alias("doc_id"), "row", F.col(f"c{at}").alias("text"))
     found = keyed.mapInArrow(lambda it: digests(it, unit), UNITS)
     place = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "row", "unit")
     first = found.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("high", "low", F.col("first.row").alias("first_row"), F.col("first.unit").alias("first_unit"))
     first = common.written(first)
     later = found.join(first, ["high", "low"]).where((F.col("row") != F.col("first_row")) | (F.col("unit") != F.col("first_unit"))).groupBy("row").agg(F.collect_list("unit").alias("later"))
-    joined = rows.join(later.withColumnRenamed("row", "repeats"), "repeats", "left")
-    names = [c for c in docs.columns if c != "repeats"]
-    at = names.index(text_col)
+    joined = rows.join(later, "row", "left")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.pieces(batches, f"c{at}"):
@@ -126,5 +126,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([*columns, pa.array(report, kind)], names=[*(f"c{k}" for k in range(len(names))), "report"])
 
     ddl = ", ".join(f"c{k} {docs.schema[n].dataType.simpleString()}" for k, n in enumerate(names))
-    out = joined.select(*(F.col(f"`{n}`").alias(f"c{k}") for k, n in enumerate(names)), "later").mapInArrow(clean, f"{ddl}, report struct<{REPORT}>")
+    out = joined.select(*(f"c{k}" for k in range(len(names))), "later").mapInArrow(clean, f"{ddl}, report struct<{REPORT}>")
     return out.select(*(F.col(f"c{k}").alias(n) for k, n in enumerate(names)), F.col("report").alias("repeats"))

@@ -8,7 +8,7 @@ import pytest
 
 import cases
 import corpus_pipeline
-from roadlake.llm import components, ordermin, queries, unitdedup
+from roadlake.llm import common, components, ordermin, queries, unitdedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -141,6 +141,45 @@ def test_a_text_with_a_repeat_meets_one_without():
     assert sum(a == b for a, b in zip(ordermin.sketches(words), ordermin.sketches(again), strict=True)) > ordermin.SKETCHES // 2
 
 
+@pytest.fixture
+def moving_splits(spark, monkeypatch):
+    """Every table that is written changes how the files of the next scan are dealt to tasks."""
+    real, turn = common.written, [0]
+
+    def written(df):
+        out = real(df)
+        turn[0] += 1
+        conf = df.sparkSession.conf
+        conf.set("spark.sql.files.openCostInBytes", "1" if turn[0] % 2 else str(64 << 20))
+        conf.set("spark.sql.files.minPartitionNum", "1" if turn[0] % 2 else "8")
+        return out
+
+    for module in (common, ordermin):
+        monkeypatch.setattr(module, "written", written)
+    yield
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def scattered(spark, tmp_path, rows, ddl="doc_id long, text string"):
+    path = str(tmp_path / "scattered.parquet")
+    spark.createDataFrame(rows, ddl).repartition(8).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_passages_stay_once_when_later_scans_are_split_otherwise(spark, tmp_path, moving_splits):
+    passage = cases.prose(90, 60)
+    docs = scattered(spark, tmp_path, [(k, cases.prose(k, 40) + "\n" + passage) for k in range(24)])
+    got = {r.doc_id: r.text for r in unitdedup.remove_repeats(docs).collect()}
+    assert [k for k in range(24) if passage in got[k]] == [0] and len(got) == 24
+
+
+def test_classes_keep_their_documents_when_later_scans_are_split_otherwise(spark, tmp_path, moving_splits):
+    docs = scattered(spark, tmp_path, [(k, cases.prose(k % 12, 60) + " end" * (k // 12)) for k in range(24)])
+    kept = {r.doc_id: r.text for r in ordermin.first_of_each_class(docs).collect()}
+    assert kept == {k: cases.prose(k, 60) for k in range(12)}
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components.components(chain).collect()}
