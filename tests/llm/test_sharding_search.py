@@ -83,6 +83,32 @@ def test_recall(spark, sf):
     assert (ranked.groupby("query_id").score.diff().dropna() <= 0).all()
 
 
+@pytest.mark.parametrize("lengths", ["one long", "spread", "just unequal", "wide"])
+def test_recall_of_vectors_of_other_lengths(spark, lengths):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 80 if lengths == "wide" else 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if lengths == "one long":
+        x[3] *= 1000
+    elif lengths == "spread":
+        x *= rng.lognormal(0, 0.7, (1500, 1))
+    elif lengths == "just unequal":
+        x[5] *= 0.99
+    table = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = crosspolytope.crosspolytope_neighbours(table, F.col("vec_id") % 20 == 0).toPandas()
+    want = nearest(table.toPandas(), 20)
+    found = got.sort_values("rank").groupby("query_id").vec_id.apply(list).to_dict()
+    assert set(found) == set(want) and all(len(set(f)) == 20 for f in found.values())
+    assert np.mean([len(set(found[q]) & set(want[q])) / 20 for q in want]) >= 0.9
+
+
+def test_queries_that_find_too_few_are_compared_with_all(spark):
+    x = np.random.default_rng(9).normal(size=(60, 64))
+    table = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = crosspolytope.crosspolytope_neighbours(table, F.col("vec_id") % 20 == 0, tables=1, probes=2).toPandas()
+    assert got.sort_values("rank").groupby("query_id").vec_id.apply(list).to_dict() == nearest(table.toPandas(), 20)
+
+
 def test_all_probes_give_the_exact_answer_with_ties_copies_and_lengths(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(90, 5)) * rng.uniform(0.2, 3, (90, 1))
