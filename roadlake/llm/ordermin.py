@@ -4,8 +4,8 @@ The words of a text are labelled with how often each has occurred before. A sket
 and keeps them in the order of the text, so texts share a sketch if they have words in common and in the same order; that
 follows edit similarity. Single words are taken, since a change of one word in five can leave no run of five words whole.
 Short texts also have exact keys: what is left of them when any few words are deleted, so that two short texts within
-the allowed distance always share a key. Texts that share a key are candidates, and a banded alignment of their words
-decides.
+the allowed distance always share a key. Texts that share a key are candidates. Counts of their words by hash
+bound the distance from below, so that only what may be near is fetched; a banded alignment of the words decides.
 
 Within a bucket of equal sketches not all pairs are formed. Three rounds compare the bucket's members with one leader
 each, and only members that are not yet in the leader's component. Of what is then still apart, all pairs are compared,
@@ -28,10 +28,11 @@ from .common import written
 from .components import components
 
 K, TAKE, SKETCHES = 1, 4, 64
+CELLS = 256  # of a text's word counts
 SHORT = 14  # words of a text that also has exact keys, for links to texts of at most as many words
 SIMILAR = 0.8  # the edit similarity that the sketches and keys are made for
 #: Of two texts with one word in five replaced, two thirds of all their words are common, so they share a sketch of 4 with about
-#: 0.17 and one of 64 but for 7 in ten thousand, which texts of 100 words and more of check_s give too; nearer pairs miss each other far less.
+#: 0.17 and one of 64 but for about one in a thousand, as edited texts of check_s give too; nearer pairs miss each other far less.
 
 _MIX = np.random.default_rng(17).integers(1, 1 << 63, SKETCHES + K + 2, dtype=np.uint64) | np.uint64(1)
 
@@ -81,7 +82,7 @@ def sketches(words: np.ndarray) -> list[int]:
     """For each of SKETCHES hash orders: the TAKE smallest k-mers, in the order of the text, as one signed number."""
     h = kmers(words)
     with np.errstate(over="ignore"):
-        ranked = mixed(h[None, :] * _MIX[:SKETCHES, None])
+        ranked = h[None, :] * _MIX[:SKETCHES, None]  # h is well spread already
         take = min(TAKE, len(h))
         at = np.argpartition(ranked, take - 1, axis=1)[:, :take]
         at.sort(axis=1)
@@ -115,15 +116,17 @@ def keys_of(words: np.ndarray, least: float = SIMILAR) -> list[int]:
 def sketch(batches: Iterator[pa.RecordBatch], least: float = SIMILAR) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for rows in common.pieces(batches):
-        high, low, length, keys = [], [], [], []
+        high, low, length, bags, keys = [], [], [], [], []
         for text in rows.column("text").to_pylist():
             words = words_of(text or "")
             a, b = np.frombuffer(xxhash.xxh3_128_digest(" ".join(words)), "<i8").tolist()
             high.append(a)
             low.append(b)
             length.append(len(words))
-            keys.append(keys_of(np.array([hashes[w] for w in words], np.uint64), least) if words else [])
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("row"), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(length, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "row", "high", "low", "length", "keys"])
+            numbers = np.array([hashes[w] for w in words], np.uint64)
+            bags.append(np.minimum(np.bincount((numbers >> np.uint64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes())
+            keys.append(keys_of(numbers, least) if words else [])
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("row"), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(length, pa.int32()), pa.array(bags, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "row", "high", "low", "length", "bag", "keys"])
 
 
 # -- alignment ---------------------------------------------------------------------------------------------------------
@@ -235,7 +238,24 @@ def verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
 # -- the whole table ---------------------------------------------------------------------------------------------------
 
 
-def linked(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def possible(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) of (a, b, length_a, length_b, bag_a, bag_b) whose word counts allow a link: an edit takes at most one
+    word away and brings at most one, so either surplus is a lower bound of the distance."""
+    for rows in batches:
+        if not rows.num_rows:
+            continue
+        x, y = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16) for c in ("bag_a", "bag_b"))
+        more = x - y
+        surplus = np.maximum(np.maximum(more, 0).sum(axis=1, dtype=np.int64), np.maximum(-more, 0).sum(axis=1, dtype=np.int64))
+        longer = np.maximum(rows.column("length_a").to_numpy(), rows.column("length_b").to_numpy())
+        kept = rows.filter(pa.array(surplus <= ((1 - least) * longer + 1e-9).astype(np.int64)))
+        yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
+
+
+def linked(pairs: DataFrame, bags: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    of = lambda end: bags.select(F.col("row").alias(end), F.col("length").alias(f"length_{end}"), F.col("bag").alias(f"bag_{end}"))
+    counted = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "length_a", "length_b", "bag_a", "bag_b")
+    pairs = written(counted.mapInArrow(lambda it: possible(it, least), "a long, b long"))
     with_b = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
     with_both = with_b.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
     return with_both.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: verify(it, least), "a long, b long")
@@ -250,7 +270,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one row of each class: the first of its smallest id. `row` is the row's number in the one pass that reads `docs`.
 
     Links between texts of at most SHORT words are all found. Longer pairs must share a sketch, which those of exactly 0.8
-    fail to with less than one in a thousand and those of 0.9 practically never; sketches are made for a `least` of SIMILAR or
+    fail to with about one in a thousand and those of 0.9 practically never; sketches are made for a `least` of SIMILAR or
     more, and with less the pairs below SIMILAR are found only by chance.
 
     Null, empty and blank texts have no words and are each a class of their own. Repeated rows are copies. Rows without an id come last in order and have a null class
@@ -261,15 +281,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def placed_rows(rows: DataFrame, least: float) -> DataFrame:
     """What `near_duplicates` gives, for a written table of doc_id, text, row."""
-    sketched = written(rows.mapInArrow(lambda it: sketch(it, least), "doc_id long, row long, high long, low long, length int, keys array<long>"))
+    sketched = written(rows.mapInArrow(lambda it: sketch(it, least), "doc_id long, row long, high long, low long, length int, bag binary, keys array<long>"))
     order = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "row")
-    copies = written(sketched.where("length > 0").groupBy("high", "low").agg(F.min(F.struct(order.alias("order"), "length", "keys")).alias("m"), F.count("*").alias("n_copies")).select("high", "low", "n_copies", "m.order", F.col("m.order.row").alias("row"), "m.length", "m.keys"))
+    copies = written(sketched.where("length > 0").groupBy("high", "low").agg(F.min(F.struct(order.alias("order"), "length", "bag", "keys")).alias("m"), F.count("*").alias("n_copies")).select("high", "low", "n_copies", "m.order", F.col("m.order.row").alias("row"), "m.length", "m.bag", "m.keys"))
 
     members = copies.select("row", "length", F.explode("keys").alias("key"))
     crowded = members.groupBy("key").agg(F.count("*").alias("n"), F.min("row").alias("lead_0"), F.max("row").alias("lead_1"), F.min_by("row", F.xxhash64("row")).alias("lead_2")).where("n > 1")
     crowded = written(crowded)  # joined as a scan, so that a crowded bucket can be split
     members = written(members.join(crowded, "key").select("key", "row", "length", "lead_0", "lead_1", "lead_2"))
-    texts = written(rows.join(members.select("row").distinct(), "row").select("row", "text"))
+    texts, bags = rows.select("row", "text"), copies.select("row", "length", "bag")
     lengths = F.col("length_a") * least <= F.col("length")
     lengths = lengths & (F.col("length") * least <= F.col("length_a"))
 
@@ -294,7 +314,7 @@ def placed_rows(rows: DataFrame, least: float) -> DataFrame:
             other = F.col("row") > F.col("a")
         pairs = placed.join(leaders, "key").where((F.col("component") != F.col("component_a")) & lengths & other)
         pairs = pairs.select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
-        found = written(linked(pairs, texts, least))
+        found = written(linked(pairs, bags, texts, least))
         links = found if links is None else links.union(found)
         if found.isEmpty():
             continue

@@ -134,6 +134,24 @@ def test_short_texts_within_the_allowed_distance_share_a_key():
     assert len(near) > 20 and all(keys[a] & keys[b] for a, b in near)
 
 
+def test_word_counts_drop_no_link():
+    rng = random.Random(12)
+    rows = []
+    for k in range(300):
+        x = cases.prose(k, rng.choice([3, 12, 80, 700])).split()
+        rows += [(2 * k, " ".join(x)), (2 * k + 1, " ".join(edited(rng, x, len(x) // 4)))]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows]), pa.array([k for k, _ in rows]), pa.array([t for _, t in rows])], names=["doc_id", "row", "text"])
+    got = [r for b in ordermin.sketch(iter([batch])) for r in b.to_pylist()]
+    pairs = [(a, b) for k in range(300) for a, b in ((got[2 * k], got[2 * k + 1]), (got[2 * k], got[(2 * k + 40) % 600]))]
+    asked = pa.RecordBatch.from_pylist([{"a": a["row"], "b": b["row"], "length_a": a["length"], "length_b": b["length"], "bag_a": a["bag"], "bag_b": b["bag"]} for a, b in pairs])
+    kept = {(r["a"], r["b"]) for b in ordermin.possible(iter([asked]), 0.8) for r in b.to_pylist()}
+    number = {w: i for i, w in enumerate(sorted({w for _, t in rows for w in t.lower().split()}))}
+    words = {k: np.array([number[w] for w in t.lower().split()]) for k, t in rows}
+    near = ordermin.alike([(words[a["row"]], words[b["row"]]) for a, b in pairs], 0.8)
+    true = {(a["row"], b["row"]) for (a, b), yes in zip(pairs, near.tolist(), strict=True) if yes}
+    assert len(true) > 100 and true <= kept and len(kept) < 450
+
+
 def test_a_text_with_a_repeat_meets_one_without():
     words = np.arange(1, 201, dtype=np.uint64) * np.uint64(7919)
     again = words.copy()
