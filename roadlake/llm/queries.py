@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytepair, common, crosspolytope, languages, licenses, ordermin, packing, repetition, sharding, toxicity, unitdedup
+from . import bytepair, common, crosspolytope, languages, licenses, linededup, ordermin, packing, repetition, sharding, tokenalign, toxicity, unitdedup, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,27 @@ def op10_dynamic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_sequences(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_shared_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.kept_text(linededup.line_bitmaps(common.table(spark, sf_dir, "documents"), min_documents=10, min_chars=1, keep_first=False))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op12_anchored_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenalign.align_corpus(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_multiplicity_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(common.table(spark, sf_dir, "embeddings"), components=8)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_kd_sharding, op2_crosspolytope_search, op3_suffix_repetition, op4_license_scan, op5_distinct_word_bpe, op6_folded_lexicon, op7_order_minhash, op8_byte_gru_language, op9_unit_hash_dedup, op10_dynamic_packing)}
-CHECKS: dict[str, str] = {}
+    op1_kd_sharding, op2_crosspolytope_search, op3_suffix_repetition, op4_license_scan, op5_distinct_word_bpe, op6_folded_lexicon, op7_order_minhash, op8_byte_gru_language, op9_unit_hash_dedup, op10_dynamic_packing,
+    op11_shared_line_dedup, op12_anchored_alignment, op13_multiplicity_whitening)}
+CHECKS: dict[str, str] = {
+    "op11_shared_line_dedup": """WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM d),
+    k AS (SELECT *, translate(trim(line, ' '||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    shared AS (SELECT key AS gone FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
+    SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
+    FROM k LEFT JOIN shared ON key = gone GROUP BY r, doc_id""",
+}
