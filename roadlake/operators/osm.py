@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.session import cut_lineage, spread
+from roadlake.session import cut_lineage
 
 PIT_ROLE = "pit_lane"
 
@@ -63,45 +62,72 @@ def _text(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
-LINE = "array<struct<lat:double,lon:double>>"
-
-
-def _stitch(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Merge lines that meet end to end where exactly two ends meet; the rest stay lines of their own."""
-    lines = [[(p["lat"], p["lon"]) for p in line] for line in pdf.sort_values("way_id")["line"]]
-    ends: dict[tuple, list[int]] = {}
-    for i, line in enumerate(lines):
-        for end in (line[0], line[-1]):
-            ends.setdefault(end, []).append(i)
-    alive = dict(enumerate(lines))
-    for point in list(ends):
-        touching = ends[point]
-        if len(touching) != 2 or touching[0] == touching[1]:
-            continue
-        i, j = touching
-        a, b = alive[i], alive.pop(j)
-        if a[-1] != point:
-            a = a[::-1]
-        if b[0] != point:
-            b = b[::-1]
-        alive[i] = a + b[1:]
-        far = b[-1]
-        ends[far] = [i if k == j else k for k in ends[far]]
-        ends[point] = []
-    out = [[{"lat": x, "lon": y} for x, y in line] for line in alive.values()]
-    return pd.DataFrame({"candidate": pdf["candidate"].iloc[0], "line_no": range(len(out)), "line": out})
+KEY = ["candidate", "way_id", "side"]
+
+
+def _ranked(ends: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pointer doubling over the ends of ways. `ends`: candidate, way_id, side (the end at which a way is left), next_way and
+    next_side (the way that follows, and the end at which that one is left; null at the end of a line).
+
+    Each round every end still under way takes over what the end it has reached knows, so a line of n ways takes log n
+    rounds of one join. Returns the ends that have found the end of their line, with the number of ways passed and
+    the smallest way met (with the side it was left at), and those that never will, because their line is a ring."""
+    none = F.col("next_way").isNull()
+    here, there = F.struct("way_id", "side"), F.struct(F.col("next_way").alias("way_id"), F.col("next_side").alias("side"))
+    states = ends.select(*KEY, "next_way", "next_side", F.when(none, here).otherwise(there).alias("at"), F.when(none, 0).otherwise(1).cast("long").alias("passed"),
+                         F.when(none, here).otherwise(F.least(here, there)).alias("least"), none.alias("done"), F.lit(True).alias("lower"))
+    states, before = cut_lineage(states), None
+    while True:
+        left = states.where("NOT done").agg(F.count("*").alias("n"), F.count_if("lower").alias("lower")).first()
+        if not left["n"] or (left["n"] == before and not left["lower"]):
+            return states.where("done").drop("at", "done", "lower"), states.where("NOT done").select(*KEY, "next_way", "next_side", "least")
+        before = left["n"]
+        reached = states.select("candidate", F.struct("way_id", "side").alias("at"), F.col("at").alias("_at"), F.col("passed").alias("_passed"), F.col("least").alias("_least"), F.col("done").alias("_done"))
+        moved = states.where("NOT done").join(reached, ["candidate", "at"]).select(
+            *KEY, "next_way", "next_side", F.col("_at").alias("at"), (F.col("passed") + F.col("_passed")).alias("passed"), F.least("least", "_least").alias("least"), F.col("_done").alias("done"),
+            (F.col("_least") < F.col("least")).alias("lower"))
+        states = cut_lineage(states.where("done").unionByName(moved))
+
+
+def stitched_ways(ways: DataFrame) -> DataFrame:
+    """(candidate, way_id, line_id, rank, reverse): the line of each way, its place there from 0, and whether the line runs
+    against the way. `ways`: candidate, way_id, line (array of lat, lon).
+
+    Ways are joined where exactly two ends of different ways of a candidate meet. A line is named after its smallest way and
+    runs in that way's direction; a ring begins at that way's first point. Work is by way, never by candidate or line, so
+    a name on a third of all ways takes as many tasks as any other ways. Ways of fewer than two points are left out,
+    a way that is listed twice counts once."""
+    usable = ways.where((F.size("line") >= 2) & F.col("candidate").isNotNull()).select("candidate", "way_id", F.col("line")[0].alias("first"), F.element_at("line", -1).alias("last")).dropDuplicates(["candidate", "way_id"])
+    ends = cut_lineage(usable.select("candidate", "way_id", F.posexplode(F.array("first", "last")).alias("side", "point")))
+    one = F.struct("way_id", "side")
+    met = ends.groupBy("candidate", "point").agg(F.count("*").alias("n"), F.min(one).alias("a"), F.max(one).alias("b")).where("n = 2 AND a.way_id <> b.way_id")
+    pairs = met.select("candidate", F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"))
+    follows = pairs.select("candidate", "p.a.way_id", "p.a.side", F.col("p.b.way_id").alias("next_way"), (1 - F.col("p.b.side")).alias("next_side"))
+    linked = ends.select(*KEY).join(follows, KEY, "left")
+    open_lines, rings = _ranked(linked)
+    smallest = F.col("least.way_id")
+    cut = ((F.col("way_id") == smallest) & (F.col("side") == 0)) | ((F.col("next_way") == smallest) & (F.col("next_side") == 1))
+    opened = rings.select(*KEY, *[F.when(~cut, F.col(c)).alias(c) for c in ("next_way", "next_side")])
+    lines = open_lines if rings.isEmpty() else open_lines.unionByName(_ranked(opened)[0])
+    by_side = lines.groupBy("candidate", "way_id").agg(*[F.max(F.when(F.col("side") == k, F.struct("passed", "least"))).alias(f"s{k}") for k in (0, 1)])
+    ahead = F.col("s1.least.way_id") <= F.col("s0.least.way_id")  # the line's smallest way is met going on from the last point
+    line_id = F.least("s0.least.way_id", "s1.least.way_id")
+    reverse = F.when(ahead, F.col("s1.least.side") == 0).otherwise(F.col("s0.least.side") == 1)
+    return by_side.select("candidate", "way_id", line_id.alias("line_id"), F.when(reverse, F.col("s1.passed")).otherwise(F.col("s0.passed")).alias("rank"), reverse.alias("reverse"))
 
 
 def stitch(ways: DataFrame) -> DataFrame:
-    """Lines of each candidate's ways merged end to end: (candidate, line_no, line). `ways`: candidate, way_id, line
-    (array of lat, lon). One candidate is one place's track, so its ways form a small group; the many candidates of a
-    single way are passed on as they are, and only the rest is grouped in Python."""
-    usable = ways.where(F.size("line") >= 2).select("candidate", "way_id", "line")
-    sizes = usable.groupBy("candidate").agg(F.count("*").alias("_ways"))
-    sized = usable.join(sizes, "candidate")
-    alone = sized.where("_ways = 1").select("candidate", F.lit(0).alias("line_no"), "line")
-    several = spread(sized.where("_ways > 1").drop("_ways"), "candidate").groupBy("candidate").applyInPandas(_stitch, f"candidate string, line_no int, line {LINE}")
-    return alone.unionByName(several)
+    """The points of every line of each candidate, in order: (candidate, line_id, rank, point, lat, lon), a row per point, where
+    `rank` and `point` order a line. The point at which two ways meet comes once. See `stitched_ways`."""
+    placed = stitched_ways(ways).join(ways.where("size(line) >= 2").select("candidate", "way_id", "line").dropDuplicates(["candidate", "way_id"]), ["candidate", "way_id"])
+    points = placed.withColumn("line", F.when(F.col("reverse"), F.reverse("line")).otherwise(F.col("line"))).select("candidate", "line_id", "rank", F.posexplode("line").alias("point", "p"))
+    return points.where("rank = 0 OR point > 0").select("candidate", "line_id", "rank", "point", "p.lat", "p.lon")
+
+
+def lines(points: DataFrame) -> DataFrame:
+    """One row per line with its points as an array, for lines that fit a row: (candidate, line_id, line)."""
+    grouped = points.groupBy("candidate", "line_id").agg(F.array_sort(F.collect_list(F.struct("rank", "point", "lat", "lon"))).alias("p"))
+    return grouped.select("candidate", "line_id", F.transform("p", lambda x: F.struct(x["lat"].alias("lat"), x["lon"].alias("lon"))).alias("line"))
 
 
 def import_check(candidates: DataFrame, tracks: DataFrame) -> DataFrame:

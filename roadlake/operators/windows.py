@@ -40,19 +40,27 @@ STATS = ["topic", "signal", "unit", "session", "window_start_us", "window_end_us
          "max_value", "mean_value", "stddev_value", "kind", "derived_from"]
 
 
-def _setting(values: dict[str, int], default: int | None) -> Column:
+def setting(values: dict[str, int], default: int | None) -> Column:
+    """The configured number of a row's signal."""
     out = F.lit(default).cast("long")
     for name, number in values.items():
         out = F.when(F.col("signal") == name, F.lit(number).cast("long")).otherwise(out)
     return out
 
 
+def guard(config: WindowConfig) -> Column:
+    """Why a window of so many samples is not kept, null where it is."""
+    return F.when(F.col("sample_count") > setting(config.max_samples, None), "WINDOW_OVERFLOW").when(
+        F.col("sample_count") < setting(config.min_samples, DEFAULT_MIN_SAMPLES), "INSUFFICIENT_SAMPLES"
+    )
+
+
 def window_stats(routed: DataFrame, config: WindowConfig = WindowConfig(), tie: str = "event_id") -> DataFrame:
     """All windows, kept or not, with `reason`. Only signals named in `max_samples` have an upper limit: a window holds
     a whole fleet's samples, so its size says nothing by itself. The window length depends on the signal, so the start is computed
     rather than taken from a fixed window; the key has no session. Every aggregate merges map-side, so a hot
     signal reaches the shuffle as one row per task and window."""
-    length = _setting(config.seconds, config.default_seconds) * 1_000_000
+    length = setting(config.seconds, config.default_seconds) * 1_000_000
     keyed = routed.select("topic", "signal", "unit", "session", "value", "t_us", tie, length.alias("length_us"))
     first = F.struct("t_us", tie)
     stats = (
@@ -66,14 +74,11 @@ def window_stats(routed: DataFrame, config: WindowConfig = WindowConfig(), tie:
             F.stddev_pop("value").alias("stddev_value"),
         )
     )
-    reason = F.when(F.col("sample_count") > _setting(config.max_samples, None), "WINDOW_OVERFLOW").when(
-        F.col("sample_count") < _setting(config.min_samples, DEFAULT_MIN_SAMPLES), "INSUFFICIENT_SAMPLES"
-    )
     return stats.select(
         "topic", "signal", "first_event.unit", "first_event.session", "window_start_us",
         (F.col("window_start_us") + F.col("length_us")).alias("window_end_us"),
         "sample_count", "min_value", "max_value", "mean_value", "stddev_value",
-        F.lit("WINDOWED").alias("kind"), F.lit(None).cast("array<string>").alias("derived_from"), reason.alias("reason"),
+        F.lit("WINDOWED").alias("kind"), F.lit(None).cast("array<string>").alias("derived_from"), guard(config).alias("reason"),
     )
 
 

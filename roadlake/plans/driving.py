@@ -306,7 +306,7 @@ def j5(spark, sf):
 
 # ---- laps by geofence: twelve cars circling, one record per second ----
 
-def lap_records(rows):
+def lap_records(rows, *more):
     e = F.col("event_id")
     k, i = e % 12, F.floor(e / 12)
     angle = (i % (k + 50)) / (k + 50).cast("double") * F.lit(2 * math.pi)
@@ -316,11 +316,11 @@ def lap_records(rows):
         F.concat(F.lit("car"), k, F.lit(":d")).alias("session_key"), (i * 1000).alias("t_ms"), kind.alias("kind"), e.alias("seq"),
         (F.lit(40.0) + F.lit(0.001) * F.sin(angle)).alias("lat"), (F.lit(-111.0) + F.lit(0.001) * F.cos(angle)).alias("lon"),
         F.when(e % 5 != 0, F.col("value")).alias("speed"),
-        (F.lit(9.8) + F.when(i % 400 > 60, 3.0).otherwise(0.0) + e % 7 / F.lit(10.0)).alias("magnitude"),
+        (F.lit(9.8) + F.when(i % 400 > 60, 3.0).otherwise(0.0) + e % 7 / F.lit(10.0)).alias("magnitude"), *more,
     )
     return base.select(
         "session_key", "t_ms", "kind", "seq", F.when(at_line, 40.0).otherwise(F.col("lat")).alias("lat"),
-        F.when(at_line, -110.999).otherwise(F.col("lon")).alias("lon"), "speed", "magnitude",
+        F.when(at_line, -110.999).otherwise(F.col("lon")).alias("lon"), "speed", "magnitude", *more,
     )
 
 

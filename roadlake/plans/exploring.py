@@ -224,7 +224,7 @@ def ways(spark, sf):
     first = F.floor(k / 5) * 10 + k % 5 + F.when(k % 11 == 0, 100_000_000).otherwise(0)
     name = F.when(k % 3 == 0, F.concat(F.lit("Circuit "), k % 40)).when(k % 17 == 0, "Pit Lane").when(k % 19 == 0, "")
     at = F.transform(F.array(first, first + 1), lambda n: F.struct((n / 1e6).alias("lat"), (-n / 1e6).alias("lon")))
-    return table(spark, sf, "orders").select(k.alias("way_id"), name.alias("name"), F.array(first, first + 1).alias("nodes"), at.alias("line"))
+    return table(spark, sf, "orders").select(k.alias("way_id"), name.alias("name"), F.array(first, first + 1).alias("nodes"), F.when(k % 4 == 1, F.reverse(at)).otherwise(at).alias("line"))
 
 
 def relations(spark, sf):
@@ -284,9 +284,21 @@ def j15(spark, sf):
     return osm.import_check(d3(spark, sf), known_tracks(spark, sf)).select("candidate", "already_imported")
 
 
-@query("d5_stitched_lines")
+@query(
+    "d5_stitched_lines",
+    f"""WITH RECURSIVE {_CAND},
+  wn AS (SELECT DISTINCT candidate, way_id, n0, o.way_id%4=1 AS back FROM cd o JOIN wy ON wy.w=o.way_id),
+  nd AS (SELECT candidate, n, count(*) AS met FROM (SELECT candidate, n0 AS n FROM wn UNION ALL SELECT candidate, n0+1 FROM wn) GROUP BY 1, 2),
+  st AS (SELECT wn.*, CASE WHEN met=2 AND lag(n0) OVER w = n0-1 THEN 0 ELSE 1 END AS starts FROM wn JOIN nd ON nd.candidate=wn.candidate AND nd.n=wn.n0 WINDOW w AS (PARTITION BY wn.candidate ORDER BY n0)),
+  ln AS (SELECT *, sum(starts) OVER (PARTITION BY candidate ORDER BY n0) AS line FROM st),
+  ag AS (SELECT candidate, min(way_id) AS line_id, count(*) AS ways, count(*)+1 AS points, min(n0) AS lo, max(n0)+1 AS hi, arg_min(back, way_id) AS back FROM ln GROUP BY candidate, line)
+  SELECT candidate, line_id, ways, points, CASE WHEN back THEN hi ELSE lo END/1e6 AS from_lat, -(CASE WHEN back THEN lo ELSE hi END)/1e6 AS to_lon FROM ag""",
+)
 def d5(spark, sf):
-    return osm.stitch(d3(spark, sf).join(ways(spark, sf).select("way_id", "line"), "way_id"))
+    points = osm.stitch(d3(spark, sf).join(ways(spark, sf).select("way_id", "line"), "way_id"))
+    place = F.struct("rank", "point")
+    return points.groupBy("candidate", "line_id").agg(
+        (F.max("rank") + 1).alias("ways"), F.count("*").alias("points"), F.min_by("lat", place).alias("from_lat"), F.max_by("lon", place).alias("to_lon"))
 
 
 # ---- archive and binary log ----

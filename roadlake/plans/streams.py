@@ -8,13 +8,14 @@ from roadlake.functions.clock import epoch_us
 from roadlake.operators.lap_machine import Profile
 from roadlake.operators.route import route
 from roadlake.operators.speed import average_speed_stream
-from roadlake.plans import driving, signals, views
+from roadlake.operators import sessions as S
+from roadlake.plans import drives, driving, signals, views
 from roadlake.plans.driving import _LAP_SQL
 from roadlake.plans.registry import q4, query, s4
 from roadlake.plans.views import table
 from roadlake.sources import archive, upsert
-from roadlake.streaming import buckets, frames, laps, sessions
-from roadlake.streaming.run import replayed, run_to_table, work_dir
+from roadlake.streaming import buckets, carry, dimension, frames, laps, rates, rollup, sessions, windows
+from roadlake.streaming.run import large_state, replayed, run_to_table, work_dir
 
 
 def event_stream(spark, sf):
@@ -105,7 +106,7 @@ def st14(spark, sf):
     SELECT session_key, CAST(epoch AS BIGINT) AS epoch, CAST(lap AS BIGINT) AS lap_number, t0 AS lap_start_ms, t1 AS lap_end_ms, floor(dist*10+0.5e0)/10 AS distance_m, n + CASE WHEN lap=1 THEN 1 ELSE 0 END AS gps_point_count FROM agg""",
 )
 def st2s(spark, sf):
-    records = driving.lap_records(event_stream(spark, sf).drop("t_us"))
+    records = driving.lap_records(event_stream(spark, sf).withColumnRenamed("t_us", "arrived_us"), "arrived_us")
     return run_to_table(laps.laps_stream(records, Profile())).select("session_key", "epoch", "lap_number", "lap_start_ms", "lap_end_ms", "distance_m", "gps_point_count")
 
 
@@ -184,3 +185,107 @@ def st6s(spark, sf):
     tick = records.agg((F.max("arrived_us") + 4_000_000_000).alias("arrived_us"))
     tick = tick.select(F.lit("clock").alias("session"), F.lit("clock").alias("device"), F.lit(0).cast("long").alias("seq"), F.lit(0).cast("long").alias("t_us"), F.lit(sessions.TICK).alias("kind"), "arrived_us")
     return sessions.totals(run_to_table(sessions.close_stream(replayed(records.unionByName(tick), "arrived_us"))))
+
+
+def with_tick(rows, clock, ahead_us):
+    """The rows and a last one, empty but for its `clock`, that lets time run on."""
+    last = rows.agg((F.max(clock) + ahead_us).alias(clock))
+    return rows.unionByName(last, allowMissingColumns=True)
+
+
+def _waiting_records(spark, sf):
+    """Frames of 150 sessions, each seventeenth twice; a session's row comes in up to ten versions, for a quarter of them never."""
+    k, c = F.col("o_orderkey"), F.col("c_custkey")
+    base = k * 1_000_000 + EPOCH
+    status = F.when(k % 11 == 0, "empty").when(k % 5 == 0, "incomplete").otherwise("complete")
+    once = table(spark, sf, "orders").select(
+        F.concat(F.lit("c"), k % 50).alias("session"), F.concat(F.lit("d"), k % 3).alias("device"), F.lit("frame").alias("kind"), _arrived(k, base).alias("arrived_us"), base.alias("base_us"), status.alias("status"))
+    again = once.where((F.col("base_us") - EPOCH) / 1_000_000 % 17 == 0).withColumn("arrived_us", F.col("arrived_us") + 700_000_000)
+    rows = table(spark, sf, "customer").where(c % 200 % 4 != 0).select(
+        F.concat(F.lit("c"), c % 50).alias("session"), F.concat(F.lit("d"), c % 3).alias("device"), F.lit("dimension").alias("kind"), (c * 40_000_000 + EPOCH).alias("arrived_us"),
+        c.alias("vehicle_id"), F.concat(F.lit("acct"), c % 7).alias("user_sub"))
+    return with_tick(once.unionByName(again).unionByName(rows, allowMissingColumns=True), "arrived_us", 100_000_000)
+
+
+@query(
+    "st5_dimension_wait",
+    """WITH f AS (SELECT o_orderkey AS k, o_orderkey*1000000+1700000000000000 AS base_us, o_orderkey*1000000+1700000000000000+CASE WHEN o_orderkey%3=1 THEN 5000000000 ELSE 200000 END AS came,
+        CASE WHEN o_orderkey%11=0 THEN 'empty' WHEN o_orderkey%5=0 THEN 'incomplete' ELSE 'complete' END AS status FROM orders),
+    d AS (SELECT c_custkey%50 AS s, c_custkey%3 AS v, c_custkey*40000000+1700000000000000 AS came, c_custkey AS vehicle_id FROM customer WHERE c_custkey%200%4<>0),
+    fd AS (SELECT s, v, min(came) AS came FROM d GROUP BY 1, 2),
+    w AS (SELECT f.*, fd.came AS known, CASE WHEN status='empty' THEN 'empty' WHEN fd.came <= f.came+30000000 THEN 'known' ELSE 'unknown' END AS outcome FROM f LEFT JOIN fd ON fd.s=f.k%50 AND fd.v=f.k%3),
+    m AS (SELECT w.k, max(d.vehicle_id) AS vehicle_id FROM w JOIN d ON d.s=w.k%50 AND d.v=w.k%3 AND d.came <= greatest(w.came, w.known) WHERE outcome='known' GROUP BY 1)
+    SELECT 'c'||(k%50) AS session, 'd'||(k%3) AS device, base_us, status, outcome, vehicle_id, 'acct'||(vehicle_id%7) AS user_sub FROM w LEFT JOIN m USING (k)
+    UNION ALL SELECT 'c'||(k%50), 'd'||(k%3), base_us, status, CASE WHEN status='empty' THEN 'empty' ELSE 'replayed' END, NULL, NULL FROM f WHERE k%17=0""",
+)
+def st5(spark, sf):
+    return run_to_table(dimension.wait_for_dimension(replayed(_waiting_records(spark, sf), "arrived_us")))
+
+
+AS_LONG_MS = 100 * 86_400_000  # as long as the tables last: sessions pause for days there
+
+
+@query(
+    "st_carry_restored",
+    drives._CARRY + f""" SELECT session, device, start_us, signal, {s4('v')} AS value, CASE WHEN seen<start_us THEN (start_us+10800000000-seen)//1000 END AS age_ms FROM held""",
+    ("v_signal",),
+)
+def carried(spark, sf):
+    """Stopped half way: a second stream without the first one's checkpoint goes on from the table that the first wrote."""
+    closed = carry.frame_arrays(drives.can_samples(spark, sf)).withColumn("arrived_us", F.col("base_us") + drives.SIX)
+    edge = views.v_signal(spark, sf).agg(((F.min("t_us") + F.max("t_us")) / 2).cast("long").alias("half")).first()
+    half = F.lit(edge["half"] or 0)
+
+    def ran(rows, written=None):
+        return run_to_table(carry.carry_stream(replayed(rows, "arrived_us", 3), 3 * drives.HOUR, drives.SIX, written, forget_ms=AS_LONG_MS))
+
+    before = ran(closed.where(F.col("base_us") < half))
+    rows = before.unionByName(ran(closed.where(F.col("base_us") >= half), before))
+    flat = rows.where("NOT late").select("session", "device", "start_us", "carried", F.explode("signals").alias("signal", "value"))
+    return flat.select("session", "device", "start_us", "signal", q4(F.col("value")).alias("value"), F.try_element_at("carried", F.col("signal")).alias("age_ms"))
+
+
+WITHIN_US = 10_800_000_000
+
+
+@query(
+    "st_rate_check",
+    f"WITH RECURSIVE {signals._RATED_SQL} SELECT event_id, session, signal, coalesce(reason, 'ok') AS reason FROM verdict",
+    ("v_signal",),
+)
+def rated(spark, sf):
+    """Every sample comes up to three hours after its time, so neighbours arrive in any order."""
+    rows = views.v_signal(spark, sf).select("session", "signal", F.col("event_id").alias("seq"), "t_us", "value", (F.col("t_us") + F.col("event_id") * 7919 % 10_801 * 1_000_000).alias("arrived_us"))
+    ticked = with_tick(rows, "arrived_us", 2 * WITHIN_US).withColumn("t_us", F.coalesce("t_us", "arrived_us"))
+    out = run_to_table(rates.rate_check_stream(replayed(ticked, "arrived_us"), signals.RANGES, signals.DELTAS, WITHIN_US, forget_ms=AS_LONG_MS))
+    return out.select(F.col("seq").alias("event_id"), "session", "signal", F.coalesce("reason", F.lit("ok")).alias("reason"))
+
+
+def _routed_stream(spark, sf):
+    rows = with_tick(views.v_signal(spark, sf), "t_us", 3 * 86_400_000_000)
+    return route(replayed(rows, "t_us").withColumn("unit", F.lit("u")), signals.RULES).where("topic IS NOT NULL OR signal IS NULL")
+
+
+@query("st_a1_windows", f"WITH {signals._STATS_SQL} SELECT {signals._STAT_SQL_COLUMNS}, reason FROM judged", ("v_signal",))
+def a1s(spark, sf):
+    return run_to_table(windows.window_stream(_routed_stream(spark, sf), signals.WINDOWS)).select(*signals._stat_columns(), "reason")
+
+
+@query("st_a3_derived", f"WITH {signals._DERIVED_SQL} SELECT {signals._STAT_SQL_COLUMNS} FROM derived", ("v_signal",))
+def a3s(spark, sf):
+    return run_to_table(windows.derived_stream(_routed_stream(spark, sf), signals.WINDOWS)).select(*signals._stat_columns())
+
+
+@query(
+    "st_a8_rollup",
+    f"WITH {drives._ROLL} SELECT session, device, user_sub, mode, vehicle_id, track_id, started_us, ended_us, end_reason, frames_expected, frames_received, duplicates, last_frame_received_us FROM ses",
+)
+def a8s(spark, sf):
+    """Messages in the order of arrival over six micro-batches, each upserted into the table of sessions."""
+    folder, records = work_dir(spark), drives.session_records(spark, sf).withColumn("arrival", F.col("arrival") + EPOCH)
+    with large_state(spark):
+        writer = upsert.upsert_stream(rollup.roll_up_stream(replayed(records, "arrival")), f"{folder}/out", f"{folder}/log", S.KEYS, ["version"], "device", guard="version")
+        writer.outputMode("update").trigger(availableNow=True).start().awaitTermination()
+    tracks = table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("track_id"))
+    out = S.known_tracks(spark.read.parquet(f"{folder}/out"), tracks)
+    return out.select(*S.KEYS, "user_sub", *S.START_FIELDS, "ended_us", "end_reason", "frames_expected", "frames_received", "duplicates", "last_frame_received_us")

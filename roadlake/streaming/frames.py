@@ -39,6 +39,7 @@ class FrameAssembly(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         frames, reached = self._load()
         late: dict[int, dict[str, int]] = {}
+        sent: dict[int, tuple] = {}  # a frame's latest receipt; rows may come as several frames in no order of arrival
         for pdf in rows:
             known = pdf[pdf["kind"].isin(KINDS)]
             arrived = known.groupby("base_us")["arrived_us"].min() // 1000
@@ -49,12 +50,15 @@ class FrameAssembly(StatefulProcessor):
                     continue
                 frame = frames.setdefault(int(base), dict.fromkeys(COUNTS, 0) | {"opened_ms": int(arrived[base])})
                 frame[f"n_{kind}"] += int(n)
+                frame["opened_ms"] = min(frame["opened_ms"], int(arrived[base]))
                 reached[kind] = max(reached[kind], int(base))
-            receipts = known[(known["kind"] == "session") & (known["base_us"] > reached["closed_us"])].sort_values("arrived_us").groupby("base_us").last()
-            for base, *sent in receipts[list(SENT)].itertuples():
-                frames[int(base)].update(zip(SENT, map(int, sent)))
+            receipts = known[(known["kind"] == "session") & (known["base_us"] > reached["closed_us"])]
+            for base, *receipt in receipts[["base_us", "arrived_us", *SENT]].itertuples(index=False):
+                sent[int(base)] = max(sent.get(int(base), (-1,)), tuple(map(int, receipt)))
             if len(known):
                 reached["arrived_ms"] = max(reached["arrived_ms"], int(known["arrived_us"].max()) // 1000)
+        for base, (_, *counts) in sent.items():
+            frames[base].update(zip(SENT, counts))
         out = [self._row(key, base, "late", counts) for base, counts in sorted(late.items())]
         yield from self._close(key, frames, reached, None, out)
 

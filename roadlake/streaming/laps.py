@@ -6,9 +6,11 @@ import math
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from roadlake.operators.lap_machine import Profile
+from roadlake.streaming.timers import FORGET_MS, only_timer
 
 _FIELDS = {
     "epoch": "bigint", "lapping": "boolean", "anchor_lat": "double", "anchor_lon": "double", "toward": "double", "imu_sum": "double", "imu_n": "bigint",
@@ -36,16 +38,22 @@ def _tenth(x):
     return math.floor(x * 10 + 0.5) / 10
 
 
+
 class LapMachine(StatefulProcessor):
+    """A session's machine takes the records of a micro-batch in time order, however many frames they come in. A session
+    that is silent for a day of arrival time is forgotten; its next record starts afresh, before an anchor."""
+
     def __init__(self, profile: Profile) -> None:
         self.profile = profile
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("lap", _STATE)
 
     def handleInputRows(self, key, rows, timerValues):
         s = dict(zip(_FIELDS, self.state.get())) if self.state.exists() else dict(_START)
         batch = pd.concat(list(rows))
+        arrived = int(batch["arrived_us"].max()) if "arrived_us" in batch else None
         batch["rank"] = batch["kind"].map(_RANK)
         out = []
         for r in batch.sort_values(["t_ms", "rank", "seq"]).itertuples():
@@ -53,9 +61,15 @@ class LapMachine(StatefulProcessor):
             if lap:
                 out.append({"session_key": key[0], **lap})
         self.state.update(tuple(s.values()))
+        if arrived is not None:
+            only_timer(self.handle, arrived // 1000 + FORGET_MS)
         if out:
             yield pd.DataFrame(out)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.state.clear()
+        return iter([])
+
     def _step(self, s, r):
         located = not (pd.isna(r.lat) or pd.isna(r.lon))
         if r.kind == "anchor":
@@ -113,6 +127,10 @@ class LapMachine(StatefulProcessor):
         pass
 
 
-def laps_stream(records: DataFrame, profile: Profile = Profile()) -> DataFrame:
-    """`records` as for the batch form. GPS and IMU come as one union, keyed by session."""
-    return records.groupBy("session_key").transformWithStateInPandas(LapMachine(profile), OUTPUT, "append", "none")
+def laps_stream(records: DataFrame, profile: Profile = Profile(), delay: str = "10 seconds") -> DataFrame:
+    """`records` as for the batch form. GPS and IMU come as one union, keyed by session. With a column `arrived_us`, whose
+    watermark drops nothing that comes in its turn, silent sessions are forgotten; without one they are kept."""
+    if "arrived_us" not in records.columns:
+        return records.groupBy("session_key").transformWithStateInPandas(LapMachine(profile), OUTPUT, "append", "none")
+    timed = records.withColumn("arrival", F.timestamp_micros("arrived_us")).withWatermark("arrival", delay)
+    return timed.groupBy("session_key").transformWithStateInPandas(LapMachine(profile), OUTPUT, "append", "eventTime")

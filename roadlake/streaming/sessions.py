@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,24 @@ KEYS = ["session", "device"]
 FORGET_MS = 24 * 3_600_000
 OUTPUT = "session string, device string, first_us bigint, last_us bigint, can_frames bigint, records bigint, ended boolean, late bigint"
 
+END, CAN = 1, 2
+
+
+def in_time_order(frames):
+    """(times, kinds, last arrival in ms) of a key's records, which come as several frames in no order of time: 17 bytes a
+    record are kept of them until the last has come."""
+    parts, clock = [], -1
+    for pdf in frames:
+        if len(pdf):
+            clock = max(clock, int(pdf["arrived_us"].max()) // 1000)
+            pdf = pdf[pdf["kind"] != TICK]
+            parts.append((pdf["t_us"].to_numpy(np.int64), pdf["seq"].to_numpy(np.int64), np.select([pdf["kind"] == "session_end", pdf["kind"] == "can"], [END, CAN]).astype(np.int8)))
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int8), clock
+    t, seq, kind = (np.concatenate(p) for p in zip(*parts))
+    order = np.lexsort((seq, t))
+    return t[order], kind[order], clock
+
 
 class SessionClose(StatefulProcessor):
     """A small running summary per session, in the order of its records.
@@ -34,23 +53,21 @@ class SessionClose(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         first, last, can, records, ended, arrived, done = self._load()
         out, late = [], 0
-        for pdf in sorted((p for p in rows if len(p)), key=lambda p: p["t_us"].iloc[0]):
-            arrived = max(arrived, int(pdf["arrived_us"].max()) // 1000)
-            pdf = pdf[pdf["kind"] != TICK].sort_values(["t_us", "seq"])
-            if done or not len(pdf):
-                late += len(pdf)
-                continue
-            t = pdf["t_us"]
-            over = (pdf["kind"] == "session_end").cummax() | ended
-            before = t.shift(fill_value=last if last is not None else int(t.iloc[0]))
-            limit = over.shift(fill_value=ended).map({True: END_QUIET_MS, False: IDLE_MS}) * 1000
-            silent = (t - before >= limit).to_numpy()
-            n = int(silent.argmax()) if silent.any() else len(pdf)
+        t, kind, clock = in_time_order(rows)
+        arrived = max(arrived, clock)
+        if done:
+            late = len(t)
+        elif len(t):
+            over = np.logical_or.accumulate(kind == END) | ended
+            before = np.concatenate([[last if last is not None else t[0]], t[:-1]])
+            limit = np.where(np.concatenate([[ended], over[:-1]]), END_QUIET_MS, IDLE_MS) * 1000
+            silent = t - before >= limit
+            n = int(silent.argmax()) if silent.any() else len(t)
             if n:
-                first, last = int(t.iloc[0]) if first is None else min(first, int(t.iloc[0])), int(t.iloc[n - 1]) if last is None else max(last, int(t.iloc[n - 1]))
-                can, records, ended = can + int((pdf["kind"].iloc[:n] == "can").sum()), records + n, bool(over.iloc[n - 1])
-            if n < len(pdf):
-                done, late = True, late + len(pdf) - n
+                first, last = (int(t[0]), int(t[n - 1])) if first is None else (min(first, int(t[0])), max(last, int(t[n - 1])))
+                can, records, ended = can + int((kind[:n] == CAN).sum()), records + n, bool(over[n - 1])
+            if n < len(t):
+                done, late = True, len(t) - n
                 out.append((first, last, can, records, ended, 0))
         if late:
             out.append((None, None, None, None, None, late))
