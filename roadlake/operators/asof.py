@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roadlake.operators.ordered import HOUR_US, first_known, last_known, scan
 
 
-def _bracket(
+def bracket(
     grid: DataFrame, samples: DataFrame, keys: list[str], time: str, tie: str, value: Column, chunk: int, grid_first: bool
 ) -> DataFrame:
     """Every grid row with the sample before and after it (structs of time and value).
@@ -30,13 +30,13 @@ def _bracket(
 
 def hold(grid: DataFrame, samples: DataFrame, keys: list[str], time: str, tie: str, value: Column, out: str, chunk: int = HOUR_US) -> DataFrame:
     """The latest sample at or before each grid time; null before the first."""
-    rows = _bracket(grid, samples, keys, time, tie, value, chunk, grid_first=False)
+    rows = bracket(grid, samples, keys, time, tie, value, chunk, grid_first=False)
     return rows.withColumn(out, F.col("before.v")).drop("before", "after")
 
 
 def interpolate(grid: DataFrame, samples: DataFrame, keys: list[str], time: str, tie: str, value: Column, out: str, chunk: int = HOUR_US) -> DataFrame:
     """The value between the samples around each grid time, clamped to the first and last sample."""
-    rows = _bracket(grid, samples, keys, time, tie, value, chunk, grid_first=False)
+    rows = bracket(grid, samples, keys, time, tie, value, chunk, grid_first=False)
     a, b = F.col("before"), F.col("after")
     between = a["v"] + (F.col(time) - a["t"]) / F.nullif(b["t"] - a["t"], F.lit(0)) * (b["v"] - a["v"])
     return rows.withColumn(out, F.when(a.isNull(), b["v"]).when(b.isNull(), a["v"]).otherwise(F.coalesce(between, a["v"]))).drop("before", "after")
@@ -44,7 +44,7 @@ def interpolate(grid: DataFrame, samples: DataFrame, keys: list[str], time: str,
 
 def nearest(grid: DataFrame, samples: DataFrame, keys: list[str], time: str, tie: str, value: Column, out: str, chunk: int = HOUR_US) -> DataFrame:
     """The sample nearest in time, the earlier on a tie, with `<out>_gap`, its distance."""
-    rows = _bracket(grid, samples, keys, time, tie, value, chunk, grid_first=True)
+    rows = bracket(grid, samples, keys, time, tie, value, chunk, grid_first=True)
     back, ahead = F.col(time) - F.col("before.t"), F.col("after.t") - F.col(time)
     pick = F.when(F.col("after").isNull() | (back <= ahead), F.col("before")).otherwise(F.col("after"))
     return rows.withColumn("_p", pick).withColumn(out, F.col("_p.v")).withColumn(f"{out}_gap", F.abs(F.col("_p.t") - F.col(time))).drop("before", "after", "_p")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.functions.rounding import half_even
+from roadlake.operators.asof import bracket
 from roadlake.operators.ordered import HOUR_US, next_, number_runs, scan
 from roadlake.session import cut_lineage
 
@@ -17,12 +18,34 @@ WRAP_MIN_M = 50.0
 def split_laps(positions: DataFrame, order: list[str], keys: list[str] = KEYS, chunk: int = HOUR_US) -> DataFrame:
     """Add `lap`: a new one where arc length falls by more than 0.4 of the track, at least 50 m. The track's length is
     the greatest length, or position without one, over the whole session."""
+    return _lapped(positions, order, keys, chunk).drop("_length")
+
+
+def _lapped(positions: DataFrame, order: list[str], keys: list[str], chunk: int) -> DataFrame:
     own = F.coalesce(F.nullif("track_length_m", F.lit(0.0)), F.col("s_m"))
     length = positions.groupBy(*keys).agg(F.max(own).alias("_length"))
     rows = positions.join(length, keys)
     value = F.struct("s_m", F.greatest(F.col("_length") * WRAP_SHARE, F.lit(WRAP_MIN_M)).alias("wrap"))
-    numbered = number_runs(rows, keys, order, value, lambda p, c: p["s_m"] - c["s_m"] > c["wrap"], "lap", chunk)
-    return numbered.drop("_length", "lap_prev")
+    return number_runs(rows, keys, order, value, lambda p, c: p["s_m"] - c["s_m"] > c["wrap"], "lap", chunk).drop("lap_prev")
+
+
+def place_samples(samples: DataFrame, positions: DataFrame, order: list[str], keys: list[str] = KEYS, chunk: int = HOUR_US, max_gap_us: int = 5_000_000) -> DataFrame:
+    """`s_m` and `lap` for every sample of a faster channel (keys, t_us and any other columns), between the fixes around it.
+
+    Arc length is a circle, so it is unwrapped before it is interpolated: the fix after the start line counts from the
+    line on, and what lies beyond the line belongs to the next lap. A sample at the line itself begins the lap. Both are
+    null before the first fix, after the last one, and between fixes more than `max_gap_us` apart. One union and one scan
+    by time; no pair of a sample and a fix is formed."""
+    fixes = _lapped(positions.where(F.col("s_m").isNotNull()), order, keys, chunk)
+    rows = bracket(samples, fixes, keys, "t_us", order[-1], F.struct("s_m", "lap", "_length"), chunk, grid_first=False)
+    a, b = F.col("before"), F.col("after")
+    over = b["v"]["lap"] - a["v"]["lap"]
+    length = a["v"]["_length"]
+    share = (F.col("t_us") - a["t"]) / (b["t"] - a["t"])
+    ahead = a["v"]["s_m"] + share * (b["v"]["s_m"] + over * length - a["v"]["s_m"])
+    known = (b["t"] - a["t"] <= max_gap_us) & (b["t"] > a["t"])
+    crossed = (over > 0) & (ahead >= length)
+    return rows.withColumn("s_m", F.when(known, F.when(crossed, ahead - over * length).otherwise(ahead))).withColumn("lap", F.when(known, F.when(crossed, b["v"]["lap"]).otherwise(a["v"]["lap"]))).drop("before", "after")
 
 
 def lap_table(laps: DataFrame, order: list[str], keys: list[str] = KEYS) -> DataFrame:

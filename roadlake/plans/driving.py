@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from roadlake.operators import asof, device, lap_machine, laps, routes, tracks
 from roadlake.operators.ordered import DAY_US
+from roadlake.session import cut_lineage
 from roadlake.plans.registry import even_sql, q4, query, s4
 from roadlake.plans.views import TRACK_POINTS, events, table, v_gps, v_signal, v_state, v_trackpos
 from roadlake.sources import geojson
@@ -156,6 +157,22 @@ def w2(spark, sf):
     return laps.split_laps(v_trackpos(spark, sf), ORDER, chunk=HALF_MONTH).select("event_id", "session", "lap")
 
 
+@query(
+    "x6_sample_positions",
+    f"""WITH {_LAPS}, g AS (SELECT event_id, 'u'||user_id AS session, epoch_us(ts)+1800000000 AS t_us FROM events),
+    a AS (SELECT g.*, p.t_us AS ta, p.s_m AS sa, p.lap AS la FROM g ASOF LEFT JOIN lp p ON g.session=p.session AND g.t_us>=p.t_us),
+    b AS (SELECT a.*, p.t_us AS tb, p.s_m AS sb, p.lap AS lb FROM a ASOF LEFT JOIN lp p ON a.session=p.session AND a.t_us<p.t_us),
+    u AS (SELECT *, CASE WHEN tb-ta<=172800000000 THEN sa+(t_us-ta)/(tb-ta)*(sb+(lb-la)*1000.0e0-sa) END AS ahead FROM b)
+    SELECT event_id, session, {s4('CASE WHEN lb>la AND ahead>=1000.0e0 THEN ahead-(lb-la)*1000.0e0 ELSE ahead END')} AS s_m, CAST(CASE WHEN ahead IS NOT NULL THEN CASE WHEN lb>la AND ahead>=1000.0e0 THEN lb ELSE la END END AS BIGINT) AS lap FROM u""",
+    ("v_trackpos",),
+)
+def x6(spark, sf):
+    """A sample half an hour after every event, between the fixes around it; gaps of more than two days stay open."""
+    samples = events(spark, sf).select("event_id", F.concat(F.lit("u"), "user_id").alias("session"), (F.col("t_us") + 1_800_000_000).alias("t_us"))
+    out = laps.place_samples(samples, v_trackpos(spark, sf), ORDER, chunk=HALF_MONTH, max_gap_us=172_800_000_000)
+    return out.select("event_id", "session", q4(F.col("s_m")).alias("s_m"), "lap")
+
+
 @query("w3_lap_summary", f"WITH {_LAPS} SELECT session, CAST(lap AS BIGINT) AS lap, t0 AS started_us, t1 AS ended_us, n AS samples, (t1-t0)/1e6 AS duration_s FROM lt", ("v_trackpos",))
 def w3(spark, sf):
     numbered = laps.split_laps(v_trackpos(spark, sf), ORDER, chunk=HALF_MONTH)
@@ -205,7 +222,7 @@ def w13(spark, sf):
 # ---- routes ----
 
 _ROUTE = """
-  rt AS (SELECT session, device, event_id, t_us, round_even((t_us - min(t_us) OVER (PARTITION BY session, device))/1e6,1) AS s, lat, lon, coalesce(speed_kph, gps_speed_kph) AS kph, rpm, gear, prndl, brake_on, brake_kpa FROM v_state),
+  rt AS (SELECT session, device, event_id, t_us, round_even((t_us - min(t_us) OVER (PARTITION BY session, device))/1e6,1) AS s, lat, lon, coalesce(speed_kph, gps_speed_kph) AS kph, rpm, throttle_pct, gear, prndl, brake_on, brake_kpa FROM v_state),
   loc AS (SELECT * FROM rt WHERE lat IS NOT NULL AND lon IS NOT NULL)"""
 
 
@@ -230,6 +247,32 @@ def w15(spark, sf):
     return out.select(*KEYS, "run", "band", "points", q4(F.col("from_s")).alias("from_s"), q4(F.col("to_s")).alias("to_s"), "south", "west", "north", "east")
 
 
+_BANDS = f"""
+  bd AS (SELECT 'speed_mph' AS coloured, session, device, t_us, event_id, s, CASE WHEN {even_sql('kph', 1)}<20*1.609344e0 THEN '<20' WHEN {even_sql('kph', 1)}<40*1.609344e0 THEN '20-40' WHEN {even_sql('kph', 1)}<55*1.609344e0 THEN '40-55' WHEN kph IS NOT NULL THEN '55+' END AS band FROM loc
+    UNION ALL SELECT 'speed_kph', session, device, t_us, event_id, s, CASE WHEN {even_sql('kph', 1)}<30 THEN '<30' WHEN {even_sql('kph', 1)}<60 THEN '30-60' WHEN {even_sql('kph', 1)}<90 THEN '60-90' WHEN kph IS NOT NULL THEN '90+' END FROM loc
+    UNION ALL SELECT 'throttle', session, device, t_us, event_id, s, CASE WHEN throttle_pct<10 THEN '<10%' WHEN throttle_pct<30 THEN '10-30%' WHEN throttle_pct<60 THEN '30-60%' WHEN throttle_pct IS NOT NULL THEN '60%+' END FROM loc
+    UNION ALL SELECT 'brake', session, device, t_us, event_id, s, CASE WHEN brake_kpa<20 THEN 'off' WHEN brake_kpa<70 THEN 'light' WHEN brake_kpa<110 THEN 'medium' WHEN brake_kpa<150 THEN 'firm' WHEN brake_kpa IS NOT NULL THEN 'hard' WHEN brake_on THEN 'on' ELSE 'off' END FROM loc
+    UNION ALL SELECT 'rpm', session, device, t_us, event_id, s, CASE WHEN {even_sql('rpm', 1)}<1500 THEN '<1500' WHEN {even_sql('rpm', 1)}<2500 THEN '1500-2500' WHEN {even_sql('rpm', 1)}<3500 THEN '2500-3500' WHEN rpm IS NOT NULL THEN '3500+' END FROM loc),
+  bn AS (SELECT * REPLACE (coalesce(band, 'no value') AS band) FROM bd),
+  bl AS (SELECT *, lag(s) OVER w AS ps, lag(band) OVER w AS pb FROM bn WINDOW w AS (PARTITION BY coloured, session, device ORDER BY t_us, event_id)),
+  br AS (SELECT *, sum(CASE WHEN ps IS NULL OR s-ps>5 OR band<>pb THEN 1 ELSE 0 END) OVER (PARTITION BY coloured, session, device ORDER BY t_us, event_id) AS run FROM bl),
+  bp AS (SELECT coloured, session, device, run, band, s FROM br UNION ALL SELECT coloured, session, device, run-1, pb, s FROM br WHERE ps IS NOT NULL AND s-ps<=5 AND band<>pb)"""
+
+
+@query(
+    "w15_route_bands",
+    f"WITH {_ROUTE}, {_BANDS} SELECT coloured, session, device, CAST(run AS BIGINT) AS run, band, count(*) AS points, {s4('min(s)')} AS from_s, {s4('max(s)')} AS to_s FROM bp GROUP BY ALL HAVING count(*)>=2",
+    ("v_state",),
+)
+def w15b(spark, sf):
+    """The other bands: speed in both units, throttle, brake, engine speed. The route is made once."""
+    rows, out = cut_lineage(routes.route_rows(v_state(spark, sf))), None
+    for coloured, by, imperial in (("speed_mph", "speed", True), ("speed_kph", "speed", False), ("throttle", "throttle", True), ("brake", "brake", True), ("rpm", "rpm", True)):
+        runs = routes.band_runs(routes.band_points(rows, by, ORDER, imperial, chunk=120_000_000)).select(F.lit(coloured).alias("coloured"), *KEYS, "run", "band", "points", q4(F.col("from_s")).alias("from_s"), q4(F.col("to_s")).alias("to_s"))
+        out = runs if out is None else out.unionByName(runs)
+    return out
+
+
 @query(
     "v8_trip_meter",
     f"""WITH a AS (SELECT session, device, lat, lon, event_id%7*0.5e0 AS v, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon FROM v_gps WHERE event_id%40<=25 AND event_id%9<>0 WINDOW w AS (PARTITION BY session, device ORDER BY t_us, event_id))

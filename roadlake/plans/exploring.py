@@ -216,6 +216,18 @@ def a15o(spark, sf):
     return inventory.repeat_order(bus_messages(spark, sf), "position", 10_000_000)
 
 
+@query(
+    "a15_filled_share",
+    f"""WITH f AS (SELECT 'c'||(o_custkey%50) AS session, CASE WHEN o_custkey%50<>7 THEN o_orderkey%100 ELSE 0 END AS imu, o_orderkey%100*(o_orderkey%4)//4 AS imu_missing FROM orders)
+    SELECT session, CAST(sum(imu) AS BIGINT) AS imu_samples, CAST(sum(imu_missing) AS BIGINT) AS filled, {s4('sum(imu_missing)/nullif(CAST(sum(imu) AS DOUBLE), 0)')} AS filled_share FROM f GROUP BY 1""",
+)
+def a15f(spark, sf):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    frames = table(spark, sf, "orders").select(
+        F.concat(F.lit("c"), c % 50).alias("session"), F.when(c % 50 != 7, k % 100).otherwise(0).alias("imu"), F.floor(k % 100 * (k % 4) / 4).alias("imu_missing"))
+    return inventory.filled_share(frames).withColumn("filled_share", q4(F.col("filled_share")))
+
+
 # ---- map elements: a way per order, relations per customer ----
 
 
@@ -373,8 +385,7 @@ def s9(spark, sf):
     frames = can.select((F.floor(F.col("t_us") / 1000) % 4_294_967_296).alias("timestamp_ms"), "can_id", dlc.alias("dlc"),
                         F.substring(F.col("data_hex"), F.lit(1), dlc * 2).alias("data_hex"), (F.col("can_id") > 515).alias("is_extended"))
     folder = work_dir(spark)
-    written = can_log.write_can_log(frames, folder)
-    written.write.format("noop").mode("overwrite").save()
+    can_log.write_can_log(frames, folder)
     log = can_log.read_can_log(spark, f"{folder}/*.bin")
     return log.groupBy((F.col("can_id") % 1000).alias("session_no")).agg(
         F.count("*").alias("frames"), F.sum("timestamp_ms").alias("total_ms"), F.min("data_hex").alias("first_hex"), F.max("data_hex").alias("last_hex"))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import re
 import uuid
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 RECORD_BYTES = 17
 EXTENDED = 0x80000000
@@ -42,37 +43,88 @@ def read_can_log(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _pack(pdf):
-    rec = np.zeros(len(pdf), dtype=[("ms", ">u4"), ("id", ">u4"), ("dlc", "u1"), ("data", "S8")])
-    rec["ms"], rec["dlc"] = pdf["timestamp_ms"].to_numpy(), pdf["dlc"].to_numpy()
-    rec["id"] = pdf["can_id"].to_numpy().astype(np.int64) | np.where(pdf["is_extended"].to_numpy(), EXTENDED, 0)
-    rec["data"] = [bytes.fromhex(h)[:8] for h in pdf["data_hex"]]
-    return rec.tobytes()
+RECORD = np.dtype([("ms", ">u4"), ("id", ">u4"), ("dlc", "u1"), ("data", "V8")])
+COLUMNS = "timestamp_ms bigint, can_id bigint, dlc int, data binary, is_extended boolean"
 
 
-def write_can_log(frames: DataFrame, path: str) -> DataFrame:
-    """Write one log file per partition into a folder that every executor has mounted, and return (file, records).
+def _pack(batch: pa.RecordBatch) -> bytes:
+    record = np.zeros(batch.num_rows, RECORD)
+    record["ms"], record["dlc"] = batch.column("timestamp_ms").to_numpy(), batch.column("dlc").to_numpy()
+    record["id"] = batch.column("can_id").to_numpy() | np.where(np.asarray(batch.column("is_extended")), EXTENDED, 0)
+    record["data"] = np.frombuffer(b"".join(batch.column("data").to_pylist()), "V8")
+    return record.tobytes()
 
-    Spark has no writer for bare fixed-width records, so tasks write files themselves; a path of another file system
-    than the machines' own is refused rather than written beside it.
 
-    A task writes under a temporary name and renames at its end; the name is the partition's, so a task run again
-    replaces its file."""
+@dataclass
+class Written(WriterCommitMessage):
+    name: str
+    part: int
+    records: int
 
-    if ":" in path and not path.startswith("file:"):
-        raise ValueError(f"{path} is not a mounted folder")
-    path = re.sub("^file:/+", "/", path)
 
-    def write(batches):
-        os.makedirs(path, exist_ok=True)
-        name = f"{path}/part-{TaskContext.get().partitionId():05d}.bin"
-        temporary, count = f"{path}/.{uuid.uuid4().hex}", 0
-        with open(temporary, "wb") as out:
-            for pdf in batches:
-                out.write(_pack(pdf))
-                count += len(pdf)
-        os.replace(temporary, name)
-        yield pd.DataFrame({"file": [name], "records": [count]})
+class CanLogWriter(DataSourceArrowWriter):
+    """A file per task under the job's own temporary folder; the commit moves the files of the tasks that count to their
+    names. What a failed or repeated task has left goes with that folder, whether the job commits or aborts."""
 
-    columns = ["timestamp_ms", "can_id", "dlc", "data_hex", "is_extended"]
-    return frames.select(*columns).mapInPandas(write, "file string, records long")
+    def __init__(self, uri: str, overwrite: bool):
+        self.uri, self.overwrite, self.job = uri.rstrip("/"), overwrite, uuid.uuid4().hex
+
+    def _place(self) -> tuple[fs.FileSystem, str]:
+        return fs.FileSystem.from_uri(self.uri)
+
+    def write(self, iterator):
+        system, folder = self._place()
+        name, records = f"{folder}/_temporary/{self.job}/{uuid.uuid4().hex}", 0
+        system.create_dir(f"{folder}/_temporary/{self.job}", recursive=True)
+        with system.open_output_stream(name) as out:
+            for batch in iterator:
+                out.write(_pack(batch))
+                records += batch.num_rows
+        return Written(name, TaskContext.get().partitionId(), records)
+
+    def commit(self, messages):
+        system, folder = self._place()
+        before = [f.path for f in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if f.base_name.endswith(".bin")] if self.overwrite else []
+        for m in messages:
+            if m and m.records:
+                system.move(m.name, f"{folder}/part-{m.part:05d}-{self.job}.bin")
+        for path in before:
+            system.delete_file(path)
+        self._clean(system, folder)
+
+    def abort(self, messages):
+        self._clean(*self._place())
+
+    def _clean(self, system, folder):
+        if system.get_file_info(f"{folder}/_temporary/{self.job}").type == fs.FileType.Directory:
+            system.delete_dir(f"{folder}/_temporary/{self.job}")
+
+
+class CanLogSource(DataSource):
+    """`df.write.format("can_log").mode("append").save(uri)` for frames as `fixed_width` gives them. The URI is one that
+    pyarrow opens: a mounted folder, hdfs, s3 or gs."""
+
+    @classmethod
+    def name(cls):
+        return "can_log"
+
+    def schema(self):
+        return COLUMNS
+
+    def writer(self, schema, overwrite):
+        path = self.options["path"]
+        return CanLogWriter(path if ":" in path else f"file://{path}", overwrite)
+
+
+def fixed_width(frames: DataFrame) -> DataFrame:
+    """Frames with their data as eight bytes, cut or filled with zeros."""
+    data = F.unhex(F.rpad(F.substring("data_hex", 1, 16), 16, "0"))
+    return frames.select(F.col("timestamp_ms").cast("bigint").alias("timestamp_ms"), F.col("can_id").cast("bigint").alias("can_id"), F.col("dlc").cast("int").alias("dlc"), data.alias("data"), "is_extended")
+
+
+def write_can_log(frames: DataFrame, path: str, mode: str = "append") -> None:
+    """Write the log: one file of whole records for each task that has rows, all of them or none. Frames: timestamp_ms, can_id,
+    dlc, data_hex, is_extended, none of them null. A task that fails or runs twice leaves nothing behind; in mode `overwrite` the
+    files of before go when the new ones are there."""
+    frames.sparkSession.dataSource.register(CanLogSource)
+    fixed_width(frames).write.format("can_log").mode(mode).save(path)

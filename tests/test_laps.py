@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadlake.operators.lap_machine import Profile, laps
+from roadlake.operators.laps import place_samples
 from roadlake.streaming.laps import laps_stream
 from roadlake.streaming.run import replayed, run_to_table
 
@@ -50,3 +51,14 @@ def test_both_agree(records):
     columns = ["session_key", "epoch", "lap_number", "lap_start_ms", "lap_end_ms", F.round("distance_m", 1).alias("distance_m")]
     batch = {tuple(r) for r in laps(records, PROFILE).select(*columns).collect()}
     assert batch == {tuple(r) for r in run_to_table(laps_stream(replayed(records, "t_ms", batches=7), PROFILE)).select(*columns).collect()}
+
+
+def test_samples_between_fixes_across_the_line(spark):
+    """Fixes each second on a track of 100 m, samples between them; the line is crossed between the second and third fix."""
+    fixes = spark.createDataFrame([("s", k * 1_000_000, k, m, 100.0) for k, m in ((0, 10.0), (1, 90.0), (2, 30.0), (3, 80.0), (10, 90.0), (11, 95.0))], "session string, t_us long, event_id long, s_m double, track_length_m double")
+    times = [-1, 0, 500_000, 1_200_000, 1_250_000, 1_500_000, 2_999_999, 4_000_000, 10_500_000, 11_000_000]
+    samples = spark.createDataFrame([("s", t, 7.0) for t in times] + [("none", 0, 1.0)], "session string, t_us long, ax double")
+    got = {(r.session, r.t_us): (None if r.s_m is None else round(r.s_m, 4), r.lap, r.ax) for r in place_samples(samples, fixes, ["t_us", "event_id"]).collect()}
+    assert got == {
+        ("s", -1): (None, None, 7.0), ("s", 0): (10.0, 1, 7.0), ("s", 500_000): (50.0, 1, 7.0), ("s", 1_200_000): (98.0, 1, 7.0), ("s", 1_250_000): (0.0, 2, 7.0), ("s", 1_500_000): (10.0, 2, 7.0),
+        ("s", 2_999_999): (80.0, 2, 7.0), ("s", 4_000_000): (None, None, 7.0), ("s", 10_500_000): (92.5, 2, 7.0), ("s", 11_000_000): (None, None, 7.0), ("none", 0): (None, None, 1.0)}
