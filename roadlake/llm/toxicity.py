@@ -146,18 +146,34 @@ def alike(text: Column) -> Column:
     return F.coalesce(F.array_min(F.transform(sentences, lambda x: F.xxhash64(x))), F.xxhash64(text))
 
 
-def fit(labelled: DataFrame, toxic_texts: int = 4000, other_texts: int = 16000, odds: float = 2.5, most_terms: int = 4000) -> Lexicon:
+def hash_share(counts: dict[int, int], most: dict[int, int]) -> Column:
+    """Whether a row's hashed id is among the smallest of its label, so many that about `most` of `counts` rows are."""
+    share = {k: min(1 << HASH_BITS, (n << HASH_BITS) // max(1, counts.get(k, 0))) for k, n in most.items()}
+    return F.xxhash64("doc_id").bitwiseAND((1 << HASH_BITS) - 1) < F.when(F.col("toxic") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))
+
+
+def sampled(docs: DataFrame, labels: DataFrame, toxic_texts: int = 4000, other_texts: int = 16000) -> DataFrame:
+    """(doc_id, text, toxic) of about `toxic_texts` toxic and `other_texts` other documents, those of the smallest hashed ids.
+
+    They are chosen from `labels` (doc_id, toxic) alone, so texts are read but only the chosen ones move. A document labelled
+    more than once is one row, toxic if any label says so; labels other than 0 and 1, null ids and ids without a document
+    are left out; repeated documents are rows each."""
+    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    chosen = common.written(known.where(hash_share(counts, {1: toxic_texts, 0: other_texts})))
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about as many ids as texts are asked for
+
+
+def fit(labelled: DataFrame, toxic_texts: int = 4000, other_texts: int = 16000, odds: float = 2.5) -> Lexicon:
     """A lexicon from (doc_id, text, toxic): about `toxic_texts` and `other_texts` rows, those of the smallest hashed ids. The
-    rows are chosen where they are read, by the share of the hashes that gives so many.
+    rows are chosen where they are read, by the share of the hashes that gives so many. Repeated ids are rows each.
 
-    Terms need a dozen toxic texts of the sample (fewer, down to three, if it holds few) and log odds of `odds`; the
-    `most_terms` most frequent are kept. The driver gets terms, pairs and one pair of numbers per sampled text.
+    Terms need a dozen toxic texts of the sample (fewer, down to three, if it holds few) and log odds of `odds`; all that
+    have them are kept. The driver gets terms, pairs and one pair of numbers per sampled text.
     """
     known = labelled.where(F.col("toxic").isin(0, 1)).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
     there = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    share = {k: min(1 << HASH_BITS, (most << HASH_BITS) // max(1, there.get(k, 0))) for k, most in ((1, toxic_texts), (0, other_texts))}
-    place = F.xxhash64("doc_id").bitwiseAND((1 << HASH_BITS) - 1)
-    sample = known.where(place < F.when(F.col("toxic") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
+    sample = known.where(hash_share(there, {1: toxic_texts, 0: other_texts}))
     sample = cut_lineage(sample.withColumn("alike", alike(F.col("text"))).dropDuplicates(["alike", "toxic"]))
     size = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_other = size.get(1, 0), size.get(0, 0)
@@ -166,10 +182,9 @@ def fit(labelled: DataFrame, toxic_texts: int = 4000, other_texts: int = 16000,
     support = max(3, min(12, n_toxic // 10))
     summed = lambda df, *key: df.groupBy(*key).agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     terms = summed(sample.mapInArrow(_terms, "term string, toxic long, other long"), "term").where((F.col("toxic") >= support) & (F.col("toxic") * n_other > math.exp(odds) * n_toxic * F.col("other")))
-    weights = smallest_lexicon(terms.orderBy(F.desc("toxic"), "term").limit(20 * most_terms).collect(), n_toxic, n_other, odds)
-    weights = dict(list(weights.items())[:most_terms])
+    weights = smallest_lexicon(terms.collect(), n_toxic, n_other, odds)
     pairs = summed(sample.mapInArrow(lambda it: _pairs(weights, it), "first string, second string, toxic long, other long"), "first", "second").where((F.col("other") >= 3) & (F.col("other") * n_toxic > 5 * F.col("toxic") * n_other))
-    exceptions = frozenset((r.first_, r.second) for r in pairs.withColumnRenamed("first", "first_").orderBy(F.desc("other"), "first_", "second").limit(most_terms).collect())
+    exceptions = frozenset((r.before, r.after) for r in pairs.select(F.col("first").alias("before"), F.col("second").alias("after")).collect())
     lexicon = Lexicon(weights, exceptions, 0.0, (0.0, 0.0))
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import numpy as np
@@ -92,3 +93,25 @@ def test_toxicity_of_awkward_rows(spark):
     assert nothing.weights == {} and {r.matched_weight for r in toxicity.toxicity(docs, nothing).collect()} == {0.0}
     only = toxicity.fit(spark.createDataFrame([(1, None, 1), (2, "", 0), (3, "x", None), (1, "bad worse", 1)], "doc_id long, text string, toxic int"))
     assert isinstance(only, toxicity.Lexicon)
+
+
+def test_sample_is_chosen_from_labels(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", "x", 5) for i in range(50)] + [(3, "again", "x", 5), (None, "none", "x", 5)], "doc_id long, text string, lang string, toxic int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(4, 1), (6, 0), (None, 1), (7, None), (8, 2)], "doc_id long, toxic int")
+    rows = toxicity.sampled(docs, labels).collect()
+    assert sorted((r.doc_id, r.toxic) for r in rows) == sorted([(i, 1 if i == 4 else i % 2) for i in range(50)] + [(3, 1)])
+    assert 0 < toxicity.sampled(docs, labels, 10, 10).count() < 40
+    assert toxicity.sampled(docs, labels.limit(0)).count() == 0
+
+
+def test_no_term_is_cut(spark):
+    """Five thousand words, each in six of sixty toxic texts, are five thousand terms."""
+    letters = "bcdfghjkmn"
+    terms = ["".join(p) for p in itertools.product(letters, repeat=4)][:5000]
+    texts = [[] for _ in range(60)]
+    for k, t in enumerate(terms):
+        for j in range(6):
+            texts[(k * 7 + j * 11) % 60].append(t + "q")
+    rows = [(i, " ".join(t), 1) for i, t in enumerate(texts)] + [(100 + i, f"other words of text {i} zzz{i}", 0) for i in range(400)]
+    found = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    assert set(found.weights) == set(terms)
