@@ -322,13 +322,15 @@ def dimensions(spark: SparkSession, sf: str):
     return sessions, vehicles, dbcs
 
 
-def resolved(spark: SparkSession, sf: str) -> DataFrame:
-    can = v_can(spark, sf)
-    raw = can.select(
+def raw_frames(spark: SparkSession, sf: str) -> DataFrame:
+    return v_can(spark, sf).select(
         F.when(F.col("session") == "s9", "proto-live").otherwise(F.col("session")).alias("session"), "device", "t_us", "seq", "can_id",
         F.when(F.col("seq") % 29 == 0, "zz").when(F.col("seq") % 6 == 0, F.substring("data_hex", 1, 6)).otherwise(F.col("data_hex")).alias("data_hex"),
     )
-    return decode.resolve_dbc(raw, *dimensions(spark, sf))
+
+
+def resolved(spark: SparkSession, sf: str) -> DataFrame:
+    return decode.resolve_dbc(raw_frames(spark, sf), *dimensions(spark, sf))
 
 
 _RESOLVED_SQL = """

@@ -9,12 +9,12 @@ from roadlake.operators.lap_machine import Profile
 from roadlake.operators.route import route
 from roadlake.operators.speed import average_speed_stream
 from roadlake.operators import sessions as S
-from roadlake.plans import drives, driving, signals, views
+from roadlake.plans import decoding, drives, driving, signals, views
 from roadlake.plans.driving import _LAP_SQL
 from roadlake.plans.registry import q4, query, s4
 from roadlake.plans.views import table
 from roadlake.sources import archive, upsert
-from roadlake.streaming import buckets, carry, dimension, frames, laps, rates, rollup, sessions, windows
+from roadlake.streaming import buckets, carry, decode, dimension, frames, laps, rates, rollup, sessions, windows
 from roadlake.streaming.run import large_state, replayed, run_to_table, work_dir
 
 
@@ -289,3 +289,33 @@ def a8s(spark, sf):
     tracks = table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("track_id"))
     out = S.known_tracks(spark.read.parquet(f"{folder}/out"), tracks)
     return out.select(*S.KEYS, "user_sub", *S.START_FIELDS, "ended_us", "end_reason", "frames_expected", "frames_received", "duplicates", "last_frame_received_us")
+
+
+def _decoded_stream(spark, sf):
+    folder = work_dir(spark)
+    dimensions = decode.Dimensions(*[(lambda session, k=k: decoding.dimensions(session, sf)[k]) for k in range(3)], lambda session: session.createDataFrame(decoding.DBC_ROWS, decoding._DBC_SCHEMA))
+    decode.decode_stream(replayed(decoding.raw_frames(spark, sf), "t_us"), dimensions, folder, f"{folder}/log").trigger(availableNow=True).start().awaitTermination()
+    return folder
+
+
+@query(
+    "st_c1_decode",
+    f"""WITH {decoding._DECODE_SQL} SELECT session, dbc, can_id, signal, count(*) AS n, {s4("sum(CASE WHEN signal='Whole' THEN value/1e15 ELSE value END)")} AS total FROM dec GROUP BY ALL""",
+    ("v_can",),
+)
+def decoded(spark, sf):
+    rows = spark.read.parquet(f"{_decoded_stream(spark, sf)}/{decode.SIGNALS}")
+    value = F.when(F.col("signal") == "Whole", F.col("value") / 1e15).otherwise(F.col("value"))
+    return rows.groupBy("session", "dbc", "can_id", "signal").agg(F.count("*").alias("n"), q4(F.sum(value)).alias("total"))
+
+
+@query(
+    "st_c3_outcomes",
+    f"""WITH {decoding._RESOLVED_SQL} SELECT session, CASE WHEN data_hex='zz' THEN 'unreadable' WHEN no_dbc='session not found' THEN 'dropped' WHEN no_dbc IS NOT NULL THEN 'discovery'
+      WHEN need IS NULL OR nb<need THEN 'unknown' ELSE 'decoded' END AS outcome,
+      CASE WHEN data_hex='zz' THEN NULL WHEN no_dbc IS NOT NULL THEN no_dbc WHEN need IS NULL THEN 'no_dbc_message' WHEN nb<need THEN 'layout_mismatch' END AS reason,
+      count(*) AS n FROM outc GROUP BY ALL""",
+    ("v_can",),
+)
+def outcomes(spark, sf):
+    return spark.read.parquet(f"{_decoded_stream(spark, sf)}/{decode.OUTCOMES}").groupBy("session", "outcome", "reason").agg(F.count("*").alias("n"))

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
 from roadlake.operators import sessions as S
-from roadlake.plans import drives
+from roadlake.plans import decoding, drives
 from roadlake.sources import upsert
-from roadlake.streaming import carry, dimension, rates, rollup, sessions
+from roadlake.streaming import carry, decode, dimension, rates, rollup, sessions
 from roadlake.streaming.run import large_state, replayed, run_to_table, work_dir
 
 SF = "/root/testdata/sf0.001"
@@ -103,3 +103,21 @@ def test_roll_up_of_redelivered_messages(spark):
     assert before == want and table.agg(F.sum("duplicates")).first()[0] == S.roll_up(twice).agg(F.sum("duplicates")).first()[0]
     upsert.upsert_parquet(f"{folder}/out", spark.read.parquet(f"{folder}/out"), S.KEYS, ["version"], "device", guard="version")
     assert {tuple(r) for r in spark.read.parquet(f"{folder}/out").select(*columns).collect()} == before
+
+
+def test_decode_reads_dimensions_for_every_micro_batch(spark):
+    """A session that is registered between two micro-batches is decoded from the second on; a batch run again replaces itself."""
+    folder = work_dir(spark)
+    tables = {"sessions": ("session string, device string, vehicle_id long", []), "vehicles": ("vehicle_id long, dbc_id long", [(1, 1)]), "dbcs": ("dbc_id long, name string, parses boolean", [(1, "alpha", True)])}
+    for name, (ddl, rows) in tables.items():
+        spark.createDataFrame(rows, ddl).write.parquet(f"{folder}/{name}")
+    read = [(lambda session, n=n: session.read.schema(tables[n][0]).parquet(f"{folder}/{n}")) for n in tables]
+    dimensions = decode.Dimensions(*read, lambda session: session.createDataFrame(decoding.DBC_ROWS, decoding._DBC_SCHEMA))
+    frames = spark.createDataFrame([("s", "d", 513, "0001000200030004")], "session string, device string, can_id long, data_hex string")
+    decode.write_decoded(frames, 0, dimensions, folder)
+    spark.createDataFrame([("s", "d", 1)], tables["sessions"][0]).write.mode("append").parquet(f"{folder}/sessions")
+    for _ in range(2):
+        decode.write_decoded(frames, 1, dimensions, folder)
+    got = {(r.batch, r.outcome, r.reason) for r in spark.read.parquet(f"{folder}/outcomes").collect()}
+    assert got == {(0, "dropped", "session not found"), (1, "decoded", None)}
+    assert {(r.batch, r.signal, r.value) for r in spark.read.parquet(f"{folder}/signals").collect()} == {(1, "Part", 1.0), (1, "PartSwapped", 118.0)}
