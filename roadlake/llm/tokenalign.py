@@ -15,7 +15,6 @@ No row per token or link of a text is ever shuffled: what moves is distinct pair
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,8 +28,8 @@ from pyspark.sql import functions as F
 from . import common, tokens
 from .bytepair import packed, unpacked
 
-BLOCK_BYTES = 12 << 20
-BLOCKS_A_TASK = 2
+BLOCK_BYTES = 4 << 20
+BLOCKS_A_TASK = 6
 
 ALIGNED = pa.schema([
     ("block", pa.int64()), ("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")), ("groups_sha256", pa.string()),
@@ -49,15 +48,16 @@ class Vocabulary:
         self.lengths = np.array([len(t) for t in token_bytes], np.int64)
         self.spaced = np.array([t.startswith(b" ") for t in token_bytes])
 
-    def joined(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+    def gives(self, ids: list[int], raw: bytes) -> bool:
+        """Whether the tokens' bytes are the text's."""
+        return b"".join(map(self.bytes.__getitem__, ids)) == raw
 
 
 @lru_cache(maxsize=2)
 def byte_level(path: str) -> Vocabulary:
     """A byte-level vocabulary, for a space and the text."""
-    encode = tokens.encoding(path).encode_ordinary
-    return Vocabulary(lambda text: encode(" " + text), tokens.token_bytes(path))
+    encode = tokens.encoding(path).encode_to_numpy
+    return Vocabulary(lambda text: encode(" " + text, disallowed_special=()).astype("<i4"), tokens.token_bytes(path))
 
 
 @lru_cache(maxsize=2)
@@ -68,71 +68,111 @@ def pieces(path: str) -> Vocabulary:
     return Vocabulary(lambda text: model.encode([text], num_threads=1)[0], [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)])
 
 
-def align(a: list[int], b: list[int], length_a: np.ndarray, length_b: np.ndarray) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups of ids that cover the same bytes, and the pairs of ids whose bytes overlap, in order."""
-    ends_a, ends_b = length_a[a].cumsum().tolist(), length_b[b].cumsum().tolist()
-    groups, links, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-    while i < len(a):
-        links.append((a[i], b[j]))
-        end_a, end_b = ends_a[i], ends_b[j]
-        i, j = i + (end_a <= end_b), j + (end_b <= end_a)
-        if end_a == end_b:
-            groups.append((a[from_a:i], b[from_b:j]))
-            from_a, from_b = i, j
-    return groups, links
+class Aligner:
+    """Aligns windows, many at a time: since both sides of a window end together, windows laid end to end stay apart."""
+
+    def __init__(self, a: Vocabulary, b: Vocabulary):
+        self.lengths = (a.lengths, b.lengths)
+        # A token written out, and what follows it: another of its group, the group's other side, or the next group.
+        self.written = [f"{i}{sign}" for n, signs in ((len(a.bytes), ",|"), (len(b.bytes), ",;")) for sign in signs for i in range(n)]
+        self.first = np.cumsum([0, len(a.bytes), len(a.bytes), len(b.bytes)])
+        self.size = np.array([len(w) for w in self.written], np.int64)
+
+    def __call__(self, windows: list[tuple[bytes, bytes]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Each window's groups written out, its number of links, and the pairs that the links of all of them join, in order, as
+        one number each. A link is a stretch of bytes that no token's end divides, so it stands for one token on either side."""
+        ids = [np.frombuffer(b"".join([w[k] for w in windows]), "<i4") for k in (0, 1)]
+        counts = [np.array([len(w[k]) >> 2 for w in windows]) for k in (0, 1)]
+        ends = [length[i].cumsum() for length, i in zip(self.lengths, ids, strict=True)]
+        at = [np.zeros(int(ends[0][-1]) + 1, bool) for _ in ends]
+        for flags, end in zip(at, ends, strict=True):
+            flags[end] = True
+        links, shared = np.flatnonzero(at[0] | at[1]), np.flatnonzero(at[0] & at[1])
+        pairs = (ids[0][np.searchsorted(ends[0], links)].astype(np.int64) << 32) | ids[1][np.searchsorted(ends[1], links)]
+        window_ends = ends[0][counts[0].cumsum() - 1]
+        n_links = np.diff(np.searchsorted(links, window_ends, side="right"), prepend=0)
+        last = [at[1][ends[0]], at[0][ends[1]]]
+        order = np.argsort(np.concatenate([2 * np.searchsorted(shared, ends[0]), 2 * np.searchsorted(shared, ends[1]) + 1]), kind="stable")
+        names = np.concatenate([ids[k] + self.first[2 * k + last[k].astype(np.int64)] for k in (0, 1)])[order]
+        text = "".join([self.written[k] for k in names.tolist()])
+        cuts = [0, *self.size[names].cumsum()[(counts[0] + counts[1]).cumsum() - 1].tolist()]
+        return [text[i : j - 1] for i, j in zip(cuts, cuts[1:], strict=False)], n_links, pairs
+
+
+@lru_cache(maxsize=2)
+def aligner(path_a: str, path_b: str) -> Aligner:
+    return Aligner(byte_level(path_a), pieces(path_b))
+
+
+class Windows(dict):
+    """A window's number by its two id tuples, in the order in which they are first asked for; `fresh` has the latest."""
+
+    def __init__(self):
+        self.fresh: list[tuple[bytes, bytes]] = []
+
+    def __missing__(self, window: tuple[bytes, bytes]) -> int:
+        number = self[window] = len(self)
+        self.fresh.append(window)
+        return number
 
 
 class Block:
     """The texts of a block and the windows seen in them, each aligned once."""
 
-    def __init__(self, number: int, a: Vocabulary, b: Vocabulary):
-        self.number, self.a, self.b = number, a, b
-        self.known: dict[tuple[bytes, bytes], int] = {}  # a window's number by the two id tuples
+    def __init__(self, number: int, path_a: str, path_b: str):
+        self.number, self.a, self.b, self.align = number, byte_level(path_a), pieces(path_b), aligner(path_a, path_b)
+        self.known = Windows()
         self.shown: list[str] = []  # a window's groups, written out
-        self.n_groups, self.n_links, self.pair_numbers = array("q"), array("q"), array("I")
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.n_links, self.pairs, self.uses = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
         self.rows: list[tuple] = []
-        self.uses: list[np.ndarray] = []
         self.size = 0
 
-    def window(self, key: tuple[bytes, bytes]) -> int:
-        found = self.known.get(key)
-        if found is None:
-            found = self.known[key] = len(self.shown)
-            groups, links = align(np.frombuffer(key[0], "<i4").tolist(), np.frombuffer(key[1], "<i4").tolist(), self.a.lengths, self.b.lengths)
-            self.shown.append(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups))
-            self.n_groups.append(len(groups))
-            self.n_links.append(len(links))
-            self.pair_numbers.extend([self.pairs.setdefault(pair, len(self.pairs)) for pair in links])
-        return found
-
-    def add(self, doc_id: int | None, text: str | None) -> None:
+    def numbers(self, text: str | None) -> tuple[int, int, int, list[int]]:
+        """Tokens of either vocabulary, groups, and the windows in order; none of a text that has no tokens. The bytes of a
+        byte-level vocabulary's tokens are always the text's, as far as their number is."""
         raw = b" " + text.encode() if text else b""
         self.size += len(raw)
-        ids_a, ids_b = (self.a.encode(text), self.b.encode(text)) if text else ([], [])
-        if not ids_a or self.a.joined(ids_a) != raw or self.b.joined(ids_b) != raw:
-            self.rows.append((doc_id, 0, 0, 0, 0, "", None))
-            return
-        a, b = np.array(ids_a, "<i4"), np.array(ids_b, "<i4")
-        _, at_a, at_b = np.intersect1d(self.a.lengths[a].cumsum(), self.b.lengths[b].cumsum(), assume_unique=True, return_indices=True)
-        at_a, at_b = at_a + 1, at_b + 1  # the tokens after each shared end; the last one is the text's end
+        if not raw:
+            return 0, 0, 0, []
+        a, ids_b = self.a.encode(text), self.b.encode(text)
+        ends_a = self.a.lengths[a].cumsum()
+        if ends_a[-1] != len(raw) or not self.b.gives(ids_b, raw):
+            return 0, 0, 0, []
+        b = np.array(ids_b, "<i4")
+        ends_b = self.b.lengths[b].cumsum()
+        of_a, of_b = np.zeros(len(raw) + 1, bool), np.zeros(len(raw) + 1, bool)
+        of_a[ends_a] = of_b[ends_b] = True
+        at_a, at_b = 1 + np.flatnonzero(of_b[ends_a]), 1 + np.flatnonzero(of_a[ends_b])  # the tokens after each shared end; the last is the text's end
         anchor = np.append(self.a.spaced[a[at_a[:-1]]] & self.b.spaced[b[at_b[:-1]]], True)
         cuts_a, cuts_b = [0, *(4 * at_a[anchor]).tolist()], [0, *(4 * at_b[anchor]).tolist()]
-        bytes_a, bytes_b, window = a.tobytes(), b.tobytes(), self.window
-        numbers = [window((bytes_a[p:q], bytes_b[r:s])) for p, q, r, s in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)]
-        used = np.array(numbers, np.uint32)
-        digest = hashlib.sha256(";".join([self.shown[k] for k in numbers]).encode()).hexdigest()
-        self.rows.append((doc_id, len(a), len(b), sum(map(self.n_groups.__getitem__, numbers)), sum(map(self.n_links.__getitem__, numbers)), digest, packed(planes(used))))
-        self.uses.append(used)
+        bytes_a, bytes_b, known = a.tobytes(), b.tobytes(), self.known
+        return len(a), len(b), len(at_a), [known[bytes_a[p:q], bytes_b[r:s]] for p, q, r, s in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)]
+
+    def add(self, doc_ids: list[int | None], texts: list[str | None]) -> None:
+        cut = [self.numbers(t) for t in texts]
+        if self.known.fresh:
+            shown, n_links, pairs = self.align(self.known.fresh)
+            self.known.fresh = []
+            self.shown += shown
+            self.n_links.append(n_links)
+            self.pairs.append(pairs)
+        for doc_id, (n_a, n_b, n_groups, numbers) in zip(doc_ids, cut, strict=True):
+            if not numbers:
+                self.rows.append((doc_id, 0, 0, 0, 0, "", None))
+                continue
+            digest = hashlib.sha256(";".join([self.shown[k] for k in numbers]).encode()).hexdigest()
+            used = np.array(numbers, np.uint32)
+            self.uses.append(used)
+            self.rows.append((doc_id, n_a, n_b, n_groups, n_a + n_b - n_groups, digest, packed(planes(used))))  # a link ends with one token or with two
 
     def table(self) -> pa.RecordBatch:
         """The rows of the texts, and one for the block: its windows as lists of pairs, and its pairs with their links."""
-        per_window, pair_numbers = np.array(self.n_links, np.int64), np.array(self.pair_numbers, np.int64)
+        per_window = np.concatenate(self.n_links)
+        distinct, numbers = np.unique(np.concatenate(self.pairs), return_inverse=True)
         uses = sum((np.bincount(u, minlength=len(per_window)) for u in self.uses), np.zeros(len(per_window), np.int64))
-        links = np.bincount(pair_numbers, np.repeat(uses, per_window), minlength=len(self.pairs)).astype(np.int64)
-        windows = packed(np.array([len(per_window), *per_window, *pair_numbers], "<u4").tobytes())
-        ids = np.array(list(self.pairs), np.int32).reshape(-1, 2)
-        structs = pa.StructArray.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(links)], names=["a", "b", "links"])
+        links = np.bincount(numbers, np.repeat(uses, per_window), minlength=len(distinct)).astype(np.int64)
+        windows = packed(np.concatenate([[len(per_window)], per_window, numbers]).astype("<u4").tobytes())
+        structs = pa.StructArray.from_arrays([pa.array((distinct >> 32).astype(np.int32)), pa.array((distinct & 0xFFFFFFFF).astype(np.int32)), pa.array(links)], names=["a", "b", "links"])
         n = len(self.rows)
         of_pairs = pa.ListArray.from_arrays(pa.array([None] * n + [0, len(structs)], pa.int32()), structs)  # a null offset is a null list
         columns = list(zip(*self.rows, strict=True)) if n else [()] * 7
@@ -152,9 +192,8 @@ def align_blocks(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) ->
     number = TaskContext.get().partitionId() << 32
     block = None
     for rows in common.pieces(batches, limit=1 << 20):
-        for doc_id, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), strict=True):
-            block = block or Block(number, byte_level(path_a), pieces(path_b))
-            block.add(doc_id, text)
+        block = block or Block(number, path_a, path_b)
+        block.add(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist())
         if block and block.size >= BLOCK_BYTES:
             yield block.table()
             block, number = None, number + 1
