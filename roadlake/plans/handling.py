@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from roadlake.operators import dynamics
+from roadlake.operators import dynamics, fixes
+from roadlake.plans.driving import hav_sql
 from roadlake.plans.registry import q4, query, s4
-from roadlake.plans.views import v_signal, v_state
+from roadlake.plans.views import v_gps, v_signal, v_state
 
 KEYS = ["session", "device"]
 ORDER = ["t_us", "event_id"]
@@ -106,3 +107,26 @@ def x3b(spark, sf):
     samples = _turning(spark, sf)
     out = dynamics.balance(samples, dynamics.balance_model(samples, ["device"]), ["device"])
     return out.groupBy("device", "balance").agg(F.count("*").alias("samples"), q4(F.avg("excess")).alias("mean_excess"))
+
+
+_FIXES = f"""
+  fx AS (SELECT session, device, event_id, t_us//20000 AS t, lat, lon, CASE WHEN event_id%17=0 THEN 9.0e0 ELSE 1.5e0 END AS hdop, CASE WHEN event_id%23<>0 THEN event_id%11+3 END AS sats FROM v_gps),
+  jf AS (SELECT *, CASE WHEN hdop>5 THEN 'POOR_HDOP' WHEN sats<4 THEN 'FEW_SATELLITES' END AS poor FROM fx),
+  sq AS (SELECT *, row_number() OVER (PARTITION BY session, device ORDER BY t, event_id) AS n FROM jf WHERE poor IS NULL),
+  gate AS (
+      SELECT session, device, event_id, n, true AS ok, t AS gt, lat AS ala, lon AS alo, CAST(NULL AS BIGINT) AS ot, CAST(NULL AS DOUBLE) AS ola, CAST(NULL AS DOUBLE) AS olo, 0 AS run FROM sq WHERE n=1
+      UNION ALL
+      SELECT session, device, event_id, n, near OR run>=3, CASE WHEN near OR run>=3 THEN t ELSE gt END, CASE WHEN near OR run>=3 THEN lat ELSE ala END, CASE WHEN near OR run>=3 THEN lon ELSE alo END,
+             CASE WHEN near OR run>=3 THEN NULL ELSE t END, CASE WHEN near OR run>=3 THEN NULL ELSE lat END, CASE WHEN near OR run>=3 THEN NULL ELSE lon END, CASE WHEN near OR run>=3 THEN 0 ELSE run END
+      FROM (SELECT s.*, g.gt, g.ala, g.alo, {hav_sql('g.ala', 'g.alo', 's.lat', 's.lon', '6371000.0e0', 'asin')}*3.6e6 <= 400.0e0*greatest(s.t-g.gt, 0) AS near,
+             CASE WHEN g.ot IS NOT NULL AND {hav_sql('g.ola', 'g.olo', 's.lat', 's.lon', '6371000.0e0', 'asin')}*3.6e6 <= 400.0e0*greatest(s.t-g.ot, 0) THEN g.run+1 ELSE 1 END AS run
+           FROM gate g JOIN sq s ON s.session=g.session AND s.device=g.device AND s.n=g.n+1))"""
+
+
+@query("x7_bad_fixes", f"WITH RECURSIVE {_FIXES} SELECT jf.event_id, jf.session, coalesce(poor, CASE WHEN NOT ok THEN 'IMPOSSIBLE_JUMP' END, 'ok') AS reason FROM jf LEFT JOIN gate USING (event_id)", ("v_gps",))
+def x7(spark, sf):
+    """Fixes a few seconds and a few hundred metres apart, so that many a jump is not to be believed."""
+    e = F.col("event_id")
+    rows = v_gps(spark, sf).select(*KEYS, F.floor(F.col("t_us") / 20_000).alias("t_us"), "event_id", "lat", "lon", F.when(e % 17 == 0, 9.0).otherwise(1.5).alias("hdop"), F.when(e % 23 != 0, e % 11 + 3).alias("num_sats"))
+    out = fixes.judge_fixes(rows, ORDER, agreeing=3, chunk=60_000_000)
+    return out.select("event_id", "session", F.coalesce("reason", F.lit("ok")).alias("reason"))
