@@ -29,7 +29,7 @@ from . import common, tokens
 from .bytepair import packed, unpacked
 
 BLOCK_BYTES = 4 << 20
-BLOCKS_A_TASK = 6
+BLOCKS_A_TASK = 2
 
 ALIGNED = pa.schema([
     ("block", pa.int64()), ("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")), ("groups_sha256", pa.string()),
@@ -168,8 +168,9 @@ class Block:
     def table(self) -> pa.RecordBatch:
         """The rows of the texts, and one for the block: its windows as lists of pairs, and its pairs with their links."""
         per_window = np.concatenate(self.n_links)
-        distinct, numbers = np.unique(np.concatenate(self.pairs), return_inverse=True)
-        uses = sum((np.bincount(u, minlength=len(per_window)) for u in self.uses), np.zeros(len(per_window), np.int64))
+        encoded = pa.array(np.concatenate(self.pairs)).dictionary_encode()
+        distinct, numbers = encoded.dictionary.to_numpy(), encoded.indices.to_numpy()
+        uses = np.bincount(np.concatenate([np.zeros(0, np.uint32), *self.uses]), minlength=len(per_window))
         links = np.bincount(numbers, np.repeat(uses, per_window), minlength=len(distinct)).astype(np.int64)
         windows = packed(np.concatenate([[len(per_window)], per_window, numbers]).astype("<u4").tobytes())
         structs = pa.StructArray.from_arrays([pa.array((distinct >> 32).astype(np.int32)), pa.array((distinct & 0xFFFFFFFF).astype(np.int32)), pa.array(links)], names=["a", "b", "links"])
