@@ -80,9 +80,9 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op11_shared_line_dedup, op12_anchored_alignment, op13_multiplicity_whitening)}
 CHECKS: dict[str, str] = {
     "op11_shared_line_dedup": """WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-    l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM d),
+    l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM d),
     k AS (SELECT *, translate(trim(line, ' '||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
     shared AS (SELECT key AS gone FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
-    SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
+    SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
     FROM k LEFT JOIN shared ON key = gone GROUP BY r, doc_id""",
 }
