@@ -132,10 +132,11 @@ def copies_per_second(messages: DataFrame) -> DataFrame:
 
 
 def repeat_order(messages: DataFrame, position: str, chunk: int = 1_000_000) -> DataFrame:
-    """Per session: identical neighbours in frame order, and repeats whose neighbour differs."""
+    """Per session: identical neighbours in frame order, and repeats whose neighbour differs. Messages of one position come
+    in the order of their content, so that the answer does not hang on how the rows were read."""
     body = F.struct("can_id", "dt_us", "data_hex")
     firsts = messages.groupBy(*MESSAGE).agg(F.min(position).alias("_first"))
-    seen = scan(messages.select(*MESSAGE, position), ["session", "base_us"], [position], {"before": prev(body)}, chunk)
+    seen = scan(messages.select(*MESSAGE, position), ["session", "base_us"], [position, "can_id", "dt_us", "data_hex"], {"before": prev(body)}, chunk)
     judged = seen.join(firsts, MESSAGE)
     same = F.coalesce(F.col("before") == body, F.lit(False))
     return judged.groupBy("session").agg(
