@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.operators import asof
 from roadlake.operators.inventory import ID, MINUTE_MS, SESSION, byte_inventory, id_inventory, moving_ids, with_words
 from roadlake.operators.ordered import prev, scan
-from roadlake.session import cut_lineage, spread
+from roadlake.session import broadcast_if_measured, cut_lineage, spread
 
 GPS_GAP_MS = 5_000
 PAIR = [*ID, "channel"]
-BLOCK = 4096
+BLOCK = 65_536  # grid points that are reduced at once
 
 
 @dataclass(frozen=True)
@@ -84,20 +88,6 @@ def pair_status(frames: DataFrame, ids: DataFrame, reference: DataFrame, search:
     return seen.join(refs, SESSION).select(*PAIR, "dlc", t0.alias("t0"), t1.alias("t1"), status.alias("status"))
 
 
-def gridded(pairs: DataFrame, words: DataFrame, reference: DataFrame, search: Search = Search(), chunk: int = MINUTE_MS) -> DataFrame:
-    """Grid points of the searchable pairs: index `i`, the held payload `word`, the interpolated `ref`. Long spans are
-    cut into blocks and spread before they are expanded."""
-    last = F.floor((F.col("t1") - F.col("t0")) / search.grid_ms)
-    blocks = pairs.where("status IS NULL").select(
-        *PAIR, "dlc", "t0", last.alias("last"), F.explode(F.sequence(F.lit(0), F.floor(last / BLOCK))).alias("b")
-    ).repartition(*PAIR, "b")
-    first = F.col("b") * BLOCK
-    points = blocks.select(*PAIR, "dlc", "t0", "last", F.explode(F.sequence(first, F.least(F.col("last"), first + (BLOCK - 1)))).alias("i"))
-    grid = points.withColumn("t_ms", F.col("t0") + F.col("i") * search.grid_ms).drop("t0")
-    held = cut_lineage(asof.hold(grid, words, ID, "t_ms", "seq", F.col("word"), "word", chunk))
-    return asof.interpolate(held, reference, [*SESSION, "channel"], "t_ms", "seq", F.col("value"), "ref", chunk)
-
-
 def _fields(dlc: int, lengths: tuple[int, ...]) -> list[tuple[int, bool, int, int]]:
     """(length, little_endian, start, right shift of the field in its word) of every field inside `dlc` bytes."""
     out = []
@@ -111,70 +101,143 @@ def _fields(dlc: int, lengths: tuple[int, ...]) -> list[tuple[int, bool, int, in
     return out
 
 
-_PARTIAL = "length int, little_endian boolean, start int, signed boolean, lag int, n long, sx double, sy double, sxx double, syy double, sxy double, ones long, zeros long"
-
-
-def _partial_sums(search: Search):
-    """Per block of one pair's grid: the sums every field and lag need, as numpy products over the block."""
-    lengths, max_lag = search.lengths, search.max_lag
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        block, dlc, last = int(pdf["block"].iloc[0]), int(pdf["dlc"].iloc[0]), int(pdf["last"].iloc[0])
-        lo = block * BLOCK - max_lag
-        ref = np.full(BLOCK + 2 * max_lag, np.nan)
-        ref[pdf["i"].to_numpy() - lo] = pdf["ref"].to_numpy(dtype=float)
-        own = pdf[pdf["i"] // BLOCK == block].sort_values("i")
-        big = own["word"].to_numpy(dtype=np.int64).view(np.uint64)
-        little = big.byteswap()
-        count = len(own)
-        lags = np.arange(-max_lag, max_lag + 1)
-        y = np.stack([ref[max_lag + g : max_lag + g + count] for g in lags], axis=1)
-        here = np.arange(block * BLOCK, block * BLOCK + count)[:, None] + lags[None, :]
-        valid = ((here >= 0) & (here <= last)).astype(float)
-        y = np.where(valid > 0, y, 0.0)
-        n, sy, syy = valid.sum(0).astype(np.int64), y.sum(0), (y * y).sum(0)
-        parts = []
-        for length, little_endian, start, shift in _fields(dlc, lengths):
-            raw = ((little if little_endian else big) >> np.uint64(shift)) & np.uint64((1 << length) - 1)
-            plain = raw.astype(np.int64)
+WORD, REFERENCE, HEAD = 0, 1, 2
+
+
+def block_rows(numbered: DataFrame, words: DataFrame, reference: DataFrame, search: Search, block: int, chunk: int) -> DataFrame:
+    """What each block of a pair's grid needs, as narrow rows (pair, block, kind, time, ...): the payloads and the reference samples
+    that lie in it, each with the sample before it, and one head with the pair's bounds.
+
+    The grid itself is never a table. A sample and the one before it reach every block between them, so a block that begins
+    within a gap knows the last sample before its start; `numbered`, a row per pair, is broadcast."""
+    span, reach = block * search.grid_ms, search.max_lag * search.grid_ms
+    last_block = F.floor(F.col("last") / block)
+
+    def placed(rows: DataFrame, keys: list[str], kind: int, reach: int, **columns: Column) -> DataFrame:
+        first = F.floor((F.coalesce("before.t_ms", "t_ms") - F.col("t0") - reach) / span)
+        final = F.floor((F.col("t_ms") - F.col("t0") + reach) / span)
+        met = rows.join(numbered, keys).withColumn("_a", F.greatest(first, F.lit(0))).withColumn("_b", F.least(final, last_block)).where("_a <= _b")
+        return met.select("pair", F.explode(F.sequence("_a", "_b")).alias("block"), F.lit(kind).alias("kind"), F.col("t_ms").alias("t"), F.col("seq").cast("long").alias("seq"),
+                          F.col("before.t_ms").alias("t_before"), *[c.alias(n) for n, c in columns.items()])
+
+    none_long, none = F.lit(None).cast("long"), F.lit(None).cast("double")
+    known = scan(reference, [*SESSION, "channel"], ["t_ms", "seq"], {"before": prev(F.struct("t_ms", "value"))}, chunk)
+    payload = placed(words, ID, WORD, 0, word=F.col("word"), word_before=F.col("before.word"), value=none, value_before=none)
+    values = placed(known, [*SESSION, "channel"], REFERENCE, reach, word=none_long, word_before=none_long, value=F.col("value"), value_before=F.col("before.value"))
+    heads = numbered.select(
+        "pair", F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("block"), F.lit(HEAD).alias("kind"), F.col("t0").alias("t"), F.col("last").alias("seq"),
+        none_long.alias("t_before"), F.col("dlc").cast("long").alias("word"), none_long.alias("word_before"), none.alias("value"), none.alias("value_before"))
+    return payload.unionByName(values).unionByName(heads)
+
+
+@cache
+def _weights(dlc: int, lengths: tuple[int, ...]) -> np.ndarray:
+    """Every field, unsigned then signed, as a sum of the payload's 64 bits, the highest first."""
+    rows = []
+    for length, little_endian, start, shift in _fields(dlc, lengths):
+        at = [56 - 8 * (k // 8) + k % 8 if little_endian else k for k in range(shift, shift + length)]
+        row = np.zeros(64)
+        row[[63 - k for k in at]] = 2.0 ** np.arange(length)
+        signed = row.copy()
+        signed[63 - at[-1]] *= -1
+        rows += [row, signed]
+    return np.array(rows).reshape(-1, 64)
+
+
+def _samples(part: dict[str, np.ndarray], kind: int, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """(times, values) of a block's samples in order, the one before the first of them in front."""
+    own = np.flatnonzero(part["kind"] == kind)
+    own = own[np.lexsort((part["seq"][own], part["t"][own]))]
+    if len(own) and part["has_before"][own[0]]:
+        return np.append(part["t_before"][own[0]], part["t"][own]), np.append(part[f"{value}_before"][own[0]], part[value][own])
+    return part["t"][own], part[value][own]
+
+
+_PARTIAL = "pair long, field int, lag int, n long, sx double, sy double, sxx double, syy double, sxy double, ones long, zeros long"
+SLICE = 8192
+
+
+def _partial_sums(search: Search, block_size: int):
+    """Per block of one pair's grid: the sums every field and lag need.
+
+    A field is a weighted sum of bits, so its products with the reference follow from those of the 64 bits, and its square from
+    the products of bits with each other: two matrix products a block, whatever the number of fields."""
+    max_lag, grid_ms = search.max_lag, search.grid_ms
+    lags = np.arange(-max_lag, max_lag + 1)
+    wide = len(lags)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        part = {c: (pc.fill_null(table.column(c), 0) if c not in ("value", "value_before") else table.column(c)).to_numpy() for c in table.column_names}
+        part["has_before"] = pc.is_valid(table.column("t_before")).to_numpy()
+        head = int(np.flatnonzero(part["kind"] == HEAD)[0])
+        block, t0, last, dlc = int(key[1].as_py()), int(part["t"][head]), int(part["seq"][head]), int(part["word"][head])
+        times, payloads = _samples(part, WORD, "word")
+        ref_times, ref_values = _samples(part, REFERENCE, "value")
+        first = block * block_size
+        count = min(block_size, last + 1 - first)
+        around = np.arange(first - max_lag, first + count + max_lag)
+        inside = (around >= 0) & (around <= last)
+        at = t0 + around * grid_ms
+        a = np.clip(np.searchsorted(ref_times, at, "right") - 1, 0, None)
+        b = np.minimum(a + 1, len(ref_times) - 1)
+        gap = ref_times[b] - ref_times[a]
+        share = (at - ref_times[a]) / np.where(gap > 0, gap, 1)
+        ref = np.where(gap > 0, ref_values[a] + share * (ref_values[b] - ref_values[a]), ref_values[a])
+        ref = np.where(inside, ref, 0.0)
+        big = payloads[np.searchsorted(times, at[max_lag : max_lag + count], "right") - 1].astype(np.int64).view(np.uint64)
+
+        by_lag, squares = np.zeros((64, 2 * wide)), np.zeros((64, 64))
+        outside = np.zeros((wide, 64, 64))  # products of bits at points whose lagged reference lies beyond the grid
+        n, sy, syy = np.zeros(wide), np.zeros(wide), np.zeros(wide)
+        for k in range(0, count, SLICE):
+            m = min(SLICE, count - k)
+            bits = np.unpackbits(big[k : k + m].astype(">u8").view(np.uint8).reshape(m, 8), axis=1).astype(float)
+            valid = sliding_window_view(inside[k : k + m + 2 * max_lag], wide).astype(float)
+            y = sliding_window_view(ref[k : k + m + 2 * max_lag], wide)
+            by_lag += bits.T @ np.concatenate([valid, y], axis=1)
+            squares += bits.T @ bits
+            for lag in np.flatnonzero((valid == 0).any(axis=0)):
+                beyond = bits[valid[:, lag] == 0]
+                outside[lag] += beyond.T @ beyond
+            n, sy, syy = n + valid.sum(0), sy + y.sum(0), syy + (y * y).sum(0)
+
+        weights, fields = _weights(dlc, search.lengths), _fields(dlc, search.lengths)
+        size = len(weights)
+        sxx = np.stack([((weights @ (squares - outside[k])) * weights).sum(1) for k in range(wide)], axis=1)
+        ever, always = np.bitwise_or.reduce(big, keepdims=True), np.bitwise_and.reduce(big, keepdims=True)
+        numbers, ones, zeros = [], [], []
+        for length, little_endian, start, shift in fields:
             for signed in (False, True):
-                value = plain - ((plain >> (length - 1)) << length) if signed else plain
-                x = value.astype(float)
-                parts.append((length, little_endian, start, signed, x @ valid, (x * x) @ valid, x @ y,
-                              int(np.bitwise_or.reduce(value)), int(np.bitwise_and.reduce(value))))
-        size, wide = len(parts), len(lags)
-        flat = {
-            "length": np.repeat([p[0] for p in parts], wide), "little_endian": np.repeat([p[1] for p in parts], wide),
-            "start": np.repeat([p[2] for p in parts], wide), "signed": np.repeat([p[3] for p in parts], wide),
-            "lag": np.tile(lags, size), "n": np.tile(n, size), "sx": np.concatenate([p[4] for p in parts]), "sy": np.tile(sy, size),
-            "sxx": np.concatenate([p[5] for p in parts]), "syy": np.tile(syy, size), "sxy": np.concatenate([p[6] for p in parts]),
-            "ones": np.repeat([p[7] for p in parts], wide), "zeros": np.repeat([p[8] for p in parts], wide),
-        }
-        out = pd.DataFrame(flat)
-        for key in (*PAIR, "block"):
-            out[key] = pdf[key].iloc[0]
-        return out
+                numbers.append(((length * 64 + start) * 2 + little_endian) * 2 + signed)
+                for word, into in ((ever, ones), (always, zeros)):
+                    plain = int((word.byteswap() if little_endian else word)[0]) >> shift & (1 << length) - 1
+                    into.append(plain - (plain >> (length - 1) << length) if signed else plain)
+        return pa.table({
+            "pair": pa.array(np.full(size * wide, key[0].as_py(), np.int64)), "field": pa.array(np.repeat(np.array(numbers, np.int32), wide)), "lag": pa.array(np.tile(lags.astype(np.int32), size)),
+            "n": pa.array(np.tile(n.astype(np.int64), size)), "sx": (weights @ by_lag[:, :wide]).ravel(), "sy": np.tile(sy, size), "sxx": sxx.ravel(), "syy": np.tile(syy, size),
+            "sxy": (weights @ by_lag[:, wide:]).ravel(), "ones": pa.array(np.repeat(np.array(ones, np.int64), wide)), "zeros": pa.array(np.repeat(np.array(zeros, np.int64), wide))})
 
     return run
 
 
-def correlate(grid: DataFrame, search: Search = Search()) -> DataFrame:
-    """Candidate fields of every pair: best lag, r, factor, offset, samples, fixed low bits.
+def correlate(pairs: DataFrame, words: DataFrame, reference: DataFrame, search: Search = Search(), block: int = BLOCK, chunk: int = MINUTE_MS) -> DataFrame:
+    """Candidate fields of every searchable pair: best lag, r, factor, offset, samples, fixed low bits.
 
-    The correlation needs only sums, so a pair is not one group: its grid is cut into blocks, with `max_lag` points of
-    the reference shared between neighbours; every block is reduced in numpy and the sums are added up by Spark."""
-    lag = search.max_lag
-    near = F.array_distinct(F.array(*[F.floor((F.col("i") + d) / BLOCK) for d in (-lag, 0, lag)]))
-    shared = grid.select(*PAIR, "dlc", "last", "i", "word", "ref", F.explode(near).alias("block")).where(
-        (F.col("block") >= 0) & (F.col("block") * BLOCK <= F.col("last"))
-    )
-    id_type = dict(grid.dtypes)
-    schema = _PARTIAL + ", " + ", ".join(f"{c} {id_type[c]}" for c in PAIR) + ", block long"
-    sums = spread(shared, *PAIR, "block").groupBy(*PAIR, "block").applyInPandas(_partial_sums(search), schema)
-    field = ["length", "little_endian", "start", "signed"]
-    total = sums.groupBy(*PAIR, *field, "lag").agg(
+    `words` are frames as `with_words` gives them. The held payload and the interpolated reference are found on the pair's grid
+    in steps of `grid_ms`. The correlation needs only sums, so a pair is not one group: its grid is cut into blocks; every block is
+    reduced in numpy from the samples it covers, and the sums are added up by Spark."""
+    last = F.floor((F.col("t1") - F.col("t0")) / search.grid_ms)
+    numbered = pairs.where("status IS NULL").select(*PAIR, "dlc", "t0", last.alias("last"), F.monotonically_increasing_id().alias("pair"))
+    numbered = broadcast_if_measured(numbered, F.lit(160))
+    rows = block_rows(numbered, words, reference, search, block, chunk)
+    sums = spread(rows, "pair", "block").groupBy("pair", "block").applyInArrow(_partial_sums(search, block), _PARTIAL)
+    code = F.col("field")
+    field = {"length": F.floor(code / 256).cast("int"), "little_endian": code.bitwiseAND(2) > 0, "start": F.floor(code / 4).cast("int") % 64, "signed": code.bitwiseAND(1) > 0}
+    total = sums.groupBy("pair", "field", "lag").agg(
         *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")], F.bit_or("ones").alias("ones"), F.bit_and("zeros").alias("zeros")
     )
+    total = total.join(numbered.select("pair", *PAIR), "pair").withColumns(field).drop("field")
+    field = list(field)
     n = F.col("n")
     cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
     vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / n, F.col("syy") - F.col("sy") * F.col("sy") / n
@@ -249,7 +312,7 @@ def analyse(frames: DataFrame, gps: DataFrame, gyro: DataFrame, search: Search =
     reference = cut_lineage(reference_channels(gps, gyro, chunk))
     moving = words.join(moving_ids(bytes_), ID, "left_semi")
     pairs = cut_lineage(pair_status(moving, ids, reference, search))
-    found = cut_lineage(correlate(gridded(pairs, moving, reference, search, chunk), search))
+    found = cut_lineage(correlate(pairs, moving, reference, search, chunk=chunk))
     hit = found.select(*PAIR).distinct().withColumn("_hit", F.lit(True))
     statuses = pairs.join(hit, PAIR, "left").select(
         *PAIR, F.coalesce("status", F.when(F.col("_hit"), "OK").otherwise("NO_MATCH")).alias("status")

@@ -156,7 +156,7 @@ def d1(spark, sf):
     ids = inventory.id_inventory(words)
     channels = discovery.reference_channels(gps, gyro)
     pairs = discovery.pair_status(words, ids, channels, SEARCH)
-    found = discovery.correlate(discovery.gridded(pairs, words, channels, SEARCH), SEARCH)
+    found = discovery.correlate(pairs, words, channels, SEARCH)
     return found.select("session", "can_id", "channel", "little_endian", "start", "length", "signed", q4(F.col("r")).alias("r"), F.col("lag_ms").cast("long").alias("lag_ms"),
                         q4(F.col("factor") * 1000).alias("factor_e3"), "samples")
 
