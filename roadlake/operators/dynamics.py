@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.operators.ordered import HOUR_US, last_known, number_runs, scan
+from roadlake.session import spread
 
 KEYS = ["session", "device"]
 
@@ -74,37 +75,70 @@ def hull_of(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array(chain(order) + chain(order[::-1]), np.int64)
 
 
+FEW = 4  # points of a key in a batch that are passed on as they are
+
+
 def _corners(keys: list[str]):
-    """The corners of each key's points within the rows of a task, batch by batch: the hull of hulls is the hull."""
+    """The corners of each key's points within the rows of a task, batch by batch: the hull of hulls is the hull. A key of few
+    points in a batch passes on all of them, so many small keys cost no step of Python each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            frame = batch.to_pandas()
-            kept = [g.index.to_numpy()[hull_of(g["x"].to_numpy(), g["y"].to_numpy())] for _, g in frame.groupby(keys, sort=False, dropna=False)]
-            if kept:
-                yield batch.take(pa.array(np.sort(np.concatenate(kept))))
+            if not batch.num_rows:
+                continue
+            number = batch.select(keys).to_pandas().groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+            order = np.argsort(number, kind="stable")
+            edges = np.append(np.flatnonzero(np.diff(number[order], prepend=-1)), len(order))
+            x, y = batch.column("x").to_numpy(), batch.column("y").to_numpy()
+            kept = np.ones(len(order), bool)
+            for k in np.flatnonzero(np.diff(edges) > FEW):
+                mine = order[edges[k] : edges[k + 1]]
+                kept[mine] = False
+                kept[mine[hull_of(x[mine], y[mine])]] = True
+            yield batch.filter(pa.array(kept))
 
     return run
 
 
-def envelope(samples: DataFrame, keys: list[str] = KEYS, buckets: int = 64) -> DataFrame:
+def _hulls(keys: list[str]):
+    """The hull of each key with its corners numbered, over rows that come sorted by key. Of a key that goes on in the next batch only
+    the corners so far are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            number = rows.select(keys).to_pandas().groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+            edges = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(number)).tolist()
+            x, y = rows.column("x").to_numpy(), rows.column("y").to_numpy()
+            found = [a + hull_of(x[a:b], y[a:b]) for a, b in zip(edges, edges[1:])]
+            held = rows.take(pa.array(found.pop()))
+            if found:
+                yield from numbered(rows, found)
+        if held is not None:
+            yield from numbered(held, [np.arange(held.num_rows)])
+
+    def numbered(rows, found):
+        corner = pa.array(np.concatenate([np.arange(len(f)) for f in found]), pa.int32())
+        return rows.take(pa.array(np.concatenate(found))).append_column("corner", corner).combine_chunks().to_batches()
+
+    return run
+
+
+def envelope(samples: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """The corners of the convex hull of each key's points (keys, corner, x, y), against the clock from the leftmost.
 
-    Points are reduced to the corners of their Arrow batch where they are read, then within `buckets` parts of a key, then
-    for the key: no task meets a session's samples, only corners, of which a hull has few. Points with a null or NaN
-    coordinate are left out."""
+    Points are reduced to the corners of their Arrow batch where they are read, then dealt by key, sorted, and reduced batch by
+    batch: no task holds a session's samples, and a key is a slice of a batch, not a group of its own. Points with a
+    null or NaN coordinate are left out."""
     known = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in "xy"]
     points = samples.where(known[0] & known[1]).select(*keys, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-    corners = points.mapInArrow(_corners(keys), points.schema)
-    part = corners.withColumn("part", F.pmod(F.xxhash64("x", "y"), F.lit(buckets)))
-    parts = part.groupBy(*keys, "part").applyInArrow(lambda t: t.take(pa.array(hull_of(t.column("x").to_numpy(), t.column("y").to_numpy()))), part.schema).drop("part")
-
-    def last(table: pa.Table) -> pa.Table:
-        found = table.take(pa.array(hull_of(table.column("x").to_numpy(), table.column("y").to_numpy())))
-        return found.append_column("corner", pa.array(np.arange(found.num_rows), pa.int32()))
-
+    corners = spread(points.mapInArrow(_corners(keys), points.schema), *keys).sortWithinPartitions(*keys)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
-    return parts.groupBy(*keys).applyInArrow(last, f"{schema}, corner int")
+    return corners.mapInArrow(_hulls(keys), f"{schema}, corner int")
 
 
 def grip_used(samples: DataFrame, hull: DataFrame, keys: list[str] = KEYS) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +90,23 @@ def test_balance_recovers_planted_cars(spark):
     out = {(r.car, r.k): r.balance for r in dynamics.balance(samples, model, ["car"]).where("abs(yaw_rate) > 0.1 and speed_mps > 30 or k > 800 or car not in ('a', 'b')").collect()}
     assert {b for (c, k), b in out.items() if c == "a" and k < 800} == {"understeer"} and {b for (c, k), b in out.items() if c == "b"} == {"oversteer"}
     assert {b for (c, k), b in out.items() if c not in ("a", "b") or k > 800} == {None}
+
+
+def test_envelope_of_keys_that_go_on_over_batches(spark):
+    """One key over many batches beside keys of one to nine points, a null key among them: no group of Python for each of them."""
+    rng = random.Random(5)
+    rows = [("hot", "d", rng.gauss(0, 1), rng.gauss(0, 1)) for _ in range(900)]
+    rows += [(None if k == 7 else f"s{k}", "d", rng.random(), rng.random()) for k in range(40) for _ in range(k % 9 + 1)]
+    rng.shuffle(rows)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        hull = dynamics.envelope(spark.createDataFrame(rows, "session string, device string, x double, y double"))
+        found = hull.collect()
+        assert "FlatMapGroups" not in hull._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    for session in {r[0] for r in rows}:
+        points = [(x, y) for s, _, x, y in rows if s == session]
+        want = dynamics.hull_of(*(np.array(v) for v in zip(*points)))
+        assert [(r.x, r.y) for r in sorted((r for r in found if r.session == session), key=lambda r: r.corner)] == [points[k] for k in want]
