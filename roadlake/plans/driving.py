@@ -10,7 +10,7 @@ from roadlake.operators import asof, device, lap_machine, laps, routes, tracks
 from roadlake.operators.ordered import DAY_US
 from roadlake.session import cut_lineage
 from roadlake.plans.registry import even_sql, q4, query, s4
-from roadlake.plans.views import TRACK_POINTS, events, table, v_gps, v_signal, v_state, v_trackpos
+from roadlake.plans.views import TRACK_POINTS, events, spread_table, table, v_gps, v_signal, v_state, v_trackpos
 from roadlake.sources import geojson
 
 ORDER = ["t_us", "event_id"]
@@ -81,7 +81,7 @@ def supplier_tracks(spark, sf):
     wrapped = F.concat(F.lit('{"type":"Feature","properties":{},"geometry":'), single, F.lit("}"))
     collection = F.concat(F.lit('{"type":"FeatureCollection","features":[{"type":"Feature","geometry":'), point, F.lit("},"), wrapped, F.lit("]}"))
     text = F.when(k % 5 == 0, single).when(k % 5 == 1, multi).when(k % 5 == 2, wrapped).when(k % 5 == 3, collection).otherwise(point)
-    return table(spark, sf, "supplier").select(k.alias("track_id"), F.when(k % 3 != 0, F.col("s_name")).alias("name"), text.alias("geometry"))
+    return spread_table(spark, sf, "supplier", ["s_suppkey", "s_name"], ["s_suppkey"]).select(k.alias("track_id"), F.when(k % 3 != 0, F.col("s_name")).alias("name"), text.alias("geometry"))
 
 
 _SUPPLIER = """

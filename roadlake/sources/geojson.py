@@ -41,7 +41,10 @@ def line_of(geometry: Column) -> Column:
 
 def track_points(tracks: DataFrame) -> DataFrame:
     """`tracks` (track_id, name, geometry text) with `points`. A Feature is unwrapped; a FeatureCollection gives its
-    first feature with two points or more; tracks without such a line are skipped; a missing name is made from the id."""
+    first feature with two points or more; tracks without such a line are skipped; a missing name is made from the id.
+
+    The line is exploded, not selected and filtered: a filter on it, here or later, would be moved below and parse the text again,
+    once for every use of the points."""
     g = F.col("geometry")
     kind = F.get_json_object(g, "$.type")
     features = F.from_json(F.get_json_object(g, "$.features"), "array<struct<geometry:string>>")
@@ -50,7 +53,7 @@ def track_points(tracks: DataFrame) -> DataFrame:
     )
     lines = F.filter(F.transform(shapes, line_of), lambda line: F.coalesce(F.size(line) >= 2, F.lit(False)))
     name = F.coalesce(F.nullif(F.trim("name"), F.lit("")), F.concat(F.lit("track-"), F.col("track_id").cast("string")))
-    return tracks.select("track_id", name.alias("name"), F.get(lines, 0).alias("points")).where("points IS NOT NULL")
+    return tracks.select("track_id", name.alias("name"), F.explode(F.slice(lines, 1, 1)).alias("points"))
 
 
 def track_segments(points: DataFrame) -> DataFrame:
