@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from roadlake.operators.asof import nearest
 from roadlake.operators.ordered import prev, running_max, running_min, running_sum, scan
 from roadlake.session import cut_lineage
 
@@ -69,21 +68,33 @@ def imu_gaps(samples: DataFrame, keys: list[str], order: list[str], chunk: int,
 def resample_imu(samples: DataFrame, keys: list[str], values: list[str], tie: str) -> tuple[DataFrame, DataFrame]:
     """(grid, seconds). Every second with samples gets fifty points, each the nearest sample of that second; a point
     farther than a period from it is missing; a second with more than 25 missing is dropped from the grid.
-    `seconds` reports samples, missing points and the largest gap, edges included."""
+    `seconds` reports samples, missing points and the largest gap, edges included.
+
+    A second is a group of its own, so all of it is plain windows over one shuffle by second."""
     second = F.col("t_ms") - F.pmod("t_ms", F.lit(SECOND_MS))
     placed = samples.withColumn("second_ms", second)
     within = [*keys, "second_ms"]
     points = placed.select(*within).distinct().select(*within, F.explode(F.sequence(F.lit(0), F.lit(IMU_POINTS - 1))).alias("point"))
     grid = points.withColumn("t_ms", F.col("second_ms") + F.col("point") * IMU_PERIOD_MS)
-    filled = nearest(grid, placed, within, "t_ms", tie, F.struct(*values), "sample", SECOND_MS)
-    judged = filled.withColumn("missing", F.col("sample_gap") > IMU_PERIOD_MS)
-    ordered = Window.partitionBy(*within).orderBy("t_ms", tie)
-    offset = F.col("t_ms") - F.col("second_ms")
-    gaps = placed.select(*within, "t_ms", tie, (offset - F.coalesce(F.lag(offset).over(ordered), F.lit(0))).alias("gap")).groupBy(*within).agg(
-        F.count("*").alias("samples"), F.greatest(F.max("gap"), F.lit(SECOND_MS) - (F.max("t_ms") - F.first("second_ms"))).alias("max_gap_ms")
-    )
-    counted = judged.groupBy(*within).agg(F.count_if("missing").alias("missing_points"))
-    seconds = gaps.join(counted, within).withColumn("incomplete", F.col("missing_points") > MAX_MISSING)
-    kept = judged.join(seconds.where("NOT incomplete").select(*within), within, "left_semi").drop("sample_gap")
+    left = grid.select(*within, "t_ms", F.lit(0).alias("_k"), F.lit(0).cast("long").alias("_tie"), "point")
+    right = placed.select(*within, "t_ms", F.lit(1).alias("_k"), F.col(tie).cast("long").alias("_tie"), F.struct(F.col("t_ms").alias("t"), F.struct(*values).alias("v")).alias("_s"))
+    both = left.unionByName(right, allowMissingColumns=True).repartition(*within)
+    ordered = Window.partitionBy(*within).orderBy("t_ms", "_k", "_tie")
+    whole = Window.partitionBy(*within).orderBy("t_ms", "_k", "_tie").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = both.select(
+        "*", F.last("_s", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.first("_s", ignorenulls=True).over(ordered.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+    back, ahead = F.col("t_ms") - F.col("_before.t"), F.col("_after.t") - F.col("t_ms")
+    pick = F.when(F.col("_after").isNull() | (back <= ahead), F.col("_before")).otherwise(F.col("_after"))
+    at_grid = F.col("_k") == 0
+    judged = seen.withColumn("_p", F.when(at_grid, pick)).withColumn("missing", F.abs(F.col("_p.t") - F.col("t_ms")) > IMU_PERIOD_MS)
+    offset, previous = F.col("t_ms") - F.col("second_ms"), F.coalesce(F.col("_before.t") - F.col("second_ms"), F.lit(0))
+    seconds = judged.groupBy(*within).agg(
+        F.count("_s").alias("samples"),
+        F.greatest(F.max(F.when(~at_grid, offset - previous)), F.lit(SECOND_MS) - F.max(F.when(~at_grid, offset))).alias("max_gap_ms"),
+        F.count_if("missing").alias("missing_points"),
+    ).withColumn("incomplete", F.col("missing_points") > MAX_MISSING)
+    counted = judged.withColumn("_missing", F.count_if("missing").over(whole))
+    kept = counted.where(at_grid & (F.col("_missing") <= MAX_MISSING)).select(*within, "t_ms", "point", F.col("_p.v").alias("sample"), "missing")
     quaternion = F.col("point") * IMU_PERIOD_MS % QUAT_PERIOD_MS == 0
     return kept.withColumn("has_quaternion", quaternion), seconds
