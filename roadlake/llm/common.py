@@ -17,12 +17,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's setting that the files of a query's shuffles go when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
     """`df` as a Parquet table in the folder that the cluster shares: computed once, read by columns, and joined as a scan,
-    whose shuffled partitions adaptive execution can split where one key is crowded."""
-    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    whose shuffled partitions adaptive execution can split where one key is crowded. The shuffles it took leave the disk."""
+    spark = df.sparkSession
+    path, before = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}", spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables that `written` gave, once no plan reads them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(df: DataFrame, number: str) -> DataFrame:

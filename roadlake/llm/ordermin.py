@@ -15,7 +15,7 @@ a sketch end in two components without having been compared. Exact copies are on
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .common import written
+from .common import drop, written
 from .components import components
 
 K, TAKE, SKETCHES = 1, 4, 64
-CELLS = 256  # of a text's word counts
+CELLS, MOST_CELLS = 256, 4096  # of a text's word counts: four times as many from each fourfold length on
+BLOCK = 1 << 16  # words that are sketched at a time
 SHORT = 14  # words of a text that also has exact keys, for links to texts of at most as many words
 SIMILAR = 0.8  # the edit similarity that the sketches and keys are made for
 #: Of two texts with one word in five replaced, two thirds of all their words are common, so they share a sketch of 4 with about
@@ -44,19 +45,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class WordHashes(dict):
-    """word -> a 64-bit hash; forgets all beyond `most` words."""
-
-    def __init__(self, most: int = 100_000):
-        self.most = most
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def words_of(text: str) -> list[str]:
     return text.lower().split()
 
@@ -92,6 +80,48 @@ def sketches(words: np.ndarray) -> list[int]:
     return key.astype(np.int64).tolist()
 
 
+def block_sketches(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """What `sketches` gives for each of many texts, a row for each. `words` are those of all texts, at most BLOCK; each has TAKE
+    or more. Of each order only the hashes below a bound that about 16 of a text pass are looked at; where fewer than TAKE do,
+    all of the text's are."""
+    with np.errstate(over="ignore"):
+        texts, n = np.repeat(np.arange(len(lengths)), lengths), len(words)
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        h = mixed(words * _MIX[SKETCHES])
+        own = mixed(h + texts.astype(np.uint64) * _MIX[-2])  # equal for equal words of one text
+        order = (own & ~np.uint64(BLOCK - 1)) | np.arange(n, dtype=np.uint64)
+        order.sort()
+        at = (order & np.uint64(BLOCK - 1)).astype(np.int64)
+        alike = np.concatenate([[False], own[at[1:]] == own[at[:-1]]])
+        if ((order[1:] ^ order[:-1]) < np.uint64(BLOCK))[~alike[1:]].any():  # other words with the same high bits
+            at = np.argsort(own, kind="stable")
+            alike = np.concatenate([[False], own[at[1:]] == own[at[:-1]]])
+        place = np.arange(n)
+        label = np.zeros(n, np.uint64)
+        label[at] = place - np.maximum.accumulate(np.where(alike, 0, place))
+        h = np.where(label > 0, mixed(h + label * _MIX[-1]), h)
+        bound = np.where(lengths <= 16, np.iinfo(np.uint64).max, (2.0**64 * 16 / np.maximum(lengths, 17)).astype(np.uint64))[texts]
+        chosen = np.empty((SKETCHES, len(lengths), TAKE), np.int64)
+        for k in range(SKETCHES):
+            ranked = h * _MIX[k]
+            low = np.flatnonzero(ranked <= bound)
+            of = texts[low]
+            counts = np.bincount(of, minlength=len(lengths))
+            before = np.cumsum(counts) - counts
+            table = np.full((len(lengths), max(TAKE, int(counts.max()))), np.iinfo(np.uint64).max)
+            table[of, np.arange(len(low)) - before[of]] = ranked[low]
+            least = before[:, None] + np.argpartition(table, TAKE - 1, axis=1)[:, :TAKE]
+            chosen[k] = low[np.minimum(least, len(low) - 1)]
+            for t in np.flatnonzero(counts < TAKE).tolist():
+                chosen[k, t] = starts[t] + np.argpartition(ranked[starts[t] : ends[t]], TAKE - 1)[:TAKE]
+        chosen.sort(axis=2)
+        key = np.arange(1, SKETCHES + 1, dtype=np.uint64)[:, None]
+        for j in range(TAKE):
+            key = mixed(key * _MIX[-2] + h[chosen[:, :, j]])
+    return key.T.astype(np.int64)
+
+
 def short_keys(words: np.ndarray, least: float) -> list[int]:
     """Of a text of at most SHORT words: what is left of it without any so many words as a link to a text of at most SHORT words
     allows to be changed. A changed word is one deleted from both, so texts within that distance have a key in common."""
@@ -105,28 +135,64 @@ def short_keys(words: np.ndarray, least: float) -> list[int]:
     return [xxhash.xxh3_64_intdigest(np.array(x, np.uint64).tobytes()) - (1 << 63) for x in sorted(every)]
 
 
-def keys_of(words: np.ndarray, least: float = SIMILAR) -> list[int]:
-    """Sketches, but for texts whose links are all to texts of at most SHORT words; and the keys of a short text."""
-    keys = short_keys(words, least) if len(words) <= SHORT else []
-    if len(words) > SHORT or int(len(words) / least + 1e-9) > SHORT:
-        keys += sketches(words)
+def has_sketches(n: int, least: float) -> bool:
+    """Not so texts whose links are all to texts of at most SHORT words, which have keys of their own."""
+    return n > SHORT or int(n / least + 1e-9) > SHORT
+
+
+def keys_of(texts: list[np.ndarray], least: float = SIMILAR) -> list[np.ndarray]:
+    """The sketches of each text, and the keys of a short one."""
+    keys = [np.array(short_keys(w, least), np.int64) if 0 < len(w) <= SHORT else np.zeros(0, np.int64) for w in texts]
+    block, size = [], 0
+    for k, words in enumerate(texts):
+        if not len(words) or not has_sketches(len(words), least):
+            continue
+        if K > 1 or not TAKE <= len(words) <= BLOCK:
+            keys[k] = np.concatenate([keys[k], np.array(sketches(words), np.int64)])
+            continue
+        if size + len(words) > BLOCK:
+            _add_sketches(texts, block, keys)
+            block, size = [], 0
+        block.append(k)
+        size += len(words)
+    if block:
+        _add_sketches(texts, block, keys)
     return keys
 
 
+def _add_sketches(texts: list[np.ndarray], block: list[int], keys: list[np.ndarray]) -> None:
+    found = block_sketches(np.concatenate([texts[k] for k in block]), np.array([len(texts[k]) for k in block]))
+    for k, row in zip(block, found, strict=True):
+        keys[k] = np.concatenate([keys[k], row]) if len(keys[k]) else row
+
+
+def cells_of(n: int) -> int:
+    """How many cells hold the counts of a text of n words."""
+    cells = CELLS
+    while cells < MOST_CELLS and n >= 2 * cells:
+        cells *= 4
+    return cells
+
+
+def bag_of(numbers: np.ndarray) -> bytes:
+    """How often each cell, the high bits of a word's hash, is met; 255 for more."""
+    cells = cells_of(len(numbers))
+    return np.minimum(np.bincount((numbers >> np.uint64(65 - cells.bit_length())).astype(np.int64), minlength=cells), 255).astype(np.uint8).tobytes()
+
+
 def sketch(batches: Iterator[pa.RecordBatch], least: float = SIMILAR) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for rows in common.pieces(batches):
-        high, low, length, bags, keys = [], [], [], [], []
+        high, low, texts = [], [], []
         for text in rows.column("text").to_pylist():
             words = words_of(text or "")
             a, b = np.frombuffer(xxhash.xxh3_128_digest(" ".join(words)), "<i8").tolist()
             high.append(a)
             low.append(b)
-            length.append(len(words))
-            numbers = np.array([hashes[w] for w in words], np.uint64)
-            bags.append(np.minimum(np.bincount((numbers >> np.uint64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes())
-            keys.append(keys_of(numbers, least) if words else [])
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("row"), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(length, pa.int32()), pa.array(bags, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "row", "high", "low", "length", "bag", "keys"])
+            texts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+        keys = keys_of(texts, least)
+        ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+        listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("row"), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array([len(x) for x in texts], pa.int32()), pa.array(map(bag_of, texts), pa.binary()), listed], names=["doc_id", "row", "high", "low", "length", "bag", "keys"])
 
 
 # -- alignment ---------------------------------------------------------------------------------------------------------
@@ -143,94 +209,75 @@ def trimmed(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[: len(x) - tail], y[: len(y) - tail]
 
 
-def banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int, allowed: np.ndarray) -> np.ndarray:
-    """The edit distances of all pairs over alignments that leave the diagonal by at most `band`; exact up to `band`.
-
-    One row of the alignment table is filled for all pairs at a time: its cells are the diagonals, kept less their number,
-    so that a run of insertions is a running minimum. Cells beyond a text's end are filled too but lead nowhere. Stops
-    early, with some larger number, once no pair can stay within `allowed`.
-    """
-    n, m = np.array([len(x) for x, _ in pairs]), np.array([len(y) for _, y in pairs])
-    steps, size = int(n.max()), len(pairs)
-    kind = np.int16 if steps + int(m.max()) + 4 * band < 1 << 14 else np.int32
-    far = np.iinfo(kind).max // 2
-    xs = np.full((steps + 1, size), -1, np.int32)
-    ys = np.full((steps + 2 * band + 2, size), -2, np.int32)  # moved down by `band`
-    for k, (x, y) in enumerate(pairs):
-        xs[: len(x), k] = x
-        part = y[: len(ys) - band]
-        ys[band : band + len(part), k] = part
-    offsets = np.arange(-band, band + 1, dtype=kind)[:, None]
-    row = np.where(offsets >= 0, kind(0), kind(far)) + np.zeros((1, size), kind)
-    out = np.full(size, 1 << 30, np.int64)
-    reach = np.abs(m - n) <= band
-    ends: dict[int, list[int]] = {}
-    for k in np.flatnonzero(reach).tolist():
-        ends.setdefault(int(n[k]), []).append(k)
-    work = np.empty_like(row)
-    for i in range(steps + 1):
-        if i:
-            np.add(row, ys[i - 1 : i + 2 * band] != xs[i - 1], out=work)
-            np.minimum(work[:-1], row[1:] + kind(2), out=work[:-1])
-            np.minimum.accumulate(work, axis=0, out=row)
-            np.minimum(row, far, out=row)
-        for k in ends.get(i, ()):
-            out[k] = int(row[m[k] - n[k] + band, k]) + int(m[k] - n[k])
-        if i % 64 == 63 and ((row + offsets).min(axis=0) > allowed)[n > i].all():
-            break
-    return out
-
-
-def in_both(x: np.ndarray, y: np.ndarray) -> int:
-    """How many words both have, whatever their order."""
-    (ux, nx), (uy, ny) = np.unique(x, return_counts=True), np.unique(y, return_counts=True)
-    _, at_x, at_y = np.intersect1d(ux, uy, assume_unique=True, return_indices=True)
-    return int(np.minimum(nx[at_x], ny[at_y]).sum())
-
-
-def alike(pairs: list[tuple[np.ndarray, np.ndarray]], least: float, cells: int = 1 << 14) -> np.ndarray:
-    """Whether the edit similarity, 1 - distance / longer length, of each pair of word sequences is at least `least`.
-
-    A bound from the words that both have, whatever their order, goes first; then the band widens fourfold until the
-    distance is certain or is certainly too large. A group of pairs fills about `cells` cells at a step.
-    """
-    allowed = np.array([int((1 - least) * max(len(x), len(y)) + 1e-9) for x, y in pairs])
-    verdict = np.zeros(len(pairs), bool)
-    work: list[tuple[int, np.ndarray, np.ndarray]] = []
-    for k, (x, y) in enumerate(pairs):
-        if abs(len(x) - len(y)) > allowed[k]:
-            continue
-        x, y = trimmed(x, y)
-        shared = in_both(x, y)
-        if max(len(x), len(y)) - shared > allowed[k]:
-            continue
-        work.append((k, x, y))
-    band = 8
-    while work:
-        work.sort(key=lambda p: len(p[1]))
-        again, at = [], 0
-        while at < len(work):
-            end = at + 1
-            while end < len(work) and (end + 1 - at) * (2 * band + 1) <= cells:
-                end += 1
-            group = work[at:end]
-            limits = np.array([allowed[k] for k, _, _ in group])
-            for (k, x, y), distance in zip(group, banded([(x, y) for _, x, y in group], band, limits).tolist(), strict=True):
-                if distance <= allowed[k]:
-                    verdict[k] = True  # a band only ever overstates
-                elif band < allowed[k]:
-                    again.append((k, x, y))
-            at = end
-        work, band = again, band * 4
-    return verdict
+def distance(x: list[int], y: list[int], allowed: int) -> int:
+    """The edit distance, or some number above `allowed` once it must be larger. A row of the alignment table is the bits of two
+    numbers, where it rises and where it falls; each word of y gives the next row by a few operations on whole numbers."""
+    if len(x) < len(y):
+        x, y = y, x
+    places: dict[int, int] = {}
+    bit = 1
+    for word in x:
+        places[word] = places.get(word, 0) | bit
+        bit <<= 1
+    every, last, score, left = bit - 1, bit >> 1, len(x), len(y)
+    rises, falls = every, 0
+    for word in y:
+        same = places.get(word, 0)
+        down = same | falls
+        across = (((same & rises) + rises) ^ rises) | same
+        more, less = falls | (every & ~(across | rises)), rises & across
+        left -= 1
+        if more & last:
+            score += 1
+        elif less & last:
+            score -= 1
+        if score - left > allowed:
+            return score - left
+        more, less = more << 1 | 1, less << 1
+        rises, falls = (less | ~(down | more)) & every, more & down & every
+    return score
+
+
+def alike(pairs: Iterable[tuple[np.ndarray, np.ndarray]], least: float) -> np.ndarray:
+    """Whether the edit similarity, 1 - distance / longer length, of each pair of word sequences is at least `least`. A bound
+    from the words that both have, whatever their order, goes before the alignment."""
+    verdict = []
+    for x, y in pairs:
+        allowed = int((1 - least) * max(len(x), len(y)) + 1e-9)
+        x, y = trimmed(x, y) if abs(len(x) - len(y)) <= allowed else (x, y)
+        near = abs(len(x) - len(y)) <= allowed
+        if near and max(len(x), len(y)) > allowed:
+            _, numbers = np.unique(np.concatenate([x, y]), return_inverse=True)
+            cells = int(numbers.max()) + 1
+            shared = int(np.minimum(np.bincount(numbers[: len(x)], minlength=cells), np.bincount(numbers[len(x) :], minlength=cells)).sum())
+            near = max(len(x), len(y)) - shared <= allowed and distance(numbers[: len(x)].tolist(), numbers[len(x) :].tolist(), allowed) <= allowed
+        verdict.append(near)
+    return np.array(verdict, bool)
+
+
+class Numbers(dict):
+    """row -> the words of its text as numbers, equal for equal words; forgets all beyond `most` words."""
+
+    def __init__(self, most: int = 1 << 20):
+        self.most, self.held = most, 0
+
+    def of(self, row: int, text: str) -> np.ndarray:
+        if row not in self:
+            words = words_of(text)
+            if self.held + len(words) > self.most:
+                self.clear()
+                self.held = 0
+            self[row] = np.fromiter(map(hash, words), np.int64, len(words))
+            self.held += len(words)
+        return self[row]
 
 
 def verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) of (a, b, text_a, text_b) that align."""
-    hashes = WordHashes()
-    number = lambda text: (np.array([hashes[w] for w in words_of(text)], np.uint64) >> np.uint64(33)).astype(np.int32)  # noqa: E731  (31 bits)
+    numbers = Numbers()
     for rows in common.pieces(batches, "text_a"):
-        pairs = [(number(x), number(y)) for x, y in zip(rows.column("text_a").to_pylist(), rows.column("text_b").to_pylist(), strict=True)]
+        columns = [rows.column(c) for c in ("a", "text_a", "b", "text_b")]
+        pairs = ((numbers.of(a.as_py(), x.as_py()), numbers.of(b.as_py(), y.as_py())) for a, x, b, y in zip(*columns, strict=True))
         kept = rows.filter(pa.array(alike(pairs, least)))
         yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
@@ -238,27 +285,47 @@ def verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
 # -- the whole table ---------------------------------------------------------------------------------------------------
 
 
+def folded(bags: list[bytes], cells: int) -> np.ndarray:
+    """Bags of one size as rows of at most `cells` counts: cells that share their high bits are added up."""
+    counts = np.frombuffer(b"".join(bags), np.uint8).reshape(len(bags), cells, -1)
+    return (np.minimum(counts.sum(axis=2), 255) if counts.shape[2] > 1 else counts[:, :, 0]).astype(np.int16)
+
+
 def possible(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) of (a, b, length_a, length_b, bag_a, bag_b) whose word counts allow a link: an edit takes at most one
     word away and brings at most one, so either surplus is a lower bound of the distance."""
-    for rows in batches:
-        if not rows.num_rows:
-            continue
-        x, y = (np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16) for c in ("bag_a", "bag_b"))
-        more = x - y
-        surplus = np.maximum(np.maximum(more, 0).sum(axis=1, dtype=np.int64), np.maximum(-more, 0).sum(axis=1, dtype=np.int64))
-        longer = np.maximum(rows.column("length_a").to_numpy(), rows.column("length_b").to_numpy())
-        kept = rows.filter(pa.array(surplus <= ((1 - least) * longer + 1e-9).astype(np.int64)))
-        yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
-
-
-def linked(pairs: DataFrame, bags: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1000):
+            rows = batch.slice(start, 1000)
+            xs, ys = (rows.column(c).to_pylist() for c in ("bag_a", "bag_b"))
+            sizes: dict[tuple[int, int], list[int]] = {}
+            for k, (x, y) in enumerate(zip(xs, ys, strict=True)):
+                sizes.setdefault((len(x), len(y)), []).append(k)
+            surplus = np.zeros(len(xs), np.int64)
+            for size, of in sizes.items():
+                more = folded([xs[k] for k in of], min(size)) - folded([ys[k] for k in of], min(size))
+                rise, fall = np.maximum(more, 0).sum(axis=1, dtype=np.int64), np.maximum(-more, 0).sum(axis=1, dtype=np.int64)
+                surplus[of] = np.maximum(rise, fall)
+            longer = np.maximum(rows.column("length_a").to_numpy(), rows.column("length_b").to_numpy())
+            kept = rows.filter(pa.array(surplus <= ((1 - least) * longer + 1e-9).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
+
+
+def linked(pairs: DataFrame, bags: DataFrame, texts: DataFrame, least: float) -> DataFrame | None:
+    """The pairs that align, written; None if word counts allow none. Only the texts of pairs that they allow travel."""
     of = lambda end: bags.select(F.col("row").alias(end), F.col("length").alias(f"length_{end}"), F.col("bag").alias(f"bag_{end}"))
     counted = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "length_a", "length_b", "bag_a", "bag_b")
     pairs = written(counted.mapInArrow(lambda it: possible(it, least), "a long, b long"))
+    if pairs.isEmpty():
+        drop(pairs)
+        return None
+    ends = written(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct())
+    texts = texts.join(ends, "row", "left_semi")
     with_b = pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
     with_both = with_b.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
-    return with_both.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: verify(it, least), "a long, b long")
+    found = written(with_both.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: verify(it, least), "a long, b long"))
+    drop(pairs, ends)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
@@ -282,29 +349,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def placed_rows(rows: DataFrame, least: float) -> DataFrame:
     """What `near_duplicates` gives, for a written table of doc_id, text, row."""
     sketched = written(rows.mapInArrow(lambda it: sketch(it, least), "doc_id long, row long, high long, low long, length int, bag binary, keys array<long>"))
+    ids = written(sketched.select("doc_id", "row", "high", "low", "length"))
     order = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "row")
-    copies = written(sketched.where("length > 0").groupBy("high", "low").agg(F.min(F.struct(order.alias("order"), "length", "bag", "keys")).alias("m"), F.count("*").alias("n_copies")).select("high", "low", "n_copies", "m.order", F.col("m.order.row").alias("row"), "m.length", "m.bag", "m.keys"))
+    copies = written(ids.where("length > 0").groupBy("high", "low").agg(F.min(order).alias("order"), F.count("*").alias("n_copies")).select("high", "low", "n_copies", "order", F.col("order.row").alias("row")))
+    chosen = written(sketched.join(copies, "row", "left_semi").select("row", "length", "bag", "keys"))
+    drop(sketched)
 
-    members = copies.select("row", "length", F.explode("keys").alias("key"))
-    crowded = members.groupBy("key").agg(F.count("*").alias("n"), F.min("row").alias("lead_0"), F.max("row").alias("lead_1"), F.min_by("row", F.xxhash64("row")).alias("lead_2")).where("n > 1")
+    keyed = chosen.select("row", "length", F.explode("keys").alias("key"))
+    crowded = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("row").alias("lead_0"), F.max("row").alias("lead_1"), F.min_by("row", F.xxhash64("row")).alias("lead_2")).where("n > 1")
     crowded = written(crowded)  # joined as a scan, so that a crowded bucket can be split
-    members = written(members.join(crowded, "key").select("key", "row", "length", "lead_0", "lead_1", "lead_2"))
-    texts, bags = rows.select("row", "text"), copies.select("row", "length", "bag")
+    members = written(keyed.join(crowded, "key").select("key", "row", "length", "lead_0", "lead_1", "lead_2"))
+    known = written(members.select("row").distinct().withColumn("component", F.col("row")))
+    bags = written(chosen.join(known, "row", "left_semi").select("row", "length", "bag"))
+    drop(chosen, crowded)
+    texts = rows.select("row", "text")
     lengths = F.col("length_a") * least <= F.col("length")
     lengths = lengths & (F.col("length") * least <= F.col("length_a"))
 
-    links = None
-    known = written(members.select("row").distinct().withColumn("component", F.col("row")))
+    links, asked = None, []
     for turn in range(4):
         placed = members.join(known, "row")
         if turn == 3:  # leaders have met all of their bucket
             placed = placed.where((F.col("row") != F.col("lead_0")) & (F.col("row") != F.col("lead_1")) & (F.col("row") != F.col("lead_2")))
         if turn:  # only buckets whose members are not all in one component
-            apart = placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("apart")).where("apart").select("key")
-            apart = written(apart)
-            placed = placed.join(apart, "key", "left_semi")
-        placed = written(placed)
+            apart = written(placed.groupBy("key").agg((F.min("component") != F.max("component")).alias("apart")).where("apart").select("key"))
+            placed = written(placed.join(apart, "key", "left_semi"))
+            drop(apart)
+        else:
+            placed = written(placed)
         if placed.isEmpty():
+            drop(placed)
             break
         if turn < 3:
             leaders = placed.where(F.col("row") == F.col(f"lead_{turn}")).select("key", F.col("row").alias("a"), F.col("length").alias("length_a"), F.col("component").alias("component_a"))
@@ -314,15 +388,22 @@ def placed_rows(rows: DataFrame, least: float) -> DataFrame:
             other = F.col("row") > F.col("a")
         pairs = placed.join(leaders, "key").where((F.col("component") != F.col("component_a")) & lengths & other)
         pairs = pairs.select(F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
-        found = written(linked(pairs, bags, texts, least))
-        links = found if links is None else links.union(found)
-        if found.isEmpty():
+        for before in asked:  # a pair that was turned down is not asked again where it shares another sketch
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        pairs = written(pairs)
+        drop(placed)
+        asked.append(pairs)
+        found = None if pairs.isEmpty() else linked(pairs, bags, texts, least)
+        if found is None or found.isEmpty():
             continue
+        links = found if links is None else links.union(found)
         of = lambda end: known.select(F.col("row").alias(end), F.col("component").alias(f"component_{end}"))
         moved = components(found.join(of("a"), "a").join(of("b"), "b").select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
         moved = moved.select(F.col("node").alias("component"), F.col("component").alias("joined"))
-        known = written(known.join(moved, "component", "left").select("row", F.coalesce("joined", "component").alias("component")))
-    return classes(sketched, copies, links, known, order)
+        before, known = known, written(known.join(moved, "component", "left").select("row", F.coalesce("joined", "component").alias("component")))
+        drop(before)
+    drop(members, bags, *asked)
+    return classes(ids, copies, links, known, order)
 
 
 def first_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
@@ -333,13 +414,13 @@ def first_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.join(kept, "row", "left_semi").drop("row").toDF(*docs.columns)
 
 
-def classes(sketched: DataFrame, copies: DataFrame, links: DataFrame, known: DataFrame, order: Column) -> DataFrame:
+def classes(ids: DataFrame, copies: DataFrame, links: DataFrame, known: DataFrame, order: Column) -> DataFrame:
     links = links if links is not None else known.select(F.col("row").alias("a"), F.col("row").alias("b")).limit(0)
     degree = links.select(F.col("a").alias("row")).union(links.select("b")).groupBy("row").agg(F.count("*").alias("n_links"))
     placed = copies.join(known, "row", "left").join(degree, "row", "left").select("high", "low", "order", "n_copies", F.coalesce("component", "row").alias("component"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     first = written(placed.groupBy("component").agg(F.min("order").alias("first")))  # joined as a scan: a large class can be split
     of_words = placed.join(first, "component").select("high", "low", "n_copies", "n_links", "first")
-    joined = sketched.select("doc_id", "row", "high", "low", "length").join(of_words, ["high", "low"], "left")
+    joined = ids.join(of_words, ["high", "low"], "left")
     alone = F.col("length") == 0
     return joined.select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), F.when(alone, F.lit(1).cast("long")).otherwise(F.col("n_copies")).alias("n_copies"),

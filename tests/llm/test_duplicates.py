@@ -1,6 +1,7 @@
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -101,6 +102,56 @@ def test_pairs_of_a_crowded_bucket_that_share_nothing_else_are_compared(spark, t
     assert {r.doc_id: r.class_id for r in ordermin.near_duplicates(docs).collect()} == {k: k - k % 2 for k in range(20)}
 
 
+def test_many_texts_are_sketched_as_one_by_one():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 1 << 63, n, dtype=np.uint64)[rng.integers(0, max(1, n // 2), n)] for n in [12, 13, 15, 16, 17, 18, 40, 300, 5000, 70_000] * 3]
+    keys = ordermin.keys_of(texts)
+    for words, got in zip(texts, keys, strict=True):
+        assert got[len(got) - ordermin.SKETCHES :].tolist() == ordermin.sketches(words)
+
+
+def test_distances_of_long_texts_are_exact_up_to_the_allowed():
+    rng = random.Random(6)
+    for n in (1, 2, 30, 31, 64, 200):
+        x = [rng.randrange(9) for _ in range(n)]
+        y = [rng.randrange(9) if rng.random() < 0.1 else w for w in x if rng.random() > 0.05] + [3]
+        d = distance(x, y)
+        assert ordermin.distance(x, y, n) == ordermin.distance(y, x, n + 1) == d
+        assert d == 0 or ordermin.distance(x, y, d - 1) >= d
+
+
+def test_counts_of_long_texts_tell_texts_of_the_same_words_apart():
+    """Texts of thousands of words over one vocabulary: 256 counts allow what more of them rule out."""
+    rng = np.random.default_rng(5)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array([0, 1]), pa.array([" ".join(f"w{k}" for k in rng.integers(0, 4000, 8000)) for _ in range(2)])], names=["doc_id", "row", "text"])
+    a, b = pa.Table.from_batches(ordermin.sketch(iter([batch]))).to_pylist()
+    asked = pa.RecordBatch.from_pylist([{"a": 0, "b": 1, "length_a": a["length"], "length_b": b["length"], "bag_a": a["bag"], "bag_b": b["bag"]}])
+    assert sum(x.num_rows for x in ordermin.possible(iter([asked]), 0.8)) == 0
+
+
+def test_a_pair_is_asked_once_and_tables_leave_the_disk(spark, tmp_path, monkeypatch):
+    texts = [cases.prose(700 + k, 60) for k in range(6)]
+    real, sketch, asked = ordermin.linked, ordermin.sketch, []
+
+    def one_bucket(batches, least):
+        for rows in sketch(batches, least):
+            keys = pa.array([[1, 2, 3]] * rows.num_rows, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], keys], names=rows.schema.names)
+
+    def linked(pairs, *more):
+        asked.extend((r.a, r.b) for r in pairs.collect())
+        return real(pairs, *more)
+
+    monkeypatch.setattr(ordermin, "sketch", one_bucket)
+    monkeypatch.setattr(ordermin, "linked", linked)
+    docs = cases.stored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tmp_path)
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.glob("table-*"))
+    assert {r.doc_id: r.class_id for r in ordermin.near_duplicates(docs).collect()} == {k: k for k in range(6)}
+    assert len(asked) == len(set(asked)) == 15
+    assert len(set(folder.glob("table-*")) - before) <= 5  # rows, ids, copies, components, first of each class
+
+
 def replaced(rng, words, n):
     words = list(words)
     for k in rng.sample(range(len(words)), n):
