@@ -1,16 +1,16 @@
-"""Near duplicates by Order MinHash, verified by banded alignment.
+"""Near duplicates by Order MinHash, verified by alignment.
 
 The words of a text are labelled with how often each has occurred before. A sketch takes the few of the smallest hashes
 and keeps them in the order of the text, so texts share a sketch if they have words in common and in the same order; that
 follows edit similarity. Single words are taken, since a change of one word in five can leave no run of five words whole.
 Short texts also have exact keys: what is left of them when any few words are deleted, so that two short texts within
 the allowed distance always share a key. Texts that share a key are candidates. Counts of their words by hash
-bound the distance from below, so that only what may be near is fetched; a banded alignment of the words decides.
+bound the distance from below, so that only what may be near is fetched; an alignment of the words decides.
 
 Within a bucket of equal sketches not all pairs are formed. Three rounds compare the bucket's members with one leader
 each, and only members that are not yet in the leader's component. Of what is then still apart, all pairs are compared,
-each once; that work grows with the square of the members of a bucket that no leader joins. So no two texts that share
-a sketch end in two components without having been compared. Exact copies are one member from the start.
+each once; that work grows with the square of the members of a bucket that no leader joins. A pair that was turned down
+is not compared again. So no two texts that share a sketch end in two components without having been compared. Exact copies are one member from the start.
 """
 
 from __future__ import annotations
