@@ -152,6 +152,55 @@ def test_a_pair_is_asked_once_and_tables_leave_the_disk(spark, tmp_path, monkeyp
     assert len(set(folder.glob("table-*")) - before) <= 5  # rows, ids, copies, components, first of each class
 
 
+def asked_pairs(monkeypatch):
+    real, asked = ordermin.linked, []
+
+    def linked(pairs, *more):
+        asked.extend((r.a, r.b) for r in pairs.collect())
+        return real(pairs, *more)
+
+    monkeypatch.setattr(ordermin, "linked", linked)
+    return asked
+
+
+def test_a_common_passage_does_not_bring_all_its_texts_together(spark, tmp_path, monkeypatch):
+    """Half of each text is the same passage: they share sketches, but only planted pairs have rare words in common. Of 46,665
+    pairs the leaders of 64 buckets ask about one in six."""
+    rng, passage = random.Random(31), cases.prose(1, 60)
+    own = [" ".join(f"w{rng.randrange(1 << 40)}" for _ in range(60)) for _ in range(300)]
+    texts = [f"{x} {passage}" for x in own] + [f"{' '.join(replaced(rng, x.split(), 12))} {passage}" for x in own[:6]]
+    asked = asked_pairs(monkeypatch)
+    monkeypatch.setattr(ordermin, "CROWD", 8, raising=False)
+    docs = cases.stored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tmp_path)
+    assert {r.doc_id: r.class_id for r in ordermin.near_duplicates(docs).collect()} == {k: k % 300 for k in range(306)}
+    assert len(asked) == len(set(asked)) < 12_000
+
+
+def test_unrelated_long_texts_of_one_vocabulary_share_no_sketch():
+    """Texts of 300 words that all have most of their words in common: what they share must not grow with their pairs."""
+    rng = np.random.default_rng(9)
+    words = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    keys = [set(k.tolist()) for k in ordermin.keys_of([words[rng.integers(0, 400, 300)] for _ in range(100)])]
+    assert sum(bool(keys[a] & keys[b]) for a in range(100) for b in range(a)) < 10
+
+
+@pytest.mark.parametrize("n", [10, 33, 60, 150])
+def test_linked_texts_of_a_crowd_have_a_rare_word_in_common(spark, tmp_path, n):
+    rng = random.Random(n)
+    words = [f"w{k}" for k in range(40)]
+    texts = []
+    for _ in range(25):
+        x = [rng.choice(words) for _ in range(n)]
+        texts += [" ".join(x), " ".join(edited(rng, x, n // 4))]
+    docs = cases.stored(spark.createDataFrame(list(enumerate(texts)), "row long, text string"), tmp_path)
+    rare = defaultdict(set)
+    for r in ordermin.rare_words(docs, 0.8).collect():
+        rare[r.row].add(r.word)
+    split = [t.split() for t in texts]
+    near = [(a, b) for a in range(50) for b in range(a) if distance(split[a], split[b]) <= int(0.2 * max(len(split[a]), len(split[b])) + 1e-9)]
+    assert len(near) > 10 and all(rare[a] & rare[b] for a, b in near)
+
+
 def replaced(rng, words, n):
     words = list(words)
     for k in rng.sample(range(len(words)), n):
