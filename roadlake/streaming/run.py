@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from roadlake.session import checkpoint_dir
 
@@ -34,21 +35,25 @@ def large_state(spark: SparkSession):
 
 
 ROWS_PER_FILE = 100_000
+_PART = "_part"
 
 
 def replayed(rows: DataFrame, arrival: str, batches: int = 6, files: int | None = None) -> DataFrame:
     """A recorded table as a stream of `batches` micro-batches, cut at equal steps of the number in column `arrival`.
 
-    Each part is written to a folder in its turn, in `files` files (by default as many as its rows fill), and the stream takes
-    that many files at a time, so state, watermarks and timers pass from batch to batch as they do on live traffic. A part of fewer
-    rows than files gets empty ones, since a micro-batch must not reach into the next part."""
+    The rows are computed once and dealt by part. Each part is written to a folder in its turn, in `files` files (by default as many
+    as its rows fill), and the stream takes that many files at a time, so state, watermarks and timers pass from batch to batch as
+    they do on live traffic. A part of fewer rows than files gets empty ones, since a micro-batch must not reach into the next part."""
     spark, folder = rows.sparkSession, work_dir(rows.sparkSession)
     edge = rows.agg(F.min(arrival).alias("least"), F.max(arrival).alias("most"), F.count("*").alias("n")).first()
     step = (((edge["most"] or 0) - (edge["least"] or 0)) // batches + 1) if edge["least"] is not None else 1
     part = F.floor((F.col(arrival) - F.lit(edge["least"] or 0)) / step)
     files = files or edge["n"] // (batches * ROWS_PER_FILE) + 1
+    dealt = work_dir(spark)
+    rows.withColumn(_PART, part).write.partitionBy(_PART).parquet(dealt)
+    parts = spark.read.schema(StructType([*rows.schema.fields, StructField(_PART, LongType())])).parquet(dealt)
     for k in range(batches):
-        rows.where(part == k).repartition(files).write.mode("append").parquet(folder)
+        parts.where(F.col(_PART) == k).drop(_PART).repartition(files).write.mode("append").parquet(folder)
         for _ in range((k + 1) * files - len(spark.read.schema(rows.schema).parquet(folder).inputFiles())):
             spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
