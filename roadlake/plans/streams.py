@@ -232,7 +232,10 @@ AS_LONG_MS = 100 * 86_400_000  # as long as the tables last: sessions pause for
 )
 def carried(spark, sf):
     """Stopped half way: a second stream without the first one's checkpoint goes on from the table that the first wrote."""
+    frames_dir = f"{work_dir(spark)}/frames"
     closed = carry.frame_arrays(drives.can_samples(spark, sf)).withColumn("arrived_us", F.col("base_us") + drives.SIX)
+    closed.write.parquet(frames_dir)  # read by both halves
+    closed = spark.read.schema(closed.schema).parquet(frames_dir)
     edge = views.v_signal(spark, sf).agg(((F.min("t_us") + F.max("t_us")) / 2).cast("long").alias("half")).first()
     half = F.lit(edge["half"] or 0)
 

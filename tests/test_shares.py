@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_streams import arrow_batches
 
 from roadlake.operators.validate import validate
-from roadlake.streaming import rates
+from roadlake.streaming import carry, rates
 from roadlake.streaming.run import large_state, replayed, work_dir
 from roadlake.streaming.shares import SHARES, packed, unpack
 
@@ -48,3 +48,63 @@ def test_rate_check_of_many_signals(spark):
     columns = ["session", "signal", "seq", "t_us", "value", "reason"]
     assert {tuple(r) for r in out.select(columns).collect()} == {tuple(r) for r in want.select(columns).collect()}
     assert out.count() == len(rows) and held <= 2 * SHARES
+
+
+def carried(frames, batches, interval, length):
+    """The rows of `carry_stream`, a frame and a sample at a time: {(session, start): (signals, carried, late)}."""
+    least, most = min(f[3] for f in frames), max(f[3] for f in frames)
+    step, state, out = (most - least) // batches + 1, {}, {}
+    for part in range(batches):
+        now = [f for f in frames if (f[3] - least) // step == part]
+        for session in sorted({f[0] for f in now}):
+            held, reached = state.get(session, ({}, None))
+            mine, own = [f for f in now if f[0] == session], {}
+            for _, _, base, _, times, signals, values in mine:
+                for t, signal, value in zip(times, signals, values):
+                    if t - base < length and value is not None:
+                        samples = own.setdefault(base + max(0, (t - base) // interval) * interval, {})
+                        if signal not in samples or t >= samples[signal][1]:
+                            samples[signal] = (value, t)
+            for start in sorted({f[2] + k for f in mine for k in range(0, length, interval)}):
+                late = reached is not None and start <= reached
+                for signal, (value, t) in own.get(start, {}).items():
+                    if signal not in held or t >= held[signal][1]:
+                        held[signal] = (value, t)
+                shown = own.get(start, {}) if late else held
+                out.setdefault((session, start), []).append(({k: v for k, (v, _) in shown.items()}, {k: (start + interval - t) // 1000 for k, (_, t) in shown.items() if t < start}, late))
+                reached = start if reached is None else max(reached, start)
+            state[session] = (held, reached)
+    return out
+
+
+def test_carry_of_many_sessions(spark):
+    """1,200 sessions, frames without samples, that are late, that come twice, and samples of the frame before or after."""
+    dice, frames = random.Random(5), []
+    for k in range(1200):
+        for base in dice.sample(range(0, 40_000_000, 2_000_000), 6):
+            times = sorted(base + dice.randrange(-200_000, 2_100_000) for _ in range(dice.randrange(6)))
+            frames.append((f"s{k}", f"d{k % 3}", base, base + dice.randrange(9_000_000), times, [dice.choice("abcde") for _ in times], [dice.choice([None, *range(50)]) for _ in times]))
+    frames = [(*f[:6], [None if v is None else float(v) for v in f[6]]) for f in frames]
+    ddl = "session string, device string, base_us long, arrived_us long, times array<long>, signals array<string>, samples array<double>"
+    with arrow_batches(spark, 500):
+        out, state = run(spark, carry.carry_stream(replayed(spark.createDataFrame(frames, ddl), "arrived_us", 4, 2), 1_000_000, 2_000_000, delay="1 day"))
+    got = {}
+    for r in out.collect():
+        got.setdefault((r.session, r.start_us), []).append((r.signals, r.carried, r.late))
+        assert set(r.seen) == set(r.signals)
+    assert got == carried(frames, 4, 1_000_000, 2_000_000) and any(late for rows in got.values() for _, _, late in rows)
+    assert state <= 3 * SHARES
+
+
+def test_a_session_of_many_signals_is_cut(spark):
+    """Three hundred signals and a thousand intervals, more values than a result row has, go on from a table and are forgotten in time."""
+    names = [f"n{k:03}" for k in range(300)]
+    frames = [("s", "d", t * 1_000_000, t * 1_000_000, [t * 1_000_000] * (300 if t == 0 else 1), names if t == 0 else [names[t % 300]], [float(t)] * (300 if t == 0 else 1)) for t in range(1000)]
+    ddl = "session string, device string, base_us long, arrived_us long, times array<long>, signals array<string>, samples array<double>"
+    out, _ = run(spark, carry.carry_stream(replayed(spark.createDataFrame(frames, ddl), "arrived_us", 2)))
+    rows = {r.base_us // 1_000_000: r for r in out.collect()}
+    assert sorted(rows) == list(range(1000)) and all(len(r.signals) == 300 for r in rows.values())
+    assert all(rows[t].signals[names[k]] == (t - (t - k) % 300 if t >= k else 0) for t in range(0, 1000, 37) for k in range(300))
+    tail = [("s", "d", 1000_000_000, 1000_000_000, [], [], []), ("x", "d", 0, 1_100_000_000, [], [], []), ("x", "d", 0, 2_000_000_000, [], [], []), ("s", "d", 2000_000_000, 2_600_000_000, [], [], [])]
+    again, _ = run(spark, carry.carry_stream(replayed(spark.createDataFrame(tail, ddl), "arrived_us", 4), written=out, forget_ms=60_000))
+    assert {r.base_us // 1_000_000: len(r.signals) for r in again.collect() if r.session == "s"} == {1000: 300, 2000: 0}
