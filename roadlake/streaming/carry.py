@@ -115,7 +115,7 @@ class CarryForward(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         reached = self._get(self.reached, REACHED)
         now = timerValues.getCurrentWatermarkInMs()
-        old = reached["arrived_ms"] < now - self.forget_ms
+        old = reached["arrived_ms"] <= now - self.forget_ms
         if old.any():
             held = self._get(self.carry, HELD)
             known = pd.MultiIndex.from_frame(reached.loc[~old, KEYS])

@@ -69,7 +69,7 @@ class RateCheck(StatefulProcessor):
                     reasons.append(None if ok else "RATE_IMPLAUSIBLE")
                 heard.update(dict.fromkeys(keys, now))
                 yield self._rows(ready, reasons)
-        for name in [k for k, ms in heard.items() if ms + self.forget_ms < now and k not in at]:
+        for name in [k for k, ms in heard.items() if ms + self.forget_ms <= now and k not in at]:
             del held[name], heard[name]
         due += [ms + self.forget_ms for k, ms in heard.items() if k not in at]
         self._save(held, heard)

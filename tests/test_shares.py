@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_streams import arrow_batches
 
 from roadlake.operators.validate import validate
-from roadlake.streaming import carry, rates
+from roadlake.streaming import carry, rates, sessions
 from roadlake.streaming.run import large_state, replayed, work_dir
 from roadlake.streaming.shares import SHARES, packed, unpack
 
@@ -108,3 +108,22 @@ def test_a_session_of_many_signals_is_cut(spark):
     tail = [("s", "d", 1000_000_000, 1000_000_000, [], [], []), ("x", "d", 0, 1_100_000_000, [], [], []), ("x", "d", 0, 2_000_000_000, [], [], []), ("s", "d", 2000_000_000, 2_600_000_000, [], [], [])]
     again, _ = run(spark, carry.carry_stream(replayed(spark.createDataFrame(tail, ddl), "arrived_us", 4), written=out, forget_ms=60_000))
     assert {r.base_us // 1_000_000: len(r.signals) for r in again.collect() if r.session == "s"} == {1000: 300, 2000: 0}
+
+
+def test_close_of_many_sessions(spark):
+    """2,000 sessions with silences of both lengths, ends in their midst and records of equal time; some come an hour late."""
+    dice, rows = random.Random(7), []
+    for k in range(2000):
+        t, late = dice.randrange(5_000), dice.choice([0, 3600])
+        for _ in range(dice.randrange(1, 14)):
+            t += dice.choice([0, 1, 60, 119, 120, 121, 600, 1799, 1800, 2000])
+            rows.append((f"s{k}", f"d{k % 3}", t * 1_000_000, len(rows), dice.choice(["can", "can", "gps", "session_end"]), (t + late) * 1_000_000))
+    ddl = "session string, device string, t_us long, seq long, kind string, arrived_us long"
+    records = spark.createDataFrame(rows, ddl)
+    tick = spark.createDataFrame([("clock", "clock", 0, 0, sessions.TICK, 60_000_000_000)], ddl)
+    with arrow_batches(spark, 1000):
+        out, held = run(spark, sessions.close_stream(replayed(records.unionByName(tick), "arrived_us", 6, 2)))
+    columns = ["session", "device", "first_us", "last_us", "can_frames", "records", "ended", "late"]
+    want = {tuple(r) for r in sessions.close_batch(records, ["t_us", "seq"]).select(columns).collect()}
+    assert {tuple(r) for r in sessions.totals(out).select(columns).collect()} == want and len(want) == 2000
+    assert any(r[-1] for r in want) and out.where("first_us IS NOT NULL").count() == 2000 and held <= SHARES
