@@ -37,9 +37,10 @@ def unpack(parts: Iterable[bytes]) -> pa.Table | None:
 
 def packed(rows: DataFrame, by: list[str], shares: int | None = SHARES, rows_at_once: int = ROWS) -> DataFrame:
     """`rows` packed by share, a hash of the columns `by`: share, arrived_us (the latest) and payload. Without `shares`, packed by the
-    columns themselves, which then take the place of share. An order of rows is kept within a task. `arrived_us` may be missing."""
+    columns themselves, which then take the place of share and are not in the payload; for keys of many rows each. An order of rows is
+    kept within a task. `arrived_us` may be missing."""
     names = ["share"] if shares else by
-    columns = rows.columns
+    columns = rows.columns if shares else [c for c in rows.columns if c not in by]
     dealt = rows.withColumn("share", F.pmod(F.xxhash64(*by), F.lit(shares)).cast("int")) if shares else rows
     types = dict(dealt.dtypes)
     ddl = ", ".join([*[f"{n} {types[n]}" for n in names], "arrived_us bigint", "payload binary"])

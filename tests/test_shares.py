@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_streams import arrow_batches
 
 from roadlake.operators.validate import validate
-from roadlake.streaming import carry, rates, sessions
+from roadlake.streaming import carry, dimension, rates, sessions
 from roadlake.streaming.run import large_state, replayed, work_dir
 from roadlake.streaming.shares import SHARES, packed, unpack
 
@@ -34,7 +34,9 @@ def test_rows_are_packed_by_share_and_keep_their_order(spark):
             sessions.setdefault(session, []).append((r.share, number))
     assert sorted(n for v in sessions.values() for _, n in v) == list(range(1000)) and None in sessions
     assert all(len({share for share, _ in v}) == 1 for v in sessions.values())
-    assert all(set(unpack([r.payload])["session"].to_pylist()) == {r.session} for r in alone)
+    home = {n: None if n % 40 == 7 else f"s{n % 40}" for n in range(1000)}
+    numbers = [(r.session, n) for r in alone for n in unpack([r.payload])["id"].to_pylist()]
+    assert len(numbers) == 1000 and all(home[n] == session for session, n in numbers)
 
 
 def test_rate_check_of_many_signals(spark):
@@ -127,3 +129,29 @@ def test_close_of_many_sessions(spark):
     want = {tuple(r) for r in sessions.close_batch(records, ["t_us", "seq"]).select(columns).collect()}
     assert {tuple(r) for r in sessions.totals(out).select(columns).collect()} == want and len(want) == 2000
     assert any(r[-1] for r in want) and out.where("first_us IS NOT NULL").count() == 2000 and held <= SHARES
+
+
+def test_wait_of_many_frames_and_versions(spark):
+    """12 sessions of 1,500 frames at odd times over four days, repeated and empty ones among them, and 60 versions of the session's row."""
+    dice, rows, want = random.Random(11), [], []
+    for k in range(12):
+        versions = sorted(dice.randrange(3_000_000_000) // 1_000_000 * 1_000_000 for _ in range(60 if k else 0))
+        named = {came: (dice.choice([None, n]), f"u{n}") for n, came in enumerate(versions)}
+        rows += [(f"s{k}", "d", "dimension", came, None, None, *named[came]) for came in named]
+        bases = [dice.randrange(4 * 86_400_000_000) for _ in range(1300)]
+        frames = [(dice.randrange(3_000_000_000), base, dice.choice(["complete", "incomplete", "empty"])) for base in bases + dice.sample(bases, 200)]
+        rows += [(f"s{k}", "d", "frame", at, base, status, None, None) for at, base, status in frames]
+        held = set()
+        for at, base, status in sorted(frames):
+            outcome = "replayed" if base in held else "empty" if status == "empty" else "known" if versions and versions[0] <= at + 30_000_000 else "unknown"
+            if outcome in ("known", "unknown"):
+                held.add(base)
+            in_force = named[max(v for v in versions if v <= max(at, versions[0]))] if outcome == "known" else (None, None)
+            want.append((f"s{k}", base, status, outcome, *in_force))
+    rows.append(("clock", "d", "tick", 4_000_000_000, None, None, None, None))
+    ddl = "session string, device string, kind string, arrived_us long, base_us long, status string, vehicle_id long, user_sub string"
+    with arrow_batches(spark, 700):
+        out, state = run(spark, dimension.wait_for_dimension(replayed(spark.createDataFrame(rows, ddl), "arrived_us", 5, 2)))
+    got = [tuple(r) for r in out.select("session", "base_us", "status", "outcome", "vehicle_id", "user_sub").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {r[3] for r in got} == {"known", "unknown", "empty", "replayed"} and state <= 13 * 8  # not a row for each frame
